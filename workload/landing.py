@@ -6,12 +6,20 @@ vote counts and odd prices so that every operator has something to do.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 C = F.col
 
 
+def shared(define):
+    """Define a frame once per session and folder (its plan, not its data)."""
+    return functools.lru_cache(maxsize=None)(define)
+
+
+@shared
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,6 +34,7 @@ def _epoch_seconds(ts: str) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+@shared
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing table of reviews: one per line item."""
     lines = table(spark, sf_dir, "lineitem")
@@ -57,6 +66,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@shared
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with nested fields still nested, plus near-empty duplicates."""
     part = table(spark, sf_dir, "part")
@@ -103,6 +113,7 @@ PRODUCT_FIELDS = [
 NESTED_FIELDS = ("categories", "salesRank", "related")
 
 
+@shared
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing table of products; nested fields as JSON text."""
     return _products(spark, sf_dir).select(
@@ -110,6 +121,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@shared
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product lines in the styles a crawl delivers, ``value`` per line.
 
@@ -144,6 +156,7 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select(lines.alias("value"))
 
 
+@shared
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as newline-delimited JSON, ``value`` per line."""
     reviews = items(spark, sf_dir)

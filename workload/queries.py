@@ -52,30 +52,37 @@ def registry() -> dict[str, Query]:
 # --- tables -----------------------------------------------------------------
 
 
+@landing.shared
 def b_products(spark, d):
     return bronze_products(landing.metadata(spark, d))
 
 
+@landing.shared
 def b_reviews(spark, d):
     return bronze_reviews(landing.items(spark, d))
 
 
+@landing.shared
 def s_dates(spark, d):
     return silver.dim_date(b_reviews(spark, d))
 
 
+@landing.shared
 def s_products(spark, d):
     return silver.dim_products(b_products(spark, d))
 
 
+@landing.shared
 def s_reviewers(spark, d):
     return silver.dim_reviewer(b_reviews(spark, d))
 
 
+@landing.shared
 def s_fact(spark, d):
     return silver.fct_review(b_reviews(spark, d))
 
 
+@landing.shared
 def s_fact_unique(spark, d):
     fact = s_fact(spark, d)
     order = [F.col(c).asc_nulls_last() for c in fact.columns if c != "review_sk"]
