@@ -4,6 +4,7 @@ from revlens.sources.landing import (
     BadRecordBudgetExceeded,
     enforce_budget,
     load_landing,
+    load_lines,
     load_table,
     parse_ndjson,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "enforce_budget",
     "is_strict_json",
     "load_landing",
+    "load_lines",
     "load_table",
     "normalize_lines",
     "parse_ndjson",

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    DataType,
+    LongType,
     MapType,
     StringType,
     StructField,
     StructType,
 )
 
+from revlens.sinks.tables import commit_version, stage_version
 from revlens.sources.lines import read_lines
 from revlens.sources.records import END_MARKER
 
@@ -24,12 +27,39 @@ class BadRecordBudgetExceeded(RuntimeError):
     """More bad records than a load tolerates."""
 
 
-def _typed(text: Column, field: StructField) -> Column:
-    if isinstance(field.dataType, StringType):
+_CORRUPT, _ROWS = "_corrupt", "_rows"
+
+
+def _read(line: Column, fields: list[StructField]) -> Column:
+    """The line as first element of an array that ends in a marker object."""
+    element = StructType([*fields, StructField(END_MARKER, LongType())])
+    root = StructType([StructField(_ROWS, ArrayType(element)), StructField(_CORRUPT, StringType())])
+    text = F.concat(F.lit(f'{{"{_ROWS}":['), line, F.lit(f',{{"{END_MARKER}":1}}]}}'))
+    return F.from_json(text, root, {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _row(read: Column) -> Column:
+    return F.get(read[_ROWS], F.lit(0))
+
+
+def _whole(read: Column) -> Column:
+    """True if the line was one JSON object whose values all fit their types."""
+    second = F.get(read[_ROWS], F.lit(1))
+    fits = (
+        read[_CORRUPT].isNull()
+        & (F.size(read[_ROWS]) == 2)
+        & (second[END_MARKER] == 1)
+        & _row(read).isNotNull()
+    )
+    return F.coalesce(fits, F.lit(False))
+
+
+def _coerced(text: Column, kind: DataType) -> Column:
+    if isinstance(kind, StringType):
         return text
-    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
-        return F.from_json(text, field.dataType)
-    return text.try_cast(field.dataType)
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.from_json(text, kind)
+    return text.try_cast(kind)
 
 
 def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
@@ -37,36 +67,38 @@ def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
 
     A row is bad if the line is not exactly one JSON object, a value does not fit
     its type, or a ``nullable=False`` field is missing. Unknown fields are
-    ignored. Every field is read as text in one JSON pass and cast natively, so a
-    misfit shows as "text but no value"; the end marker works as in ``records``.
+    ignored. Lines are read straight into their types; only a line that fails is
+    read once more as text, so that a quoted number still counts as a number. The
+    end marker works as in ``records``.
     """
-    texts = StructType([StructField(f.name, StringType()) for f in schema])
-    element = StructType([*texts, StructField(END_MARKER, StringType())])
     value = F.col("value")
-    closed = F.concat(F.lit("["), value, F.lit(f',{{"{END_MARKER}":1}}]'))
-    rows = lines.where(F.trim(value) != "").select(
-        value, F.from_json(closed, ArrayType(element)).alias("_rows")
-    )
-    first = F.get("_rows", F.lit(0))
-    whole = (
-        (F.size("_rows") == 2)
-        & F.get("_rows", F.lit(1))[END_MARKER].isNotNull()
-        & first.isNotNull()
-        & ~F.contains(value, F.lit(END_MARKER))
-    )
-    rows = rows.select(F.coalesce(whole, F.lit(False)).alias("_whole"), first.alias("_row"))
-    picked = rows.select("_whole", *[F.col("_row")[f.name].alias(f.name) for f in schema])
-    misfit = ~F.col("_whole")
+    kinds = {f.name: f.dataType for f in schema}
+    typed = [StructField(name, kind) for name, kind in kinds.items()]
+    unmarked = ~F.contains(value, F.lit(END_MARKER))
+    rows = lines.where(F.trim(value) != "").select(value, _read(value, typed).alias("_typed"))
+    first = _row(F.col("_typed"))
+    rows = rows.withColumn("_fits", _whole(F.col("_typed")) & unmarked)
+    values = {name: first[name] for name in kinds}
+    bad = ~F.col("_fits")
+    if any(not isinstance(kind, StringType) for kind in kinds.values()):
+        texts = [StructField(name, StringType()) for name in kinds]
+        again = F.when(bad, value)
+        rows = rows.withColumn("_texts", _read(again, texts))
+        second = _row(F.col("_texts"))
+        coerced = {name: _coerced(second[name], kind) for name, kind in kinds.items()}
+        misfit = ~(_whole(F.col("_texts")) & unmarked)
+        for name, kind in kinds.items():
+            if not isinstance(kind, StringType):
+                misfit = misfit | (second[name].isNotNull() & coerced[name].isNull())
+        values = {
+            name: F.when(bad, coerced[name]).otherwise(typed_value)
+            for name, typed_value in values.items()
+        }
+        bad = bad & misfit
     for field in schema:
         if not field.nullable:
-            misfit = misfit | F.col(field.name).isNull()
-        if not isinstance(field.dataType, StringType):
-            misfit = misfit | (
-                F.col(field.name).isNotNull() & _typed(F.col(field.name), field).isNull()
-            )
-    return picked.select(
-        *[_typed(F.col(f.name), f).alias(f.name) for f in schema], misfit.alias("_bad")
-    )
+            bad = bad | values[field.name].isNull()
+    return rows.select(*[v.alias(name) for name, v in values.items()], bad.alias("_bad"))
 
 
 def infer_landing_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> StructType:
@@ -106,23 +138,17 @@ def load_landing(
     return enforce_budget(read_landing(spark, path, schema), max_bad)
 
 
-def load_table(
-    spark: SparkSession,
-    path: str,
-    table_dir: str,
-    schema: StructType | None = None,
-    max_bad: int = MAX_BAD_RECORDS,
+def load_lines(
+    lines: DataFrame, table_dir: str, schema: StructType, max_bad: int = MAX_BAD_RECORDS
 ) -> dict:
-    """Replace a landing table by the file's rows, in one pass over the file.
+    """Replace a landing table by the records in ``lines``, in one pass over them.
 
     The rows go to a staged version; it becomes the table only if the bad records
     counted on the way are within the budget.
     """
-    from revlens.sinks.tables import commit_version, stage_version
-
     started = time.monotonic()
-    seen = Observation("load_table")
-    flagged = read_landing(spark, path, schema).observe(
+    seen = Observation("load_lines")
+    flagged = parse_ndjson(lines, schema).observe(
         seen,
         F.count_if(~F.col("_bad")).alias("good"),
         F.count_if(F.col("_bad")).alias("bad"),
@@ -130,7 +156,7 @@ def load_table(
     staged = stage_version(flagged.where(~F.col("_bad")).drop("_bad"), table_dir)
     counts = seen.get
     _check(counts["bad"], max_bad)
-    commit_version(spark, table_dir, staged)
+    commit_version(lines.sparkSession, table_dir, staged)
     return {
         "status": "success",
         "rows_loaded": counts["good"],
@@ -138,3 +164,20 @@ def load_table(
         "elapsed_seconds": time.monotonic() - started,
         "output_table": table_dir,
     }
+
+
+def load_table(
+    spark: SparkSession,
+    path: str,
+    table_dir: str,
+    schema: StructType | None = None,
+    max_bad: int = MAX_BAD_RECORDS,
+    partitions: int | None = None,
+) -> dict:
+    """Replace a landing table by a newline-delimited JSON path, plain or gzip.
+
+    Spark reads compressed lines of any size, so they need no plain copy first;
+    ``partitions`` spreads the lines of a few large gzip files over the cores.
+    """
+    schema = schema or infer_landing_schema(spark, path)
+    return load_lines(read_lines(spark, path, partitions), table_dir, schema, max_bad)

@@ -17,7 +17,7 @@ from revlens.plans.silver import fct_review
 from revlens.schemas import REVIEW_LANDING
 from revlens.sinks.fact import merge_fact, write_fact
 from revlens.sinks.tables import path_exists
-from revlens.sources.landing import parse_ndjson
+from revlens.sources.landing import enforce_budget, parse_ndjson
 
 
 def one_per_key(fact: DataFrame) -> DataFrame:
@@ -41,8 +41,7 @@ def merge_arrivals(
     """
 
     def merge_batch(lines: DataFrame, _batch: int) -> None:
-        flagged = parse_ndjson(lines, REVIEW_LANDING)
-        reviews = bronze_reviews(flagged.where(~F.col("_bad")))
+        reviews = bronze_reviews(enforce_budget(parse_ndjson(lines, REVIEW_LANDING)))
         if path_exists(spark, f"{fact_path}/_SUCCESS"):
             merge_fact(one_per_key(fct_review(reviews, incremental_as_of=as_of)), fact_path)
         else:

@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import json
 import os
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.plans.build import build
+from revlens.plans.ingest import ingest_reviews
 from revlens.plans.suite import CheckFailed
 from revlens.schemas import PRODUCT_LANDING, REVIEW_LANDING
 from revlens.session import scratch_path, shared_dir
@@ -212,3 +214,34 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got == {"a": 4.0, "b": 1.0, "c": 4.0}
     merge_arrivals(spark, arrivals, fact, offsets, today)
     assert read_fact(spark, fact).count() == 3
+
+
+def test_jobs_from_gzip_files_to_marts(spark, tmp_path):
+    from revlens.__main__ import main
+
+    def gz(name, lines):
+        path = tmp_path / name
+        path.write_bytes(gzip.compress("\n".join(lines).encode()))
+        return str(path)
+
+    products = gz("p.gz", ["[", "{'asin': '1', 'title': \"it's\", 'brand': 'B', 'price': 3.5},",
+                           json.dumps(product("2")), "{'asin': None}", "oops", "]"])
+    reviews = gz("r.gz", [json.dumps(review(f"r{i}", "12"[i % 2], i)) for i in range(24)])
+    source, target = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    main(["ingest", products, reviews, source, "--partitions", "3"])
+    runs = {r.job: r for r in read_runs(spark, f"{source}/audit_runs").collect()}
+    assert (runs["ingest_products"].rows, runs["ingest_products"].bad_records) == (2, 1)
+    assert json.loads(runs["ingest_products"].details)["parse_errors"] == 1
+    assert runs["ingest_reviews"].rows == 24
+    main(["build", source, target, "--as-of", "2020-02-10"])
+    assert read_fact(spark, f"{target}/silver_fct_review").count() == 24
+    marts = read_table(spark, f"{target}/gold_brand_repeated_reviewers").collect()
+    assert [(r.brand, r.total_reviews, r.unique_reviewers) for r in marts] == [("B", 24, 24)]
+
+
+def test_inferred_reviews(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([(json.dumps(review("a", "1", 0)),)], "value string").write.text(source)
+    ingest_reviews(spark, source, str(tmp_path / "landing"), schema=None)
+    row = read_table(spark, str(tmp_path / "landing/items_dedup")).first()
+    assert (row.reviewerID, row.helpful, row.overall) == ("a", [1, 2], 4.0)

@@ -180,9 +180,18 @@ def test_typed_fields(spark):
         '{"reviewerID":"r","overall":"great"}',
         '{"reviewerID":"r","unixReviewTime":{"a":1}}',
         '{"reviewerID":"r","helpful":3}',
+        '{"reviewerID":"r","helpful":["a"]}',
+        '{"reviewerID":"r","unixReviewTime":5.5}',
+        '{"reviewerID":"r","overall":"5","unixReviewTime":"7","helpful":[1]}',
+        '{"reviewerID":"r"},{"overall":1}',
+        '{"reviewerID":"r","overall":1},"x":{"y":2}',
+        '{"reviewerID":"r"}]} x',
+        '{"reviewerID":7,"overall":null}',
     ]
     rows = parse_ndjson(lines_of(spark, lines), REVIEW_LANDING).collect()
-    assert [r._bad for r in rows] == [False, False, True, True, True]
+    assert [r._bad for r in rows] == [False] * 2 + [True] * 5 + [False] + [True] * 3 + [False]
+    assert (rows[7].overall, rows[7].unixReviewTime, rows[7].helpful) == (5.0, 7, [1])
+    assert rows[11].reviewerID == "7"
     assert (rows[0].helpful, rows[0].overall, rows[0].unixReviewTime) == ([1, 2], 5.0, 1370000000)
     assert (rows[1].helpful, rows[1].overall) == ([], 4.0)
 
@@ -218,6 +227,24 @@ def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
     assert read_table(spark, table).count() == 1
 
 
+def test_a_line_with_the_end_marker_is_bad_not_lost(spark):
+    from revlens.sources.records import END_MARKER
+
+    lines = [f'{{"asin":"1"}},{{"{END_MARKER}":1}}]}} x', f'{{"asin":"{END_MARKER}"}}']
+    for schema in (PRODUCT_LANDING, REVIEW_LANDING):
+        assert [r._bad for r in parse_ndjson(lines_of(spark, lines), schema).collect()] == [True, True]
+    records = clean_records(lines_of(spark, lines[1:] + [f'{{"a":1}},"{END_MARKER}"] x']))
+    assert [r.route for r in records.collect()] == ["repaired", "bad"]
+
+
+def test_field_names_with_dots(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType([StructField("a.b", LongType(), nullable=False)])
+    rows = parse_ndjson(lines_of(spark, ['{"a.b":1}', '{"a":{"b":1}}']), schema).collect()
+    assert [tuple(r) for r in rows] == [(1, False), (None, True)]
+
+
 def test_empty_file(spark, tmp_path):
     path = str(tmp_path / "in")
     lines_of(spark, [""]).write.text(path)

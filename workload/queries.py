@@ -115,6 +115,20 @@ def written(lines: DataFrame, label: str, **options) -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a written table: computed once, however often a plan reads it."""
+    path = scratch_path(df.sparkSession, label)
+    tables.write_table(df, path)
+    return tables.read_table(df.sparkSession, path)
+
+
+def loaded(spark, lines_path: str, label: str, schema=None) -> DataFrame:
+    """A line file loaded into a landing table."""
+    path = scratch_path(spark, label)
+    landing_source.load_table(spark, lines_path, path, schema)
+    return tables.read_table(spark, path)
+
+
 # --- scans, cleaning, loads ---------------------------------------------------
 
 
@@ -129,8 +143,7 @@ def gzip_to_ndjson(spark, d):
     source = written(landing.item_lines(spark, d), "gzip", compression="gzip")
     target = scratch_path(spark, "plain")
     line_source.decompress(spark, source, target)
-    rows = landing_source.load_landing(spark, target, REVIEW_LANDING)
-    return array_as_text(rows, "helpful")
+    return array_as_text(loaded(spark, target, "items", REVIEW_LANDING), "helpful")
 
 
 @query
@@ -196,15 +209,13 @@ def ingest_metrics(spark, d):
 def load_metadata(spark, d):
     source, target = written(landing.metadata_lines(spark, d), "raw"), scratch_path(spark, "ndjson")
     record_source.clean_file(spark, source, target)
-    table = scratch_path(spark, "metadata")
-    landing_source.load_table(spark, target, table, PRODUCT_LANDING)
-    return tables.read_table(spark, table)
+    return loaded(spark, target, "metadata", PRODUCT_LANDING)
 
 
 @query
 def load_inferred(spark, d):
     path = written(landing.item_lines(spark, d), "ndjson")
-    rows = landing_source.load_landing(spark, path).select(*REVIEW_LANDING.fieldNames())
+    rows = loaded(spark, path, "items").select(*REVIEW_LANDING.fieldNames())
     return array_as_text(rows, "helpful")
 
 
@@ -406,18 +417,22 @@ def top_categories(spark, d):
 # --- merges, writes -------------------------------------------------------------------
 
 
-@query
-def merge_fct_review(spark, d):
-    """The days since the window opened, re-rated, merged into all reviews before today."""
-    fact = s_fact_unique(spark, d)
+def rated_again(fact: DataFrame) -> DataFrame:
+    """The reviews of the late-arrival window as they come in a second time, changed."""
     since = AS_OF - dt.timedelta(days=silver.LOOKBACK_DAYS)
-    source = (
+    return (
         fact.where(F.col("review_date") >= F.lit(since))
         .withColumn("helpful_votes", F.when(F.col("rating") > 1, F.col("helpful_votes") + 1))
         .withColumn("rating", 6 - F.col("rating"))
     )
+
+
+@query
+def merge_fct_review(spark, d):
+    """The days since the window opened, re-rated, merged into all reviews before today."""
+    fact = stored(s_fact_unique(spark, d), "fact")
     target = fact.where(F.col("review_date") < F.lit(AS_OF))
-    return merge_upsert(target, source, "review_sk")
+    return merge_upsert(target, rated_again(fact), "review_sk")
 
 
 @query
@@ -466,16 +481,10 @@ def fct_partitioned(spark, d):
 @query
 def fct_partitioned_merge(spark, d):
     """``merge_fct_review`` on the stored table: only the touched months are rewritten."""
-    fact = s_fact_unique(spark, d)
-    since = AS_OF - dt.timedelta(days=silver.LOOKBACK_DAYS)
+    fact = stored(s_fact_unique(spark, d), "fact")
     path = scratch_path(spark, "fact")
     fact_sink.write_fact(fact.where(F.col("review_date") < F.lit(AS_OF)), path)
-    source = (
-        fact.where(F.col("review_date") >= F.lit(since))
-        .withColumn("helpful_votes", F.when(F.col("rating") > 1, F.col("helpful_votes") + 1))
-        .withColumn("rating", 6 - F.col("rating"))
-    )
-    fact_sink.merge_fact(source, path)
+    fact_sink.merge_fact(rated_again(fact), path)
     return fact_sink.read_fact(spark, path)
 
 
