@@ -46,9 +46,11 @@ def join_salted(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     # Fewer than HOT_SHARES rows by construction, so broadcasting them is safe.
     hot = F.broadcast(hot)
     salts = F.coalesce("_pieces", F.lit(1))
+    # Content spreads different rows, the sending task spreads equal ones; both are
+    # the same again when a lost task is repeated, which a random salt is not.
+    spread = F.pmod(F.xxhash64(*facts.columns), salts) + F.spark_partition_id()
     salted_facts = facts.join(hot, key, "left").select(
-        *facts.columns,
-        F.pmod(F.xxhash64(*facts.columns), salts).cast("int").alias("_salt"),
+        *facts.columns, F.pmod(spread, salts).cast("int").alias("_salt")
     )
     salted_dimension = dimension.join(hot, key, "left").select(
         *dimension.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")

@@ -22,11 +22,14 @@ def with_month(fact: DataFrame) -> DataFrame:
 def _write(df: DataFrame, path: str, overwrite_mode: str) -> None:
     # Range partitioning on month and cluster keys gives each file a narrow key
     # range (row-group statistics then prune) and splits a heavy month or product
-    # over many tasks, which hashing on the month would not. The surrogate key is
-    # the last range column so that even one (month, product, reviewer) can split.
+    # over many tasks, which hashing on the month would not. The id of the sending
+    # task comes last, so that even copies of one review split; unlike a random
+    # number it is the same when a lost task runs again.
     keys = [MONTH, *CLUSTER, "review_sk"]
     (
-        df.repartitionByRange(*keys)
+        df.withColumn("_sender", F.spark_partition_id())
+        .repartitionByRange(*keys, "_sender")
+        .drop("_sender")
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite_mode)

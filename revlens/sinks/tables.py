@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.operators.merge import merge_upsert
+from revlens.session import scratch_path
 
 COMMIT_MARKER = "_COMMITTED"
 
@@ -70,12 +71,17 @@ def merge_table(
     key: str,
     update_columns: list[str] | None = None,
 ) -> None:
-    """Merge rows into a versioned table; the first run creates it."""
+    """Merge rows into a versioned table; the first run creates it.
+
+    The merge reads its source three times, so that is computed once and staged.
+    """
     spark = source.sparkSession
     if current_version(spark, table_dir) is None:
         return write_table(source, table_dir)
-    target = read_table(spark, table_dir)
-    return write_table(merge_upsert(target, source, key, update_columns), table_dir)
+    staged = scratch_path(spark, "merge-source")
+    source.write.parquet(staged)
+    target, incoming = read_table(spark, table_dir), spark.read.parquet(staged)
+    return write_table(merge_upsert(target, incoming, key, update_columns), table_dir)
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:

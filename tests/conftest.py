@@ -49,6 +49,21 @@ def column(frame):
     return run
 
 
+@pytest.fixture
+def conf(spark):
+    changed = {}
+
+    def set_all(**settings):
+        for key, value in settings.items():
+            key = key.replace("__", ".")
+            changed.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in changed.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def rows_of(df):
     """All rows as sorted tuples."""
     return sorted(map(tuple, df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

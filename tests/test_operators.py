@@ -102,21 +102,6 @@ def skewed(spark):
     return facts, dim
 
 
-@pytest.fixture
-def conf(spark):
-    changed = {}
-
-    def set_all(**settings):
-        for key, value in settings.items():
-            key = key.replace("__", ".")
-            changed.setdefault(key, spark.conf.get(key, None))
-            spark.conf.set(key, value)
-
-    yield set_all
-    for key, value in changed.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def check_skewed_result(joined):
     row = joined.agg(
         F.count("*").alias("n"), F.sum("d").alias("d"), F.countDistinct("v").alias("v")

@@ -121,6 +121,20 @@ def test_fact_is_clustered_within_months(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
 
+def test_copies_of_one_review_split_over_tasks(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    path = str(tmp_path / "f")
+    copies = spark.range(0, 40000, 1, 8).select(
+        F.lit("k").alias("review_sk"),
+        F.lit("r").alias("reviewer_id"),
+        F.lit("p").alias("product_id"),
+        F.lit(dt.date(2020, 1, 1)).alias("review_date"),
+    )
+    write_fact(copies, path)
+    sizes = [r["count"] for r in read_fact(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 40000 and max(sizes) < 20000
+
+
 def test_audit(spark, tmp_path):
     log = str(tmp_path / "audit")
     run = append_run(spark, log, "load", {"bad_records": 2, "elapsed_seconds": 1.5}, rows=7)
