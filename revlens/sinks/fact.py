@@ -20,17 +20,15 @@ def with_month(fact: DataFrame) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, overwrite_mode: str) -> None:
-    # Range partitioning on month and cluster keys gives each file a narrow key
-    # range (row-group statistics then prune) and splits a heavy month or product
-    # over many tasks, which hashing on the month would not. The id of the sending
-    # task comes last, so that even copies of one review split; unlike a random
-    # number it is the same when a lost task runs again.
-    keys = [MONTH, *CLUSTER, "review_sk"]
+    # Rebalancing by month gives each file one month and a sensible size: adaptive
+    # execution cuts a heavy month into slices of the map output (so even copies of
+    # one review split) and merges light ones. Sorted files let page statistics
+    # prune. Range partitioning would also narrow whole files, but samples its
+    # bounds by running the input, texts included, a second time.
+    order = [MONTH, *CLUSTER]
     (
-        df.withColumn("_sender", F.spark_partition_id())
-        .repartitionByRange(*keys, "_sender")
-        .drop("_sender")
-        .sortWithinPartitions(*keys)
+        df.hint("rebalance", MONTH)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite_mode)
         .partitionBy(MONTH)

@@ -438,7 +438,7 @@ def merge_fct_review(spark, d):
 @query
 def merge_dim_products(spark, d):
     """Today's products merged into a table that knew those with a category under old values."""
-    products = unstamped(s_products(spark, d))
+    products = stored(unstamped(s_products(spark, d)), "products")
     target = products.where(F.col("primary_category").isNotNull()).select(
         *[
             F.concat(F.lit("old "), c).alias(c) if c in ("product_name", "image_url") else F.col(c)
@@ -456,9 +456,8 @@ def merge_dim_reviewer(spark, d):
     seconds = F.lit((REVIEWERS_BEFORE - dt.date(1970, 1, 1)).days * 86400)
     early = unstamped(silver.dim_reviewer(reviews.where(F.col("unix_review_time") < seconds)))
     target = early.withColumn("first_review_timestamp", F.col("first_review_timestamp") + 86400)
-    return merge_upsert(
-        target, unstamped(silver.dim_reviewer(reviews)), "reviewer_id", ["reviewer_name"]
-    )
+    source = stored(unstamped(silver.dim_reviewer(reviews)), "reviewers")
+    return merge_upsert(target, source, "reviewer_id", ["reviewer_name"])
 
 
 @query
