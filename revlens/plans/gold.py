@@ -189,3 +189,17 @@ def weekend_review_behavior(fact: DataFrame, dates: DataFrame) -> DataFrame:
         "total_days",
         round_half_away(average).alias("avg_reviews_per_day"),
     )
+
+
+# Column each mart is read by, and whether ascending ("Weekend" sorts after "Weekday").
+READING_ORDER = {
+    "brand_repeated_reviewers": ("avg_reviews_per_reviewer", False),
+    "seasonality_and_reviews": ("month", True),
+    "weekend_review_behavior": ("day_type", False),
+}
+
+
+def in_reading_order(mart: DataFrame, name: str) -> DataFrame:
+    """A mart sorted for display; stored tables need no order, so builds skip it."""
+    column, ascending = READING_ORDER[name]
+    return mart.orderBy(column, ascending=ascending)

@@ -32,7 +32,7 @@ def append_run(
         result.get("bad_records", result.get("parse_errors")),
         result.get("elapsed_seconds"),
         json.dumps(result, ensure_ascii=False, default=str, sort_keys=True),
-        dt.datetime.now(),
+        dt.datetime.now(dt.timezone.utc),
     )
     spark.createDataFrame([record], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit_dir)
     return run_id

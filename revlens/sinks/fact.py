@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from revlens.functions import month_start
 from revlens.operators.merge import merge_upsert
 from revlens.session import scratch_path
+from revlens.sinks.tables import read_note, remove_note, write_note
 
 MONTH = "review_month"
 CLUSTER = ("product_id", "reviewer_id")
+PENDING_MERGE = "_pending_merge"
 
 
 def with_month(fact: DataFrame) -> DataFrame:
@@ -53,15 +55,25 @@ def read_fact(
     return fact.drop(MONTH)
 
 
+def _publish_merge(spark: SparkSession, path: str) -> None:
+    """Overwrite the touched months from the staged copy the pending note names."""
+    note = f"{path}/{PENDING_MERGE}"
+    staged_dir = read_note(spark, note)
+    if staged_dir is not None:
+        _write(spark.read.parquet(staged_dir), path, "dynamic")
+        remove_note(spark, note)
+
+
 def merge_fact(source: DataFrame, path: str) -> None:
     """Merge rows on ``review_sk``, rewriting only the months they fall in.
 
     The key contains the review time, so a row never changes its month and the
     other months cannot hold a match. The merged months are staged in the shared
-    folder first: the overwrite then reads a finished copy, and a job lost during
-    the overwrite can be run again from it.
+    folder and noted in the table before they replace the old ones; a job lost
+    half-way through the replacement is completed by the next merge.
     """
     spark = source.sparkSession
+    _publish_merge(spark, path)
     incoming_dir = scratch_path(spark, "fact-incoming")
     with_month(source).write.parquet(incoming_dir)
     incoming = spark.read.parquet(incoming_dir)
@@ -73,4 +85,5 @@ def merge_fact(source: DataFrame, path: str) -> None:
     touched = target.where(F.col(MONTH).isin(months))
     staged_dir = scratch_path(spark, "fact-merge")
     merge_upsert(touched, incoming.select(target.columns), "review_sk").write.parquet(staged_dir)
-    _write(spark.read.parquet(staged_dir), path, "dynamic")
+    write_note(spark, f"{path}/{PENDING_MERGE}", staged_dir)
+    _publish_merge(spark, path)

@@ -26,6 +26,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file next to table data (readers skip names that start with ``_``)."""
+    target, fs = _hadoop_path(spark, path)
+    stream = fs.create(target, True)
+    stream.writeUTF(text)
+    stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    target, fs = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    text = stream.readUTF()
+    stream.close()
+    return text
+
+
+def remove_note(spark: SparkSession, path: str) -> None:
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, False)
+
+
 def _versions(spark: SparkSession, table_dir: str, pattern: str) -> list[str]:
     glob, fs = _hadoop_path(spark, f"{table_dir}/{pattern}")
     return sorted(status.getPath().toString() for status in fs.globStatus(glob) or [])
@@ -48,8 +71,7 @@ def stage_version(df: DataFrame, table_dir: str, partition_by: tuple[str, ...] =
 
 def commit_version(spark: SparkSession, table_dir: str, path: str) -> None:
     """Publish a staged version."""
-    marker, fs = _hadoop_path(spark, f"{path}/{COMMIT_MARKER}")
-    fs.create(marker, True).close()
+    write_note(spark, f"{path}/{COMMIT_MARKER}", "")
 
 
 def write_table(df: DataFrame, table_dir: str) -> None:

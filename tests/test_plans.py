@@ -245,6 +245,17 @@ def test_reviews_per_reviewer(star):
     assert got == {("a", 2, "2-5 reviews", 2), ("b", 1, "1 review", 1)}
 
 
+def test_reading_order(star, frame):
+    fact, _, dates = star([("r", "p", d, 1.0, 0) for d in (1, 2, 40, 400)])
+    months = gold.in_reading_order(gold.seasonality_and_reviews(fact, dates), "seasonality_and_reviews")
+    assert [r.month for r in months.collect()] == [1, 2]
+    days = gold.in_reading_order(gold.weekend_review_behavior(fact, dates), "weekend_review_behavior")
+    assert [r.day_type for r in days.collect()] == ["Weekend", "Weekday"]
+    brands = frame("brand string, avg_reviews_per_reviewer double", ("a", 1.0), ("b", 3.0), ("c", 2.0))
+    ordered = gold.in_reading_order(brands, "brand_repeated_reviewers").collect()
+    assert [r.brand for r in ordered] == ["b", "c", "a"]
+
+
 def suite_tables(spark, products, reviews, **fact_changes):
     items = reviews(review("r", "1", DAY, overall=3.0, reviewText="x", helpful=[1, 2]))
     meta = products(FULL)

@@ -93,6 +93,29 @@ def test_fact_merge_touches_only_its_months(frame, rows, spark, tmp_path):
     assert read_fact(spark, path).count() == 5
 
 
+def test_a_merge_lost_half_way_is_completed_by_the_next(frame, rows, spark, tmp_path, monkeypatch):
+    import shutil
+
+    from revlens.sinks import fact as fact_sink
+
+    path = str(tmp_path / "f")
+    old = fact_rows(("a", "2020-01-05", 1.0), ("b", "2020-01-06", 2.0))
+    write_fact(frame(FACT, *old), path)
+    write = fact_sink._write
+
+    def lose(df, target, mode):
+        shutil.rmtree(f"{target}/review_month=2020-01-01")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(fact_sink, "_write", lose)
+    with pytest.raises(RuntimeError, match="lost"):
+        merge_fact(frame(FACT, *fact_rows(("b", "2020-01-06", 9.0))), path)
+    monkeypatch.setattr(fact_sink, "_write", write)
+    merge_fact(frame(FACT, *fact_rows(("c", "2020-02-01", 3.0))), path)
+    assert [(r[0], r[4]) for r in rows(read_fact(spark, path))] == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
+    assert not os.path.exists(f"{path}/{fact_sink.PENDING_MERGE}")
+
+
 def test_fact_reader_prunes_months(frame, spark, tmp_path):
     path = str(tmp_path / "f")
     write_fact(frame(FACT, *fact_rows(("a", "2020-01-05", 1.0), ("b", "2020-02-05", 2.0))), path)
