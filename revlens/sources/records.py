@@ -30,10 +30,19 @@ from revlens.sources.lines import normalize_lines, read_lines, require_utf8
 
 END_MARKER = "~revlens-end-of-record~"
 
-# A literal leaves route 2 when the two grammars, or their printed numbers,
-# could differ: escapes; words that are JSON or float tokens; numbers beyond
-# exact doubles; whole floats (printed "9.0" by Python).
-_UNSAFE_LITERAL = r"\\|true|false|null|NaN|INF|Infinity|[0-9]{16}|\.0+(?![0-9])"
+# How a strict object can start. Other lines with a brace are spared the attempt,
+# as a failed parse costs far more than a successful one.
+_OBJECT_START = r"^\{\s*[\"}]"
+
+# A literal leaves route 2 when the two grammars, or their printed numbers, could
+# differ: escapes; bare words (JSON's are no Python, Python's no JSON); numbers
+# beyond exact doubles; whole floats, which Python prints as "9.0"; and string
+# prefixes. Bare tokens stand at the start or after a separator.
+_UNSAFE_LITERAL = (
+    r"\\|[{:,\[]\s*[bruBRU]+[\"']|(?:^|[:,\[])\s*(?:"
+    r"true|false|null|None|True|False|[-+]?(?:NaN|INF|Infinity)"
+    r"|[-+]?[0-9]+\.0+(?![0-9])|-?[0-9.]{16})"
+)
 
 
 def _closed(line: Column) -> Column:
@@ -49,7 +58,8 @@ def _is_whole(parsed: Column, line: Column) -> Column:
 
 def is_strict_json(line: Column) -> Column:
     """True if the line is exactly one JSON value."""
-    return _is_whole(F.try_parse_json(_closed(line)), line)
+    possible = ~line.startswith("{") | line.rlike(_OBJECT_START)
+    return _is_whole(F.try_parse_json(F.when(possible, _closed(line))), line)
 
 
 # Ship the function below with the plan, so executors need no copy of this package.
