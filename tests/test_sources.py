@@ -43,7 +43,7 @@ def test_normalize_lines(spark):
     assert got == ['{"a":1}', '{"a":1}', '{"a":1},', "{'a': 1} ", "x"]
 
 
-def reference_record(line):
+def python_record(line):
     """What a line means, by Python's own parsers; None for a bad line."""
     try:
         return json.loads(line)
@@ -78,7 +78,7 @@ def test_every_record_shape(spark, native):
     got = {r.value: r.record for r in df.collect()}
     for line in SHAPES:
         assert got[line] is not None, line
-        assert repr(json.loads(got[line])) == repr(reference_record(line)), line
+        assert repr(json.loads(got[line])) == repr(python_record(line)), line
     for line in BAD:
         assert got[line] is None, line
 
@@ -118,7 +118,7 @@ def test_python_and_json_text_of_any_record_survive(spark, records):
     texts = [t for t in texts if t == t.strip() and "\n" not in t]
     got = {r.value: r.record for r in clean_records(lines_of(spark, texts)).collect()}
     for text in texts:
-        assert json.loads(got[text]) == reference_record(text)
+        assert json.loads(got[text]) == python_record(text)
 
 
 @settings(max_examples=15, deadline=None)

@@ -150,7 +150,10 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     frame = F.when(
         _divides("p_partkey", 40) & ~C("is_copy"),
-        F.element_at(F.array(F.lit("["), F.lit(" ] "), F.lit(","), F.lit("")), (C("p_partkey") / 40 % 4 + 1).cast("int")),
+        F.element_at(
+            F.array(F.lit("["), F.lit(" ] "), F.lit(","), F.lit("")),
+            (C("p_partkey") / 40 % 4 + 1).cast("int"),
+        ),
     )
     lines = F.explode(F.array_compact(F.array(line, noise, frame)))
     return products.select(lines.alias("value"))
