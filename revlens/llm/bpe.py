@@ -27,6 +27,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.llm.common import map_arrow, rows_of, table
 
+# Letters and numbers that Unicode 16 added to the 15.1 known to this Python, as
+# the public tokenizer library splits by Unicode 16; and capitals of newer versions that it
+# lower-cases, as (first, last, first small letter).
+ADDED_LETTERS = """1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389
+1138B 1138E 11390-113B5 113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"""
+ADDED_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+NEW_CAPITALS = [
+    (0x1C89, 0x1C89, 0x1C8A),
+    (0xA7CB, 0xA7CB, 0x0264),
+    (0xA7CC, 0xA7CC, 0xA7CD),
+    (0xA7CE, 0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5),
+    (0xA7DA, 0xA7DA, 0xA7DB),
+    (0xA7DC, 0xA7DC, 0x019B),
+    (0x10D50, 0x10D65, 0x10D70),
+    (0x16EA0, 0x16EB8, 0x16EBB),
+]
+
 # Words kept in a worker's memo of encodings; it starts anew when full.
 MEMO_WORDS = 150_000
 LONGEST_MEMO = 64
@@ -113,6 +132,28 @@ class Automaton:
         return ids[::-1]
 
 
+def _ranges(text: str) -> list[range]:
+    """Ranges of code points written as hexadecimal ``first-last`` or ``only``."""
+    ends = [[int(x, 16) for x in item.split("-")] for item in text.split()]
+    return [range(e[0], e[-1] + 1) for e in ends]
+
+
+@lru_cache(1)
+def _unknown_letters() -> str:
+    """A character class of what the regex library takes for letters or numbers, but Unicode
+    16 does not know."""
+    import regex
+
+    added = {c for r in _ranges(ADDED_LETTERS + " " + ADDED_NUMBERS) for c in r}
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    newer = [
+        ord(c)
+        for c in regex.findall(r"[\p{L}\p{N}]", everything)
+        if unicodedata.category(c) == "Cn" and ord(c) not in added
+    ]
+    return "[" + "".join(f"\\U{c:08x}" for c in newer) + "]"
+
+
 @lru_cache(1)
 def byte_characters() -> tuple[str, ...]:
     """The printable stand-in of each byte: itself if printable Latin-1, else from U+0100 on."""
@@ -124,6 +165,15 @@ def byte_characters() -> tuple[str, ...]:
     return tuple(shown)
 
 
+def _latin(text: str) -> bool:
+    """Whether a text has Latin-1 characters only (a fast test)."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Codec:
     """Encoding and decoding of whole texts with one vocabulary file.
 
@@ -146,7 +196,17 @@ class Codec:
         self.label_list = [self.labels.get(i, "") for i in range(size)]
         self.specials = regex.compile("|".join(map(regex.escape, self.special)))
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(split).findall
+        self.split = regex.compile(split).findall
+        # The same pattern where letters unknown to Unicode 16 are neither letters nor numbers.
+        unknown = _unknown_letters()
+        careful = split.replace(r"[^\s\p{L}\p{N}]+", rf"(?:{unknown}|[^\s\p{{L}}\p{{N}}])+")
+        careful = careful.replace(r"[\p{L}]+", rf"(?:(?!{unknown})\p{{L}})+")
+        self.careful_split = regex.compile(careful.replace(r"[\p{N}]", rf"(?!{unknown})\p{{N}}")).findall
+        self.has_unknown = regex.compile(unknown).search
+        self.capitals = {
+            c: small + c - first for first, last, small in NEW_CAPITALS for c in range(first, last + 1)
+        }
+        self.has_capital = regex.compile("[" + "".join(map(chr, self.capitals)) + "]").search
         self.blanks = regex.compile(r"\s+").sub
         self.memo: dict[str, bytes] = {}
 
@@ -157,8 +217,16 @@ class Codec:
                 text = unicodedata.normalize("NFC", text)
             # Lower-casing one character at a time knows no final sigma.
             text = text.replace("Σ", "σ")
+            if not _latin(text) and self.has_capital(text):
+                text = text.translate(self.capitals)
         return self.blanks(" ", text).lower()
 
+    def pieces(self, text: str) -> list[str]:
+        """A normalized text cut by the file's pattern."""
+        if _latin(text) or not self.has_unknown(text):
+            return self.split(text)
+        return self.careful_split(text)
+
     def piece(self, piece: str) -> bytes:
         """Ids of one piece as little-endian 32-bit integers."""
         shown = byte_characters()
