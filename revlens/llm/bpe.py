@@ -291,26 +291,33 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in rows_of(batches):
             ids = [code.encode(text) for text in batch.column(names.index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.large_binary())], [*names, "ids"]
+                [*batch.columns, pa.array(ids, pa.binary())], [*names, "ids"]
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return map_arrow(docs.select(*names), encode, f"{schema}, ids binary")
 
 
-def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids) to (doc_id, decoded): the exact text of the labels; null ids give ''."""
+def decode_documents(encoded: DataFrame, path: str | None = None, keep: bool = False) -> DataFrame:
+    """(doc_id, ids) to (doc_id, decoded): the exact text of the labels; null ids give ''.
+
+    With ``keep`` all columns stay beside the new one (a column decoded is replaced).
+    """
     path = path or default_vocabulary()
+    fields = [f for f in encoded.schema.fields if f.name != "decoded" and (keep or f.name in ("doc_id", "ids"))]
+    names = [f.name for f in fields]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)
         for batch in rows_of(batches):
-            texts = [code.decode(ids or b"") for ids in batch.column(1).to_pylist()]
+            texts = [code.decode(ids or b"") for ids in batch.column(names.index("ids")).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.large_string())], ["doc_id", "decoded"]
+                [*batch.columns, pa.array(texts, pa.string())], [*names, "decoded"]
             )
 
-    return map_arrow(encoded.select("doc_id", "ids"), decode, "doc_id long, decoded string")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    decoded = map_arrow(encoded.select(*names), decode, f"{schema}, decoded string")
+    return decoded if keep else decoded.select("doc_id", "decoded")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from math import factorial, log2
+from math import lgamma, log, log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +32,9 @@ KINDS = ("assign", "access", "hex", "guess")
 CONTEXTS = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[_\x20-]?key|access[_\x20-]?key"""
     r"""|private[_\x20-]?key|auth(?:orization)?|client[_\x20-]?secret)["']?\x20*(?::=|=>|[:=])\x20*"""
-    r"""(?:bearer\x20+|basic\x20+)?(?:"([^"\n]{6,256})"|'([^'\n]{6,256})'|([^\s"',;<>]{6,256}))"""
+    r"""(?:bearer\x20+|basic\x20+)?(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"',;<>]{6,}))"""
     r"""|\b(?:bearer|basic)\x20+([A-Za-z0-9+/_.=~-]{16,})"""
-    r"""|[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,128}:([^\s/@]{6,256})@""",
+    r"""|[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,128}:([^\s/@]{6,})@""",
     re.ASCII | re.IGNORECASE,
 )
 _HINTS = ("pass", "pwd", "secret", "token", "cred", "key", "auth", "bearer", "basic", "://")
@@ -58,7 +58,7 @@ LEET = str.maketrans("@4831!|05$7+2", "aabeiiiosstt" + "z")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = ("~!@#$%^&*()_+", "QWERTYUIOP{}|", 'ASDFGHJKL:"', "ZXCVBNM<>?")
 KEYS = {
-    key: (row + column / 1.0 * 0, column + row * 0.5, row)
+    key: (row, column + row * 0.5)
     for rows in (ROWS, SHIFTED)
     for row, keys in enumerate(rows)
     for column, key in enumerate(keys)
@@ -125,35 +125,49 @@ def _walk_ends(value: str) -> list[int]:
     ends = list(range(1, len(value) + 1))
     for i in range(len(value) - 2, -1, -1):
         here, there = KEYS.get(value[i]), KEYS.get(value[i + 1])
-        if here and there and abs(here[2] - there[2]) <= 1 and abs(here[1] - there[1]) <= 1:
+        if here and there and abs(here[0] - there[0]) <= 1 and abs(here[1] - there[1]) <= 1:
             ends[i] = ends[i + 1]
     return ends
 
 
 def _run_ends(value: str) -> list[int]:
     """For each place, where a run with a constant step (0, 1 or -1) from it ends."""
-    ends = list(range(1, len(value) + 1))
-    for i in range(len(value)):
-        for step in (0, 1, -1):
-            end = i + 1
-            while end < len(value) and ord(value[end]) - ord(value[end - 1]) == step:
-                end += 1
-            ends[i] = max(ends[i], end)
+    ends, steps = list(range(1, len(value) + 1)), [None] * len(value)
+    for i in range(len(value) - 2, -1, -1):
+        step = ord(value[i + 1]) - ord(value[i])
+        if step in (0, 1, -1):
+            ends[i], steps[i] = ends[i + 1] if steps[i + 1] in (None, step) else i + 2, step
     return ends
 
 
+def _period(value: str) -> int | None:
+    """The least period that fits at least twice, by the borders of all prefixes."""
+    border = [0] * len(value)
+    for i in range(1, len(value)):
+        k = border[i - 1]
+        while k and value[i] != value[k]:
+            k = border[k - 1]
+        border[i] = k + (value[i] == value[k])
+    period = len(value) - border[-1]
+    return period if 2 * period <= len(value) else None
+
+
+def _orders(segments: int) -> float:
+    """log2 of the number of orders of segments."""
+    return lgamma(segments + 1) / log(2)
+
+
 def guess_bits(value: str) -> float:
     """log2 of the guesses for ``value``: the cheapest segmentation, counted once per order.
 
     Dynamic programming over the end of the prefix and the number of segments; the cost is
     the product of the segments' guesses times the factorial of their number. A period that
-    repeats costs its unit once and a count. Values are at most 256 characters here, longer
-    ones are costed by their first 256 (the cost only grows with length).
+    repeats costs its unit once and a count. Time is linear in the length: walks and runs are
+    taken whole, and eight numbers of segments are kept per prefix.
     """
-    value = value[:256]
     if not value:
         return 0.0
-    unit = next((p for p in range(1, len(value) // 2 + 1) if value == (value[:p] * (len(value) // p + 1))[: len(value)]), None)
+    unit = _period(value)
     if unit:
         return guess_bits(value[:unit]) + log2(len(value) / unit + 1)
     per_character = log2(_alphabet(value))
@@ -163,8 +177,8 @@ def guess_bits(value: str) -> float:
             ending.setdefault(end, []).append((start, bits))
     for ends, least, cost in ((_walk_ends(value), 4, 8.0), (_run_ends(value), 3, 6.0)):
         for start, end in enumerate(ends):
-            for stop in range(start + least, end + 1):
-                ending.setdefault(stop, []).append((start, cost + log2(stop - start)))
+            if end - start >= least and (not start or ends[start - 1] != end):
+                ending.setdefault(end, []).append((start, cost + log2(end - start)))
     # best[end]: segments to cheapest bits; brute-force spans extend one another for free.
     best: list[dict[tuple[int, bool], float]] = [{(0, False): 0.0}]
     for end in range(1, len(value) + 1):
@@ -177,8 +191,8 @@ def guess_bits(value: str) -> float:
                 key = (count + 1, False)
                 row[key] = min(row.get(key, 1e9), bits + cost)
         # Few segments suffice; with more, the factorial outweighs any gain.
-        best.append(dict(sorted(row.items(), key=lambda x: x[1] + log2(factorial(x[0][0])))[:8]))
-    return min(bits + log2(factorial(count)) for (count, _), bits in best[-1].items())
+        best.append(dict(sorted(row.items(), key=lambda x: x[1] + _orders(x[0][0]))[:8]))
+    return min(bits + _orders(count) for (count, _), bits in best[-1].items())
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
