@@ -98,9 +98,7 @@ class Trees:
         self.lengths: list[np.ndarray] = []
         self.escapes: list[np.ndarray] = []
         for order in range(ORDER + 1):
-            shift = np.uint64(8 * (ORDER - order))
             mask = np.uint64(2 ** (8 * (order + 1)) - 1)
-            del shift
             names = np.unique(every & mask)
             contexts = np.unique(names >> np.uint64(8))
             lengths = np.empty((len(names), width), np.float32)
@@ -123,7 +121,7 @@ class Trees:
             self.lengths.append(lengths)
             self.escapes.append(escapes)
         self.contexts = [np.unique(names >> np.uint64(8)) for names in self.names]
-        self._index()
+        self.run: np.ndarray | None = None
 
     def _shorter(self, order: int, names: np.ndarray, lang: int) -> np.ndarray:
         """Code lengths of the last bytes of ``names`` in the context shorter by one byte."""
@@ -133,7 +131,10 @@ class Trees:
         return self.lengths[order - 1][np.searchsorted(self.names[order - 1], below), lang]
 
     def _index(self) -> None:
-        """Direct tables: pair of bytes to a small number, two such numbers to the run."""
+        """Direct tables: pair of bytes to a small number, two such numbers to the run.
+
+        Made where they are used: they are larger than what they are made from.
+        """
         names = self.names[ORDER]
         halves = np.concatenate([names >> np.uint64(16), names & np.uint64(0xFFFF)])
         pairs, counts = np.unique(halves, return_counts=True)
@@ -148,6 +149,8 @@ class Trees:
 
     def code_lengths(self, codes: np.ndarray) -> np.ndarray:
         """Code length in bits of each run's last byte, by language."""
+        if self.run is None:
+            self._index()
         at = self.run[self.pair[codes >> np.uint32(16)] * np.uint32(PAIRS) + self.pair[codes & np.uint32(0xFFFF)]]
         lengths = self.rows[at]
         missing = np.flatnonzero(at == 0)
