@@ -1,17 +1,21 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A document's signature has 64 symbols of 16 bits, one per hash function. Signatures of sets
+A document's signature has 70 symbols of 16 bits, one per hash function. Signatures of sets
 with Jaccard similarity s agree in each symbol with probability s. The index cuts signatures
-into 16 chunks of 4 symbols and stores each chunk once per symbol left out, so chunks that
-differ in at most one symbol meet. Two signatures that differ in at most 31 symbols have such
-a chunk (32 errors are needed for two in each of 16), so every pair within distance 31 meets.
-At similarity 0.8 a pair differs in 12.8 symbols on average; more than 31 has a probability
-of about 1e-7. Pairs that meet are confirmed on the whole shingle sets.
+into 14 chunks of 5 symbols and stores each chunk once per symbol left out, so chunks that
+differ in at most one symbol meet. Two signatures that differ in at most 27 symbols have such
+a chunk (28 errors are needed for two in each of 14), so every pair within distance 27 meets;
+of pairs at similarity 0.8 about one in 1e8 has no such chunk. Pairs that meet go on if they
+differ in at most 32 symbols (at similarity 0.8 they differ in 14 on average, and in more
+than 32 with a probability below 1e-6) and are confirmed on the whole shingle sets.
 
 Groups of copies are never expanded into pairs. Equal sets are one node. In each bucket all
-members are first compared with one leader; after the confirmed links are joined into
-components, only members outside the leader's component are compared with the others, and
-only across components, which finds every link that could still join two of them.
+members are first compared with three leaders; after the confirmed links are joined into
+components, a member outside its leader's component is compared, by whole sets, with all of
+that component, and reports one link at most; what is then still outside is compared with
+its like by signatures. That finds every link that could still join two components. Large
+components and buckets are cut into blocks, and a pair is reported by the first bucket it
+shares.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import (
     map_arrow,
     rows_of,
+    shuffle_width,
     smallest_reachable,
     spread,
     stage,
@@ -36,10 +41,14 @@ from revlens.llm.common import (
 
 SHINGLE = 2
 SIMILARITY_PERCENT = 80
-SYMBOLS = 64
-CHUNK = 4
-# Distance below which two signatures are certain to share an index entry.
-DISTANCE = 2 * (SYMBOLS // CHUNK) - 1
+SYMBOLS = 70
+CHUNK = 5
+# Pairs within 2 * (SYMBOLS // CHUNK) - 1 are certain to meet; those beyond this are not near.
+DISTANCE = 32
+# Members per block of a large bucket.
+BLOCK = 2000
+# Members per block of a large component.
+COMPONENT_BLOCK = 500
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -70,7 +79,7 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(values: np.ndarray) -> np.ndarray:
-    """The 64 symbols of a non-empty shingle set; bounded memory for any length."""
+    """The symbols of a non-empty shingle set; bounded memory for any length."""
     factors, offsets = _functions()
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(values), 2048):
@@ -100,32 +109,128 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, sig) to (key, node): each chunk, once per symbol left out."""
+def _keys(symbols: np.ndarray) -> np.ndarray:
+    """Index entries of signatures, by row: each chunk, once per symbol left out."""
     kept = np.array([[i for i in range(CHUNK) if i != out] for out in range(CHUNK)])
     chunks = SYMBOLS // CHUNK
-    place = np.arange(chunks * CHUNK, dtype=np.uint64).reshape(chunks, CHUNK)
+    parts = symbols.reshape(-1, chunks, CHUNK)[:, :, kept].astype(np.uint64)
+    keys = np.arange(chunks * CHUNK, dtype=np.uint64).reshape(1, chunks, CHUNK)
+    for i in range(CHUNK - 1):
+        keys = spread((keys << np.uint64(16)) ^ parts[..., i])
+    return keys.view(np.int64).reshape(len(parts), -1)
+
+
+def _symbols(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+
+
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, sig) to (key, node)."""
     for batch in rows_of(batches, 10_000):
+        keys = _keys(_symbols(batch.column(1)))
         nodes = batch.column(0).to_numpy()
-        symbols = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
-        parts = symbols.reshape(-1, chunks, CHUNK)[:, :, kept].astype(np.uint64)
-        keys = place[None]
-        for i in range(CHUNK - 1):
-            keys = (keys << np.uint64(16)) | parts[..., i]
-        keys = spread(keys).view(np.int64).reshape(len(nodes), -1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.ravel()), pa.array(np.repeat(nodes, keys.shape[1]))], ["key", "node"]
         )
 
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, o, m, outside, node, root, sig), sorted by the first three, to near pairs (a, b).
+
+    One (key, o, m) at a time: two blocks of members outside the main component. A block has
+    about BLOCK rows, whatever the bucket.
+    """
+    yield from _by_group(batches, 3, _blocks)
+
+
+def _by_group(batches, width: int, work) -> Iterator[pa.RecordBatch]:
+    """``work(table, cuts)`` on sorted rows, whole groups of the first ``width`` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table_ = pa.Table.from_batches(held).combine_chunks()
+        new = _cuts(table_, width)
+        if not len(new):
+            continue
+        # The last block may go on in the next batch.
+        done, held = table_.slice(0, new[-1]), table_.slice(new[-1]).to_batches()
+        yield from work(done, np.append(0, new))
+    if held:
+        table_ = pa.Table.from_batches(held).combine_chunks()
+        yield from work(table_, np.concatenate([[0], _cuts(table_, width), [table_.num_rows]]))
+
+
+def _cuts(table_: pa.Table, width: int) -> np.ndarray:
+    names = [table_.column(i).to_numpy() for i in range(width)]
+    return np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], axis=0)) + 1
+
+
+def _join_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, block, outside, node, items), sorted by the first two, to links (a, b)."""
+    yield from _by_group(batches, 2, _linked)
+
+
+def _linked(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per outside node and block one link to a member, if there is any, by whole sets."""
+    outside, nodes = table_.column("outside").to_numpy(), table_.column("node").to_numpy()
+    column = table_.column("items").combine_chunks()
+    offsets, items = column.offsets.to_numpy(), column.flatten().to_numpy()
+    offsets = offsets - offsets[0]
+    sizes = np.diff(offsets)
+    for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        rows = np.arange(begin, end)
+        asked, members = rows[outside[rows]], rows[~outside[rows]]
+        if not len(asked) or not len(members):
+            continue
+        values = np.concatenate([items[offsets[r] : offsets[r + 1]] for r in members])
+        owner = np.repeat(np.arange(len(members)), sizes[members])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        found = []
+        for row in asked:
+            own = items[offsets[row] : offsets[row + 1]]
+            low, high = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+            count = high - low
+            at = np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())
+            both = np.bincount(owner[at], minlength=len(members))
+            union = len(own) + sizes[members] - both
+            hits = np.flatnonzero(100 * both >= SIMILARITY_PERCENT * union)
+            if len(hits):
+                found.append((nodes[row], nodes[members[hits[0]]]))
+        if found:
+            a, b = np.array(found).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _blocks(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    keys, outside, nodes, roots = (
+        table_.column(c).to_numpy() for c in ("key", "outside", "node", "root")
+    )
+    symbols = _symbols(table_.column("sig"))
+    for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        rows = np.arange(begin, end)
+        left, right = rows[outside[rows]], rows[~outside[rows]]
+        for start in range(0, len(left), 64):
+            part = left[start : start + 64]
+            near = (symbols[part][:, None] != symbols[right][None]).sum(axis=2) <= DISTANCE
+            near &= roots[part][:, None] != roots[right][None]
+            near &= nodes[part][:, None] < nodes[right][None]
+            i, j = np.nonzero(near)
+            if not len(i):
+                continue
+            i, j = part[i], right[j]
+            first = np.argmax(_keys(symbols[i]) == _keys(symbols[j]), axis=1)
+            here = _keys(symbols[i])[np.arange(len(i)), first] == keys[begin]
+            a, b = nodes[i[here]], nodes[j[here]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sig_a, sig_b) to the pairs (a, b) within the signature distance."""
     for batch in batches:
-        left, right = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-            for c in (2, 3)
-        )
-        near = (left != right).sum(axis=1) <= DISTANCE
+        near = (_symbols(batch.column(2)) != _symbols(batch.column(3))).sum(axis=1) <= DISTANCE
         yield pa.RecordBatch.from_arrays(
             [batch.column(i).filter(pa.array(near)) for i in range(2)], ["a", "b"]
         )
@@ -157,16 +262,19 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_arrow(sized.select("a", "b", "sig_a", "sig_b"), _close, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose whole sets have the similarity. Texts are fetched for their nodes only."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, items): whole shingle sets of the wanted nodes, from one text each."""
     named = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("textkey").alias("_key"), F.col("doc").alias("_doc")
     )
     texts = docs.join(
         named, (F.col("textkey") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     ).dropDuplicates(["node"])
-    sets = stage(map_arrow(texts.select("node", "text"), _sets, "node long, items array<long>"), "sets")
+    return stage(map_arrow(texts.select("node", "text"), _sets, "node long, items array<long>"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose whole sets have the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -179,6 +287,56 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _every(count: str):
+    return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+
+def _block_of(node: str, count: str):
+    return F.pmod(F.xxhash64(node), F.col(count)).cast("int")
+
+
+def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of ``outside`` (node, main) to members of the component ``main``."""
+    asked = outside.select("node", F.col("main").alias("root")).distinct()
+    counts = (
+        roots.join(asked.select("root").distinct(), "root", "left_semi")
+        .groupBy("root")
+        .agg(F.ceil(F.count("*") / COMPONENT_BLOCK).cast("int").alias("blocks"))
+    )
+    members = roots.join(counts, "root").select(
+        "root", _block_of("node", "blocks").alias("block"), F.lit(False).alias("outside"), "node"
+    )
+    others = asked.join(counts, "root").select("root", _every("blocks").alias("block"), F.lit(True).alias("outside"), "node")
+    rows = members.unionByName(others).join(sets, "node").select("root", "block", "outside", "node", "items")
+    dealt = rows.repartition(shuffle_width(sets.sparkSession), "root", "block")
+    return map_arrow(dealt.sortWithinPartitions("root", "block"), _join_components, "a long, b long")
+
+
+def _pairs_outside(labelled: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Near pairs of bucket members that are both outside the main component, each once.
+
+    ``labelled``: (key, node, root, main) as of before ``roots``.
+    """
+    outside = labelled.filter("root <> main").select("key", "node")
+    counts = outside.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    blocked = (
+        outside.join(counts, "key")
+        .join(roots, "node", "left")
+        .select("key", "node", F.coalesce("root", "node").alias("root"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    left = blocked.select("key", _block_of("node", "blocks").alias("o"), _every("blocks").alias("m"), F.lit(True).alias("outside"), "node", "root")
+    right = blocked.select("key", _every("blocks").alias("o"), _block_of("node", "blocks").alias("m"), F.lit(False).alias("outside"), "node", "root")
+    rows = left.unionByName(right).join(nodes.select("node", "sig"), "node")
+    dealt = rows.select("key", "o", "m", "outside", "node", "root", "sig").repartition(
+        shuffle_width(nodes.sparkSession), "key", "o", "m"
+    )
+    return map_arrow(dealt.sortWithinPartitions("key", "o", "m"), _across, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, textkey, n_shingles, component_id, kept), one per row of ``docs``.
 
@@ -207,44 +365,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     entries = map_arrow(nodes.select("node", "sig"), _index, "key long, node long")
-    shared = entries.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("leader"))
-    buckets = stage(
-        entries.join(shared.filter("size > 1").drop("size"), "key"), "buckets"
+    shared = entries.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.min("node").alias("leader"),
+        F.max("node").alias("second"),
+        F.max(F.xxhash64("node")).alias("third"),
     )
-    led = buckets.filter("node <> leader").select(
-        F.col("leader").alias("a"), F.col("node").alias("b")
+    buckets = stage(entries.join(shared.filter("size > 1"), "key"), "buckets")
+    third = buckets.filter(F.xxhash64("node") == F.col("third")).select("key", F.col("node").alias("c"))
+    led = buckets.join(third, "key").select(
+        "node", F.explode(F.array_distinct(F.array("leader", "second", "c"))).alias("with")
+    )
+    led = led.filter("node <> with").select(
+        F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")
     ).distinct()
     near_leader = stage(_near(led, nodes), "near")
-    links = stage(_confirmed(near_leader, nodes, texts), "links")
+    crowds = buckets.filter("size > 2")
+    wanted = _ends(near_leader).unionByName(crowds.select("node")).distinct()
+    sets = _shingle_sets(wanted, nodes, texts)
+    links = stage(_confirmed(near_leader, sets), "links")
     roots = stage(smallest_reachable(links), "roots")
-
-    # Members of a bucket outside its leader's component, against all members elsewhere.
-    def root_of(column: str, name: str):
-        return roots.select(F.col("node").alias(column), F.col("root").alias(name))
-
-    labelled = (
-        buckets.join(root_of("node", "r"), "node", "left")
-        .join(root_of("leader", "lr"), "leader", "left")
-        .select("key", "node", F.coalesce("r", "node").alias("root"), F.coalesce("lr", "leader").alias("main"))
-    )
-    # A bucket that is one component needs nothing; find those that are not.
-    split = labelled.filter("root <> main").select("key").distinct()
-    labelled = stage(labelled.join(split, "key", "left_semi"), "split-buckets")
-    outside = labelled.filter("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    members = labelled.select(
-        "key", F.col("node").alias("b"), F.col("root").alias("rb"), (F.col("root") == F.col("main")).alias("is_main")
+    # A bucket that is one component needs nothing more.
+    labelled = stage(
+        crowds.join(roots, "node", "left")
+        .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left")
+        .select("key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("main", "leader").alias("main")),
+        "labelled",
     )
-    across = (
-        outside.join(members, "key")
-        .filter("ra <> rb and (is_main or a < b)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(near_leader.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    near_others = stage(_near(across, nodes), "near")
-    if not near_others.isEmpty():
-        links = links.unionByName(_confirmed(near_others, nodes, texts))
-        roots = stage(smallest_reachable(links), "roots")
+    more = stage(_links_to_components(labelled.filter("root <> main"), roots, sets), "links")
+    links = links.unionByName(more)
+    roots = stage(smallest_reachable(links), "roots")
+    pairs = _pairs_outside(labelled, roots, nodes).join(near_leader, ["a", "b"], "left_anti")
+    more = stage(_confirmed(stage(pairs, "near"), sets), "links")
+    if not more.isEmpty():
+        roots = stage(smallest_reachable(links.unionByName(more)), "roots")
     rooted = nodes.join(roots, "node", "left").select(
         "node", "doc", F.coalesce("root", "node").alias("root")
     )
