@@ -4,6 +4,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Decimal notation, and the names of the special values.
+DECIMAL_LITERAL = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient in double precision (a ``1.0`` literal would make it DECIMAL)."""
     return numerator.cast("double") / denominator.cast("double")
@@ -25,8 +29,12 @@ def try_double(text: Column) -> Column:
 
 
 def strict_double(text: Column) -> Column:
-    """Text to double; text that is no number fails the job in any ANSI mode."""
-    number = try_double(text)
+    """Text to double; text that is no number fails the job in any ANSI mode.
+
+    Only decimal literals, infinities and NaN are numbers; the JVM's own forms (``1.5d``,
+    ``0x1p3``) are not.
+    """
+    number = F.when(text.rlike(DECIMAL_LITERAL), try_double(text))
     message = F.concat(F.lit("not a number: "), text)
     bad = text.isNotNull() & number.isNull()
     return F.when(bad, F.raise_error(message).cast("double")).otherwise(number)

@@ -29,11 +29,6 @@ LEAF = 512
 FANOUT = 8
 
 
-def _vectors(column: pa.ListArray, width: int) -> np.ndarray:
-    """Rows of a list column of non-null lists as doubles; lists must have one length."""
-    return np.asarray(column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)).reshape(-1, width)
-
-
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, embedding) to (node, width, unit vector as bytes of doubles)."""
     for batch in rows_of(batches):
@@ -219,8 +214,8 @@ def _near_leaves(leaves: DataFrame, eps: float) -> DataFrame:
     def level(n: int) -> DataFrame:
         merged = boxes.withColumn("part", F.floor(F.col("leaf") / FANOUT**n))
         # A dimension that the narrower vectors lack counts as equal.
-        low = [F.min(F.col("low")[i]).alias(f"low{i}") for i in range(LEADING)]
-        high = [F.max(F.col("high")[i]).alias(f"high{i}") for i in range(LEADING)]
+        low = [F.min(F.get("low", F.lit(i))).alias(f"low{i}") for i in range(LEADING)]
+        high = [F.max(F.get("high", F.lit(i))).alias(f"high{i}") for i in range(LEADING)]
         return merged.groupBy("part", "width").agg(*low, *high)
 
     def side(n: int, name: str) -> DataFrame:

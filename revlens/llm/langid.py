@@ -211,9 +211,9 @@ def has_letter(text: str) -> bool:
 
 
 def predict(docs: DataFrame, trees: Trees | None, columns: list[str]) -> DataFrame:
-    """``docs``' ``columns`` with lang_pred and score.
+    """``docs``' ``columns`` with _lang and _share (of these names the new ones).
 
-    score is the predicted language's share of exp2(-bits per 16 bytes) over all languages,
+    _share is the predicted language's share of exp2(-bits per 16 bytes) over all languages,
     between 0 and 1. A null text, one without a letter, or a lack of languages gives ``und``
     and 0. Ties go to the language first by code point.
     """
@@ -241,13 +241,13 @@ def predict(docs: DataFrame, trees: Trees | None, columns: list[str]) -> DataFra
                     pa.array(langs, pa.string()),
                     pa.array(scores, pa.float64()),
                 ],
-                [*asked, *(["text"] if "text" in columns else []), "lang_pred", "score"],
+                [*asked, *(["text"] if "text" in columns else []), "_lang", "_share"],
             )
 
     types = dict(docs.dtypes)
     kept = [*asked, *(["text"] if "text" in columns else [])]
-    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", lang_pred string, score double"
-    return map_arrow(docs.select(*asked, "text"), guess, schema).select(*columns, "lang_pred", "score")
+    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", _lang string, _share double"
+    return map_arrow(docs.select(*asked, "text"), guess, schema).select(*columns, "_lang", "_share")
 
 
 def learned(docs: DataFrame) -> Trees | None:
@@ -265,7 +265,7 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     """
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     told = predict(docs, learned(docs), ["doc_id"])
-    return told.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return told.select("doc_id", held.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_share").alias("score"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,4 +275,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose language is not identified (``und``)."""
-    return predict(docs, learned(docs), docs.columns).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    return predict(docs, learned(docs), docs.columns).filter(F.col("_lang") != UNKNOWN).select(*docs.columns)

@@ -49,7 +49,12 @@ def merge_upsert(
             for c in columns
         ]
     )
-    # Keys already in the target: at most as many as the source has.
-    known = target.select(key).join(incoming.select(F.col("_key").alias(key)), key, "left_semi")
+    # Keys already in the target, one row each, however many rows there bear one: at most
+    # as many as the source has, and combined before the shuffle.
+    known = (
+        target.select(key)
+        .join(incoming.select(F.col("_key").alias(key)), key, "left_semi")
+        .distinct()
+    )
     inserted = source.join(known, key, "left_anti")
     return kept.unionByName(inserted.select(columns))

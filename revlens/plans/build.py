@@ -13,8 +13,8 @@ from revlens.plans import gold, silver
 from revlens.plans.bronze import bronze_products, bronze_reviews
 from revlens.plans.suite import Tables, gate, silver_summary, source_summary
 from revlens.sinks.audit import append_run
-from revlens.sinks.fact import merge_fact, read_fact, write_fact
-from revlens.sinks.tables import merge_table, path_exists, read_table, write_table
+from revlens.sinks.fact import has_fact, merge_fact, read_fact, write_fact
+from revlens.sinks.tables import merge_table, read_table, write_table
 
 
 class Warehouse:
@@ -43,7 +43,7 @@ class Warehouse:
                 outcome["result"] = result
             return result
         except Exception as failure:
-            outcome |= {"status": "error", "error": str(failure)[:2000]}
+            outcome |= {"status": "error", "error": str(failure)}
             raise
         finally:
             outcome["elapsed_seconds"] = time.monotonic() - started
@@ -96,7 +96,7 @@ def build(
         silver.REVIEWER_UPDATES,
     )
     fact_path = wh.path("silver_fct_review")
-    if path_exists(spark, f"{fact_path}/_SUCCESS"):
+    if has_fact(spark, fact_path):
         recent = silver.fct_review(reviews_in, incremental_as_of=as_of)
         wh.record("silver_fct_review", merge_fact, recent, fact_path)
     else:

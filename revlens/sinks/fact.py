@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from revlens.functions import month_start
 from revlens.operators.merge import merge_upsert
 from revlens.session import scratch_path
-from revlens.sinks.tables import read_note, remove_note, write_note
+from revlens.sinks.tables import (
+    COMMIT_MARKER,
+    path_exists,
+    read_note,
+    remove_note,
+    write_note,
+)
 
 MONTH = "review_month"
 CLUSTER = ("product_id", "reviewer_id")
@@ -41,6 +47,16 @@ def _write(df: DataFrame, path: str, overwrite_mode: str) -> None:
 def write_fact(fact: DataFrame, path: str) -> None:
     """Create the partitioned fact table, replacing whatever a lost run left behind."""
     _write(with_month(fact), path, "static")
+    write_note(fact.sparkSession, f"{path}/{COMMIT_MARKER}", "")
+
+
+def has_fact(spark: SparkSession, path: str) -> bool:
+    """Whether a fact table was written whole.
+
+    Known by this module's own marker, as committers need not leave ``_SUCCESS``; tables
+    from before the marker are known by that file.
+    """
+    return path_exists(spark, f"{path}/{COMMIT_MARKER}") or path_exists(spark, f"{path}/_SUCCESS")
 
 
 def read_fact(

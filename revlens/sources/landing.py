@@ -17,11 +17,14 @@ from pyspark.sql.types import (
 )
 
 from revlens.sinks.tables import commit_version, stage_version
-from revlens.sources.lines import read_lines
+from revlens.sources.lines import read_lines, require_utf8
 from revlens.sources.records import END_MARKER
 
 MAX_BAD_RECORDS = 10
 
+# JSON only: no single quotes, no NaN or infinity as numbers.
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 
 class BadRecordBudgetExceeded(RuntimeError):
     """More bad records than a load tolerates."""
@@ -35,7 +38,7 @@ def _read(line: Column, fields: list[StructField]) -> Column:
     element = StructType([*fields, StructField(END_MARKER, LongType())])
     root = StructType([StructField(_ROWS, ArrayType(element)), StructField(_CORRUPT, StringType())])
     text = F.concat(F.lit(f'{{"{_ROWS}":['), line, F.lit(f',{{"{END_MARKER}":1}}]}}'))
-    return F.from_json(text, root, {"columnNameOfCorruptRecord": _CORRUPT})
+    return F.from_json(text, root, STRICT_JSON | {"columnNameOfCorruptRecord": _CORRUPT})
 
 
 def _row(read: Column) -> Column:
@@ -58,7 +61,7 @@ def _coerced(text: Column, kind: DataType) -> Column:
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, (ArrayType, MapType, StructType)):
-        return F.from_json(text, kind)
+        return F.from_json(text, kind, STRICT_JSON)
     return text.try_cast(kind)
 
 
@@ -69,8 +72,9 @@ def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
     its type, or a ``nullable=False`` field is missing. Unknown fields are
     ignored. Lines are read straight into their types; only a line that fails is
     read once more as text, so that a quoted number still counts as a number. The
-    end marker works as in ``records``.
+    end marker works as in ``records``. Bytes that are not UTF-8 fail the job.
     """
+    lines = require_utf8(lines)
     value = F.col("value")
     kinds = {f.name: f.dataType for f in schema}
     typed = [StructField(name, kind) for name, kind in kinds.items()]
@@ -102,8 +106,11 @@ def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
 
 
 def infer_landing_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> StructType:
-    """Schema found by reading (a share of) the file; unreadable lines do not count."""
-    reader = spark.read.option("samplingRatio", sampling).option("mode", "DROPMALFORMED")
+    """Schema found by reading (a share of) the file; unreadable lines do not count.
+
+    Bytes are checked by the load that follows, which fails before it commits.
+    """
+    reader = spark.read.options(**STRICT_JSON).option("samplingRatio", sampling).option("mode", "DROPMALFORMED")
     return reader.json(path).schema
 
 

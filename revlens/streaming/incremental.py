@@ -15,8 +15,7 @@ from revlens.operators.dedup import keep_first
 from revlens.plans.bronze import bronze_reviews
 from revlens.plans.silver import fct_review
 from revlens.schemas import REVIEW_LANDING
-from revlens.sinks.fact import merge_fact, write_fact
-from revlens.sinks.tables import path_exists
+from revlens.sinks.fact import has_fact, merge_fact, write_fact
 from revlens.sources.landing import enforce_budget, parse_ndjson
 
 
@@ -42,7 +41,7 @@ def merge_arrivals(
 
     def merge_batch(lines: DataFrame, _batch: int) -> None:
         reviews = bronze_reviews(enforce_budget(parse_ndjson(lines, REVIEW_LANDING)))
-        if path_exists(spark, f"{fact_path}/_SUCCESS"):
+        if has_fact(spark, fact_path):
             merge_fact(one_per_key(fct_review(reviews, incremental_as_of=as_of)), fact_path)
         else:
             write_fact(one_per_key(fct_review(reviews)), fact_path)

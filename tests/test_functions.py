@@ -125,3 +125,14 @@ def test_calendar_date_matches_python(spark, seconds):
     got = [r[0] for r in df.select(fn.calendar_date(F.col("v"))).collect()]
     epoch = dt.date(1970, 1, 1).toordinal()
     assert got == [dt.date.fromordinal(epoch + s // 86400) for s in seconds]
+
+
+def test_strict_double_takes_decimal_literals_only(column):
+    from pyspark.errors import PySparkException
+
+    from revlens.functions import strict_double
+
+    assert column("string", ["1.5", " -2e3", ".5", "inf", None], strict_double) == [1.5, -2000.0, 0.5, float("inf"), None]
+    for text in ("1.5d", "2f", "0x1p3", ""):
+        with pytest.raises(PySparkException):
+            column("string", [text], strict_double)

@@ -297,3 +297,24 @@ def test_votes_and_future(frame, rows):
     assert rows(checks.check_helpful_votes(fact)) == [("bad", 2, 1)]
     today = dt.date(2020, 1, 2)
     assert rows(checks.check_no_future_reviews(fact, today)) == [("bad", dt.date(2020, 1, 3), today)]
+
+
+def test_sample_by_key_does_not_depend_on_the_layout(spark):
+    from pyspark.sql import functions as F
+
+    from revlens.operators import sample_keys
+
+    df = spark.range(2000).select("id", F.md5(F.col("id").cast("string")).alias("k"))
+    share = sorted(r.id for r in sample_keys(df, "k").collect())
+    assert 120 < len(share) < 280
+    assert share == sorted(r.id for r in sample_keys(df.repartition(7), "k").collect())
+    assert sample_keys(df, "k", 1.0).count() == 2000
+
+
+def test_merge_with_a_target_key_in_a_third_of_the_rows(spark):
+    from revlens.operators.merge import merge_upsert
+
+    target = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(600)], "k string, v int")
+    source = spark.createDataFrame([("hot", -1), ("new", -2)], "k string, v int")
+    rows = [tuple(r) for r in merge_upsert(target, source, "k").collect()]
+    assert len(rows) == 901 and rows.count(("hot", -1)) == 300 and ("new", -2) in rows

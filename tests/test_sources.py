@@ -100,6 +100,25 @@ def test_nan_is_a_record_but_not_loadable(spark):
         F.col("record").alias("value")
     )
     assert records.first().value == '{"asin": "1", "price": NaN}'
+    flagged = parse_ndjson(records, PRODUCT_LANDING)
+    assert [r["_bad"] for r in flagged.collect()] == [True]
+
+
+@pytest.mark.parametrize("line", ["{'asin':'1'}", '{"asin":"1","price":NaN}', '{asin:"1"}', "nope"])
+def test_only_json_is_a_good_record(spark, line):
+    good = '{"asin":"1","price":"2.5"}'
+    flagged = parse_ndjson(lines_of(spark, [line, good]), PRODUCT_LANDING)
+    assert sorted(r["_bad"] for r in flagged.collect()) == [False, True]
+
+
+def test_bad_utf8_fails_review_loads(spark, tmp_path):
+    source = write_gzip(tmp_path / "r.gz", b'{"asin":"1","reviewText":"a \xff\xfe b"}\n')
+    for schema in (REVIEW_LANDING, None):
+        table_dir = str(tmp_path / f"t{schema is None}")
+        with pytest.raises(PySparkException):
+            load_table(spark, source, table_dir, schema)
+        with pytest.raises(FileNotFoundError):
+            read_table(spark, table_dir)
 
 
 values = st.recursive(

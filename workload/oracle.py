@@ -430,6 +430,7 @@ SELECTS: dict[str, str] = {
     "dim_date": "SELECT * FROM dates",
     "dim_products": "SELECT * FROM products",
     "fct_review": "SELECT * FROM fact",
+    "sample_reviews": "SELECT * FROM fact WHERE left(review_sk, 8) < '19999999'",
     "gold_category_ratings_monthly": """
         SELECT d.year_month, p.primary_category, avg(f.rating) AS avg_rating
         FROM fact f JOIN products p ON p.product_id = f.product_id

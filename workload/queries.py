@@ -18,7 +18,7 @@ from revlens.operators import checks
 from revlens.operators.dedup import keep_first
 from revlens.operators.joins import join_dimension
 from revlens.operators.merge import merge_upsert
-from revlens.operators.sampling import sample_rows
+from revlens.operators.sampling import sample_keys
 from revlens.plans import gold, silver, suite
 from revlens.plans.bronze import bronze_products, bronze_reviews
 from revlens.schemas import PRODUCT_LANDING, REVIEW_LANDING
@@ -238,7 +238,7 @@ def bad_record_budget(spark, d):
 
 @query
 def sample_reviews(spark, d):
-    return sample_rows(s_fact(spark, d))
+    return sample_keys(s_fact(spark, d), "review_sk")
 
 
 # --- projections, casts, filters ----------------------------------------------
