@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -46,8 +47,9 @@ NEW_CAPITALS = [
     (0x16EA0, 0x16EB8, 0x16EBB),
 ]
 
-# Words kept in a worker's memo of encodings; it starts anew when full.
+# Words kept in a worker's memo of encodings, and transitions in its table; both start anew when full.
 MEMO_WORDS = 150_000
+MEMO_STEPS = 300_000
 LONGEST_MEMO = 64
 
 
@@ -74,7 +76,14 @@ class Automaton:
         self.taken: dict[tuple[int, int], int] = {}
         for number, (u, v) in enumerate(merges):
             self._merge(number, vocabulary[u], vocabulary[v], vocabulary[u + v])
-        self.longest = max((len(label) for label in vocabulary), default=1)
+        # Every ending of a merged token; the token's id where the ending is a whole one.
+        self.endings: dict[str, int] = {}
+        for token in self.born:
+            label = self.labels[token]
+            self.endings[label] = token
+            for start in range(1, len(label)):
+                self.endings.setdefault(label[start:], -1)
+        self.steps: dict[int, bool] = {}
 
     def _merge(self, number: int, u: int, v: int, uv: int) -> None:
         if self.allows(u, v):
@@ -106,30 +115,45 @@ class Automaton:
                 return True
             until, last = min(until, born[last]), parts[last][1]
 
+    def _learn(self, key: int, last: int, token: int) -> bool:
+        """``allows``, put into the table of transitions."""
+        if len(self.steps) >= MEMO_STEPS:
+            self.steps.clear()
+        self.steps[key] = allowed = self.allows(last, token)
+        return allowed
+
     def encode(self, symbols: list[str]) -> list[int]:
         """Token ids of one word, given as its symbols. Linear in the word's length.
 
         A symbol without a token is skipped, as the model has no unknown token.
         """
-        symbols = [s for s in symbols if s in self.ids]
-        ends: list[tuple[int, int]] = [(-1, 0)]  # per prefix: its last token, where that starts
+        ids, endings, steps = self.ids, self.endings, self.steps
+        symbols = [s for s in symbols if s in ids]
+        # Per prefix: its last token, and where that starts.
+        lasts, starts = [-1], [0]
         for end in range(1, len(symbols) + 1):
-            text, found = "", None
-            for start in range(end - 1, max(-1, end - 1 - self.longest), -1):
+            start = end - 1
+            text = symbols[start]
+            token = ids[text]
+            while True:
+                if token >= 0:
+                    last = lasts[start]
+                    if last < 0:
+                        break
+                    key = last << 32 | token
+                    allowed = steps.get(key)
+                    if allowed or (allowed is None and self._learn(key, last, token)):
+                        break
+                start -= 1
                 text = symbols[start] + text
-                token = self.ids.get(text)
-                if token is None or (end - start > 1 and token not in self.born):
-                    continue
-                last = ends[start][0]
-                if last < 0 or self.allows(last, token):
-                    found = (token, start)
-                    break
-            ends.append(found)
-        ids, end = [], len(symbols)
+                token = endings[text]
+            lasts.append(token)
+            starts.append(start)
+        out, end = [], len(symbols)
         while end:
-            token, end = ends[end]
-            ids.append(token)
-        return ids[::-1]
+            out.append(lasts[end])
+            end = starts[end]
+        return out[::-1]
 
 
 def _ranges(text: str) -> list[range]:
@@ -208,6 +232,7 @@ class Codec:
         }
         self.has_capital = regex.compile("[" + "".join(map(chr, self.capitals)) + "]").search
         self.blanks = regex.compile(r"\s+").sub
+        self.shown = dict(enumerate(byte_characters()))
         self.memo: dict[str, bytes] = {}
 
     def normalize(self, text: str) -> str:
@@ -229,10 +254,11 @@ class Codec:
 
     def piece(self, piece: str) -> bytes:
         """Ids of one piece as little-endian 32-bit integers."""
-        shown = byte_characters()
-        symbols = [shown[byte] for byte in piece.encode("utf-8", "surrogatepass")]
+        data = piece.encode("utf-8", "surrogatepass")
+        symbols = list(data.decode("latin-1").translate(self.shown))
         symbols[-1] += self.end
-        return np.array(self.automaton.encode(symbols), "<u4").tobytes()
+        ids = self.automaton.encode(symbols)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         """Encodings of pieces, through the memo."""
