@@ -79,6 +79,25 @@ def running_total(
     )
 
 
+def most_frequent(counts: DataFrame, n: str, key: list[str], bound: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n``, at most about ``bound`` of them.
+
+    Takes whole classes of equal ``n`` from the top, as many as fit, so that no task sees or
+    sorts more than its share: only the number of rows per ``n`` is summed up. If the first
+    class alone is larger, a share of it by the hash of ``key`` is taken. ``n`` is positive
+    and ``counts`` is a written table, as it is read twice.
+    """
+    classes = counts.groupBy(n).agg(F.count("*").alias("_rows")).withColumn("_down", -F.col(n))
+    sums = running_total(classes, "_rows", ["_down"], "_total").agg(
+        F.min(F.when(F.col("_total") <= bound, F.col(n))).alias("least"), F.max(n).alias("top"), F.min("_total").alias("size")
+    )
+    least, top, size = sums.first()
+    if top is None or least is not None:
+        return counts.filter(F.col(n) >= (least or 0))
+    bits = 2**30
+    return counts.filter((F.col(n) == top) & (F.pmod(F.xxhash64(*key), F.lit(bits)) < int(bits * bound / size)))
+
+
 def smallest_reachable(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): rows (node, root).
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import fold, map_arrow, rows_of, stage, table
+from revlens.llm.common import fold, map_arrow, most_frequent, rows_of, stage, table
 
 ORDER = 3
 # Runs of four bytes kept, over all languages, and byte pairs that can start or end one.
@@ -189,14 +189,14 @@ class Trees:
 def fit(counts: DataFrame) -> Trees | None:
     """Trees of the ``NODES`` most frequent rows of ``train``; None if there are none.
 
-    At most ``LANGUAGES`` languages and ``NODES`` rows reach the driver: the size bound of
-    what is broadcast.
+    At most ``LANGUAGES`` languages and about ``NODES`` rows (see ``most_frequent``) reach the
+    driver: the size bound of what is broadcast. ``counts`` is a written table.
     """
     sums = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     langs = sorted(r["lang"] for r in sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
     if not langs:
         return None
-    kept = counts.filter(F.col("lang").isin(langs)).orderBy(F.desc("n"), "lang", "code").limit(NODES)
+    kept = most_frequent(counts.filter(F.col("lang").isin(langs)), "n", ["lang", "code"], NODES)
     frame = kept.toPandas()
     rows = []
     for number, lang in enumerate(langs):

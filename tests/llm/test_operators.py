@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, gridjoin, langid, lengths, minhash, mixing, pitmanyor, quality, secrets, substrings
+from revlens.llm import bpe, common, gridjoin, langid, lengths, minhash, mixing, pitmanyor, quality, secrets, substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = [(None, "a b c"), (900, None), (901, ""), (902, " \t\n"), (903, "x" * 20_000), (904, "once"), (904, "once"), (905, "é ü 1")]
@@ -338,3 +338,12 @@ def test_pipeline_against_plain_stages(spark, docs, folder):
         text = code.decode(bytes(r["ids"]))
         assert "q9" not in text and r["n_tokens"] == len(r["ids"]) // 4
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_most_frequent_takes_whole_classes_from_the_top(spark):
+    counts = spark.createDataFrame([(i, 1 + i // 10) for i in range(100)], "code long, n long")
+    for bound, least in [(1000, 1), (100, 1), (99, 2), (35, 8), (10, 10)]:
+        kept = common.most_frequent(counts, "n", ["code"], bound).collect()
+        assert sorted(r["code"] for r in kept) == [i for i in range(100) if 1 + i // 10 >= least]
+    assert common.most_frequent(counts, "n", ["code"], 5).count() <= 10
+    assert common.most_frequent(counts.limit(0), "n", ["code"], 5).count() == 0
