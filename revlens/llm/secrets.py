@@ -208,15 +208,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of costly values in credential contexts that no base span overlaps."""
+    """Spans of costly values in credential contexts, but for those that lie in a base span.
+
+    Each value is judged whole, blanks of quoted ones included, also where a base span ends
+    within it; such spans overlap.
+    """
     lower = text.lower()
     if not any(hint in lower for hint in _HINTS):
         return []
     found = []
     for match in CONTEXTS.finditer(text):
         start, end = next(match.span(g) for g in range(1, 6) if match[g] is not None)
-        overlaps = any(s < end and start < e for s, _, e in base)
-        if not overlaps and " " not in text[start:end] and guess_bits(text[start:end]) >= MIN_BITS:
+        covered = any(s <= start and end <= e for s, _, e in base)
+        if not covered and guess_bits(text[start:end]) >= MIN_BITS:
             found.append((start, 3, end))
     return found
 
@@ -229,7 +233,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_assign, n_access, n_hex, base_sha256, spans), one per row of ``docs``.
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind (assign,
-    access, hex, guess), joined by commas. A null text counts as empty. Rows are scanned each
+    access, hex, guess), joined by commas; a guess span may overlap base ones. A null text counts as empty. Rows are scanned each
     on their own, whole; other columns are ignored; an empty table gives no rows.
     """
 

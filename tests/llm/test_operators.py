@@ -251,6 +251,23 @@ def test_secrets(docs):
     assert secrets.scan_secrets(docs(*rows).limit(0)).count() == 0
 
 
+def test_secret_values_are_judged_whole(docs):
+    rows = [
+        (1, 'set password="Summer2024!x9$Qz" now'),
+        (2, 'password = "correct horse battery" end'),
+        (3, "token: 'q7 Zk9 xW2 pL5' end"),
+        (4, 'password = "hunter22" and token="your token here"'),
+    ]
+    found = by_id(secrets.scan_secrets(docs(*rows)))
+    assert found[1]["spans"] == "assign:4:24,guess:14:30" and found[1]["n_assign"] == 1
+    assert found[2]["spans"] == "assign:0:19,guess:12:33"
+    assert found[3]["spans"] == "guess:8:22"
+    assert found[4]["spans"] == "assign:0:20"
+    masked = by_id(secrets.mask_secrets(docs(*rows)))
+    assert masked[1]["text"] == 'set [secret]" now' and masked[2]["text"] == '[secret]" end'
+    assert masked[3]["text"] == "token: '[secret]' end"
+
+
 def test_language_identification(docs):
     english = "the and of to in that this with from they have which".split()
     german = "der die und nicht ist mit auf für über schön zwischen werden".split()
