@@ -39,7 +39,10 @@ from revlens.llm.common import (
     word_hashes,
 )
 
+# Words per shingle of the query, and of a stage that removes near-duplicates.
 SHINGLE = 2
+STAGE_SHINGLE = 5
+# The signatures and their index are made for this similarity and those above.
 SIMILARITY_PERCENT = 80
 SYMBOLS = 70
 CHUNK = 5
@@ -88,25 +91,29 @@ def signature(values: np.ndarray) -> np.ndarray:
     return (spread(least) >> np.uint64(48)).astype(np.uint16)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(width: int):
     """(doc_id, textkey, text) to (doc_id, textkey, n, node, sig)."""
-    for batch in rows_of(batches):
-        counts, nodes, signatures = [], [], []
-        for text in batch.column(2).to_pylist():
-            values = shingles(text)
-            counts.append(len(values))
-            nodes.append(int(np.bitwise_xor.reduce(spread(values))) - 2**63 if len(values) else 0)
-            signatures.append(signature(values).tobytes() if len(values) else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(counts, pa.int64()),
-                pa.array(nodes, pa.int64()),
-                pa.array(signatures, pa.binary()),
-            ],
-            ["doc_id", "textkey", "n", "node", "sig"],
-        )
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            counts, nodes, signatures = [], [], []
+            for text in batch.column(2).to_pylist():
+                values = shingles(text, width)
+                counts.append(len(values))
+                nodes.append(int(np.bitwise_xor.reduce(spread(values))) - 2**63 if len(values) else 0)
+                signatures.append(signature(values).tobytes() if len(values) else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(counts, pa.int64()),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(signatures, pa.binary()),
+                ],
+                ["doc_id", "textkey", "n", "node", "sig"],
+            )
+
+    return sketch
 
 
 def _keys(symbols: np.ndarray) -> np.ndarray:
@@ -167,12 +174,16 @@ def _cuts(table_: pa.Table, width: int) -> np.ndarray:
     return np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], axis=0)) + 1
 
 
-def _join_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _join_components(percent: int):
     """Rows (root, block, outside, node, items), sorted by the first two, to links (a, b)."""
-    yield from _by_group(batches, 2, _linked)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_group(batches, 2, lambda table_, cuts: _linked(table_, cuts, percent))
+
+    return join
 
 
-def _linked(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _linked(table_: pa.Table, cuts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """Per outside node and block one link to a member, if there is any, by whole sets."""
     outside, nodes = table_.column("outside").to_numpy(), table_.column("node").to_numpy()
     column = table_.column("items").combine_chunks()
@@ -196,7 +207,7 @@ def _linked(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
             at = np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())
             both = np.bincount(owner[at], minlength=len(members))
             union = len(own) + sizes[members] - both
-            hits = np.flatnonzero(100 * both >= SIMILARITY_PERCENT * union)
+            hits = np.flatnonzero(100 * both >= percent * union)
             if len(hits):
                 found.append((nodes[row], nodes[members[hits[0]]]))
         if found:
@@ -236,33 +247,37 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(width: int):
     """(node, text) to (node, shingle set)."""
-    for batch in rows_of(batches, 500):
-        sets = [shingles(text).view(np.int64) for text in batch.column(1).to_pylist()]
-        offsets = np.cumsum([0, *map(len, sets)])
-        values = np.concatenate(sets) if sets else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64())),
-            ],
-            ["node", "items"],
-        )
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 500):
+            sets = [shingles(text, width).view(np.int64) for text in batch.column(1).to_pylist()]
+            offsets = np.cumsum([0, *map(len, sets)])
+            values = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64())),
+                ],
+                ["node", "items"],
+            )
+
+    return sets_of
 
 
-def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose signatures are near and whose sizes allow the similarity."""
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
     joined = pairs.join(left, "a").join(right, "b")
     sized = joined.filter(
-        100 * F.least("n_a", "n_b") >= SIMILARITY_PERCENT * F.greatest("n_a", "n_b")
+        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     )
     return map_arrow(sized.select("a", "b", "sig_a", "sig_b"), _close, "a long, b long")
 
 
-def _shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(node, items): whole shingle sets of the wanted nodes, from one text each."""
     named = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("textkey").alias("_key"), F.col("doc").alias("_doc")
@@ -270,10 +285,10 @@ def _shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
     texts = docs.join(
         named, (F.col("textkey") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     ).dropDuplicates(["node"])
-    return stage(map_arrow(texts.select("node", "text"), _sets, "node long, items array<long>"), "sets")
+    return stage(map_arrow(texts.select("node", "text"), _sets(width), "node long, items array<long>"), "sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose whole sets have the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
@@ -282,7 +297,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", shared.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-        .filter(100 * F.col("both") >= SIMILARITY_PERCENT * (F.col("sum") - F.col("both")))
+        .filter(100 * F.col("both") >= percent * (F.col("sum") - F.col("both")))
         .select("a", "b")
     )
 
@@ -299,7 +314,7 @@ def _block_of(node: str, count: str):
     return F.pmod(F.xxhash64(node), F.col(count)).cast("int")
 
 
-def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of ``outside`` (node, main) to members of the component ``main``."""
     asked = outside.select("node", F.col("main").alias("root")).distinct()
     counts = (
@@ -313,7 +328,7 @@ def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame)
     others = asked.join(counts, "root").select("root", _every("blocks").alias("block"), F.lit(True).alias("outside"), "node")
     rows = members.unionByName(others).join(sets, "node").select("root", "block", "outside", "node", "items")
     dealt = rows.repartition(shuffle_width(sets.sparkSession), "root", "block")
-    return map_arrow(dealt.sortWithinPartitions("root", "block"), _join_components, "a long, b long")
+    return map_arrow(dealt.sortWithinPartitions("root", "block"), _join_components(percent), "a long, b long")
 
 
 def _pairs_outside(labelled: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -337,21 +352,24 @@ def _pairs_outside(labelled: DataFrame, roots: DataFrame, nodes: DataFrame) -> D
     return map_arrow(dealt.sortWithinPartitions("key", "o", "m"), _across, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """Rows (doc_id, textkey, n_shingles, component_id, kept), one per row of ``docs``.
 
-    Two documents are linked if 100 * |intersection| >= 80 * |union| of their sets of 2-word
-    shingles; component_id is the smallest doc_id reachable by links. A document without
+    Two documents are linked if 100 * |intersection| >= percent * |union| of their sets of
+    ``width``-word shingles; ``percent`` is 80 at least, as the index misses pairs below.
+    component_id is the smallest doc_id reachable by links. A document without
     words is linked with nothing. Null ids count as the largest: a component that has none
     but null ids has a null component_id, and its rows are kept. Rows repeated with the same
     id and text are linked and all bear the kept id. Other columns are ignored; an empty
     table gives no rows. ``textkey`` is the 64-bit hash of the text.
     """
+    if width < 1 or not SIMILARITY_PERCENT <= percent <= 100:
+        raise ValueError(f"width {width}, similarity {percent}: at least 1, and {SIMILARITY_PERCENT} to 100")
     texts = docs.select("doc_id", F.xxhash64("text").alias("textkey"), "text")
     sketches = stage(
         map_arrow(
             texts.select("doc_id", "textkey", "text"),
-            _sketch,
+            _sketch(width),
             "doc_id long, textkey long, n long, node long, sig binary",
         ),
         "sketches",
@@ -379,11 +397,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     led = led.filter("node <> with").select(
         F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")
     ).distinct()
-    near_leader = stage(_near(led, nodes), "near")
+    near_leader = stage(_near(led, nodes, percent), "near")
     crowds = buckets.filter("size > 2")
     wanted = _ends(near_leader).unionByName(crowds.select("node")).distinct()
-    sets = _shingle_sets(wanted, nodes, texts)
-    links = stage(_confirmed(near_leader, sets), "links")
+    sets = _shingle_sets(wanted, nodes, texts, width)
+    links = stage(_confirmed(near_leader, sets, percent), "links")
     roots = stage(smallest_reachable(links), "roots")
     # A bucket that is one component needs nothing more.
     labelled = stage(
@@ -392,11 +410,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("main", "leader").alias("main")),
         "labelled",
     )
-    more = stage(_links_to_components(labelled.filter("root <> main"), roots, sets), "links")
+    more = stage(_links_to_components(labelled.filter("root <> main"), roots, sets, percent), "links")
     links = links.unionByName(more)
     roots = stage(smallest_reachable(links), "roots")
     pairs = _pairs_outside(labelled, roots, nodes).join(near_leader, ["a", "b"], "left_anti")
-    more = stage(_confirmed(stage(pairs, "near"), sets), "links")
+    more = stage(_confirmed(stage(pairs, "near"), sets, percent), "links")
     if not more.isEmpty():
         roots = stage(smallest_reachable(links.unionByName(more)), "roots")
     rooted = nodes.join(roots, "node", "left").select(
@@ -418,18 +436,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``near_duplicates`` over all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("textkey")
+    """``near_duplicates`` by 2-word shingles over all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"), SHINGLE).drop("textkey")
 
 
-def keep_one_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-duplicates: one row of each group stays.
+def keep_one_each(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """``docs`` without near-duplicates (see ``near_duplicates``): one row of each group stays.
 
     Of repeated rows with the kept id, one of those with the smallest text hash stays. A
     group that has only null ids keeps one row per text, as nothing else tells them apart.
     """
     kept = (
-        near_duplicates(docs)
+        near_duplicates(docs, width, percent)
         .filter("kept")
         .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("textkey")).alias("_null"))
         .agg(F.min("textkey").alias("_key"))

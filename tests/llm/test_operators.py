@@ -91,6 +91,27 @@ def test_minhash_finds_all_groups(docs):
     assert minhash.near_duplicates(docs(*rows).limit(0)).count() == 0
 
 
+def test_near_dedup_stage_takes_five_word_shingles(spark, docs):
+    import corpus_pipeline
+
+    words = [f"d{i}" for i in range(60)]
+    spaced = [f"x{i}" if i in (10, 25, 40) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(spaced)), (3, " ".join(words[:-1]))]
+
+    def similarity(a, b, n):
+        a, b = ({tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    assert similarity(rows[0][1], rows[1][1], 2) >= 0.8 > similarity(rows[0][1], rows[1][1], 5)
+    df = docs(*rows)
+    assert {r["doc_id"] for r in minhash.near_duplicates(df).collect() if r["kept"]} == {1}
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {1, 2}
+    strict = minhash.near_duplicates(df, width=5, percent=99).collect()
+    assert all(r["kept"] for r in strict)
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(df, percent=70)
+
+
 def test_signatures_within_the_distance_share_an_entry():
     generator = np.random.RandomState(3)
     for _ in range(50):
