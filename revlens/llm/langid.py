@@ -8,8 +8,11 @@ frozen after training, so a text's length in a language is a sum over its bytes.
 language with the least length is predicted.
 
 Training counts four-byte runs, which hold all shorter contexts; each task adds up its
-documents before the shuffle. The tree that is sent to the tasks keeps the ``NODES`` most
-frequent runs of all languages together, which bounds it whatever the corpus.
+documents before the shuffle. Languages are taken in groups of at most ``GROUP``; a group's
+table holds about ``NODES`` runs, of which each language has an equal share for its most
+frequent ones (what a language leaves over goes to the others). Every run and context in it
+has the code length of the whole counts in every language of the group, so what is left out
+changes no other length; only runs in no language's share are told by shorter contexts.
 """
 
 from __future__ import annotations
@@ -21,14 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import fold, map_arrow, most_frequent, rows_of, stage, table
+from revlens.llm.common import fold, map_arrow, rows_of, running_total, stage, table
 
 ORDER = 3
-# Runs of four bytes kept, over all languages, and byte pairs that can start or end one.
+# Runs of four bytes kept in a table of languages, and byte pairs that can start or end one.
 NODES = 500_000
 PAIRS = 4096
-# Languages told apart, the most frequent ones.
-LANGUAGES = 200
+# Languages in a table; there are as many tables as it takes.
+GROUP = 16
+# Classes by hash in which runs of equal frequency are taken.
+CLASSES = 4096
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 # Bytes put before each text, so that its first bytes have a context.
@@ -86,36 +91,37 @@ def train(docs: DataFrame) -> DataFrame:
 
 
 class Trees:
-    """Frozen context trees of all languages, as tables of code lengths."""
+    """Frozen context trees of some languages, as tables of code lengths."""
 
-    def __init__(self, langs: list[str], rows: list[tuple[int, np.ndarray, np.ndarray]]):
-        """``rows``: per language its number, sorted codes and their counts."""
+    def __init__(self, langs: list[str], rows: list[tuple[int, np.ndarray, np.ndarray]], levels=None):
+        """``rows``: per language its number, sorted codes and their counts.
+
+        Or ``levels``: per order and language (names, counts), and (contexts, followers,
+        kinds of them), both sorted and the second for all contexts of any language's names.
+        """
         self.langs = langs
-        every = np.unique(np.concatenate([codes for _, codes, _ in rows]))
+        if levels is None:
+            levels = [[_level(order, codes, counts) for _, codes, counts in rows] for order in range(ORDER + 1)]
         width = len(langs)
         # Code lengths by order: a table of known contexts + byte, and escapes by context.
         self.names: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
         self.escapes: list[np.ndarray] = []
-        for order in range(ORDER + 1):
-            mask = np.uint64(2 ** (8 * (order + 1)) - 1)
-            names = np.unique(every & mask)
+        for order, level in enumerate(levels):
+            names = np.unique(np.concatenate([own for (own, _), _ in level]))
             contexts = np.unique(names >> np.uint64(8))
             lengths = np.empty((len(names), width), np.float32)
             escapes = np.zeros((len(contexts) + 1, width), np.float32)
-            for lang, codes, counts in rows:
-                own, place = np.unique(codes & mask, return_inverse=True)
-                seen = np.bincount(place, counts, len(own))
-                at = np.searchsorted(contexts, own >> np.uint64(8))
-                total = np.bincount(at, seen, len(contexts))
-                kinds = np.bincount(at, minlength=len(contexts))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    escape = np.where(kinds > 0, np.log2((total + kinds) / np.maximum(kinds, 1)), 0.0)
+            for lang, ((own, seen), (places, followers, sorts)) in enumerate(level):
+                total, kinds = np.zeros(len(contexts)), np.zeros(len(contexts))
+                at = np.searchsorted(contexts, places)
+                total[at], kinds[at] = followers, sorts
+                escape = np.where(kinds > 0, np.log2((total + kinds + (kinds == 0)) / np.maximum(kinds, 1)), 0.0)
                 escapes[:-1, lang] = escape
                 shorter = self._shorter(order, names, lang)
                 column = escape[np.searchsorted(contexts, names >> np.uint64(8))] + shorter
-                here = np.searchsorted(names, own)
-                column[here] = np.log2((total[at] + kinds[at]) / seen)
+                at = np.searchsorted(contexts, own >> np.uint64(8))
+                column[np.searchsorted(names, own)] = np.log2((total[at] + kinds[at]) / seen)
                 lengths[:, lang] = column
             self.names.append(names)
             self.lengths.append(lengths)
@@ -186,23 +192,110 @@ class Trees:
         return out
 
 
-def fit(counts: DataFrame) -> Trees | None:
-    """Trees of the ``NODES`` most frequent rows of ``train``; None if there are none.
+def _level(order: int, codes: np.ndarray, counts: np.ndarray):
+    """Names of an order with their counts, and their contexts with followers and kinds."""
+    names, place = np.unique(codes & np.uint64(2 ** (8 * (order + 1)) - 1), return_inverse=True)
+    seen = np.bincount(place, counts, len(names))
+    contexts, place = np.unique(names >> np.uint64(8), return_inverse=True)
+    return (names, seen), (contexts, np.bincount(place, seen, len(contexts)), np.bincount(place, minlength=len(contexts)))
+
+
+class Forest:
+    """Trees of all languages, a group of languages in each."""
+
+    def __init__(self, trees: list[Trees]):
+        self.trees = trees
+        self.langs = [lang for tree in trees for lang in tree.langs]
+
+    def text_lengths(self, texts: list[str]) -> np.ndarray:
+        """Code length of each whole text by language."""
+        parts = []
+        for tree in self.trees:
+            parts.append(tree.text_lengths(texts))
+            if len(self.trees) > 2:
+                tree.run = None  # direct tables of one group at a time
+        return np.hstack(parts)
+
+
+def shares(sizes: list[int], bound: int) -> int:
+    """The largest share with which languages of ``sizes`` runs keep at most ``bound``."""
+    left = bound
+    for place, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - place)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes)
+
+
+def _kept(counts: DataFrame, share: int) -> DataFrame:
+    """Codes (code) among the ``share`` most frequent ones of any language.
+
+    Whole classes by frequency and hash are taken from the top, so no task orders a language.
+    """
+    classed = counts.withColumn("_down", -F.col("n")).withColumn(
+        "_class", F.pmod(F.xxhash64("code"), F.lit(CLASSES)).cast("int")
+    )
+    classes = classed.groupBy("lang", "_down", "_class").agg(F.count("*").alias("_rows"))
+    last = (
+        running_total(classes, "_rows", ["_down", "_class"], "_total", ["lang"])
+        .filter(F.col("_total") <= share)
+        .groupBy("lang")
+        .agg(F.max(F.struct("_down", "_class")).alias("_last"))
+    )
+    inside = classed.join(F.broadcast(last), "lang").filter(F.struct("_down", "_class") <= F.col("_last"))
+    return stage(inside.select("code").distinct(), "kept")
+
+
+def _by_language(rows: DataFrame, langs: list[str], key: str, values: list[str]) -> list[tuple[np.ndarray, ...]]:
+    """Per language the sorted keys and their values."""
+    frame = rows.select("lang", key, *values).toPandas()
+    number = frame["lang"].map({lang: i for i, lang in enumerate(langs)}).to_numpy()
+    keys = frame[key].to_numpy().astype(np.uint64)
+    columns = [frame[v].to_numpy().astype(np.float64) for v in values]
+    order = np.lexsort((keys, number))
+    cuts = np.searchsorted(number[order], np.arange(len(langs) + 1))
+    return [
+        tuple(c[order[start:end]] for c in (keys, *columns)) for start, end in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
+
+
+def _trees(counts: DataFrame, langs: list[str], share: int) -> Trees:
+    """Trees of some languages; followers and kinds are those of all ``counts``."""
+    own = counts.filter(F.col("lang").isin(langs))
+    kept, levels = _kept(own, share), []
+    for order in range(ORDER + 1):
+        name = F.col("code").bitwiseAND(F.lit(2 ** (8 * (order + 1)) - 1))
+        level = own.groupBy("lang", name.alias("name")).agg(F.sum("n").alias("seen"))
+        names = kept.select(name.alias("name")).distinct()
+        contexts = level.groupBy("lang", F.shiftright("name", 8).alias("context")).agg(
+            F.sum("seen").alias("followers"), F.count("*").alias("kinds")
+        )
+        wanted = names.select(F.shiftright("name", 8).alias("context")).distinct()
+        levels.append(
+            list(
+                zip(
+                    _by_language(level.join(names, "name", "left_semi"), langs, "name", ["seen"]),
+                    _by_language(contexts.join(wanted, "context", "left_semi"), langs, "context", ["followers", "kinds"]),
+                    strict=True,
+                )
+            )
+        )
+    return Trees(langs, [], levels)
+
+
+def fit(counts: DataFrame) -> Forest | None:
+    """Trees of all languages in ``train``'s rows; None if there are none.
 
-    At most ``LANGUAGES`` languages and about ``NODES`` rows (see ``most_frequent``) reach the
-    driver: the size bound of what is broadcast. ``counts`` is a written table.
+    Groups of at most ``GROUP`` languages follow one another by code point. Of a group at
+    most ``NODES`` runs, in each of its languages, reach the driver at once; what is sent to
+    the tasks grows with the number of groups only. ``counts`` is a written table.
     """
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    langs = sorted(r["lang"] for r in sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    if not langs:
+    sizes = dict(counts.groupBy("lang").agg(F.count("*")).collect())
+    if not sizes:
         return None
-    kept = most_frequent(counts.filter(F.col("lang").isin(langs)), "n", ["lang", "code"], NODES)
-    frame = kept.toPandas()
-    rows = []
-    for number, lang in enumerate(langs):
-        own = frame[frame["lang"] == lang].sort_values("code")
-        rows.append((number, own["code"].to_numpy().astype(np.uint64), own["n"].to_numpy().astype(np.float64)))
-    return Trees(langs, rows)
+    groups = [list(map(str, g)) for g in np.array_split(np.array(sorted(sizes), object), -(-len(sizes) // GROUP))]
+    return Forest([_trees(counts, g, shares([sizes[lang] for lang in g], NODES)) for g in groups])
 
 
 def has_letter(text: str) -> bool:
@@ -210,7 +303,7 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def predict(docs: DataFrame, trees: Trees | None, columns: list[str]) -> DataFrame:
+def predict(docs: DataFrame, trees: Forest | None, columns: list[str]) -> DataFrame:
     """``docs``' ``columns`` with _lang and _share (of these names the new ones).
 
     _share is the predicted language's share of exp2(-bits per 16 bytes) over all languages,
@@ -250,7 +343,7 @@ def predict(docs: DataFrame, trees: Trees | None, columns: list[str]) -> DataFra
     return map_arrow(docs.select(*asked, "text"), guess, schema).select(*columns, "_lang", "_share")
 
 
-def learned(docs: DataFrame) -> Trees | None:
+def learned(docs: DataFrame) -> Forest | None:
     """Trees from the documents outside the held-out fold; null ids are outside it."""
     training = docs.filter(F.coalesce(fold(F.col("doc_id"), FOLDS) != HELD_OUT, F.lit(True)))
     return fit(stage(train(training), "contexts"))

@@ -328,6 +328,31 @@ def test_language_code_lengths_are_those_of_a_plain_model():
     assert trees.text_lengths([text])[0, 0] == pytest.approx(expected, rel=1e-5)
 
 
+def test_small_languages_keep_their_runs_and_whole_statistics(spark, monkeypatch):
+    big = {f"b{k}": " ".join(prose(300) for _ in range(3)) for k in range(2)}
+    texts = big | {"s": "żółw źrebię ćma łąka świt"}
+    rows = [(lang, int(c), int(n)) for lang, t in texts.items() for c, n in zip(*_codes(t), strict=True)]
+    counts = common.stage(spark.createDataFrame(rows, "lang string, code long, n long"), "test")
+    whole = langid.fit(counts)
+    plain = langid.Trees(sorted(texts), [(i, *_codes(texts[k])) for i, k in enumerate(sorted(texts))])
+    assert whole.langs == plain.langs
+    probes = [*texts.values(), "źrebię w7 łąka", "?"]
+    assert whole.text_lengths(probes) == pytest.approx(plain.text_lengths(probes), rel=1e-5)
+    bound = 3 * len(_codes(texts["s"])[0])
+    monkeypatch.setattr(langid, "NODES", bound)
+    cut = langid.fit(counts).trees[0]
+    assert len(cut.names[3]) <= bound < len(rows)
+    # The small language loses nothing, and what is kept has the lengths of the whole model.
+    at = plain.langs.index("s")
+    assert cut.text_lengths([texts["s"]])[0, at] == pytest.approx(plain.text_lengths([texts["s"]])[0, at], rel=1e-5)
+    kept = cut.names[3].astype(np.uint32)
+    assert cut.code_lengths(kept) == pytest.approx(plain.code_lengths(kept), rel=1e-5)
+    monkeypatch.setattr(langid, "GROUP", 1)
+    apart = langid.fit(counts)
+    assert apart.langs == plain.langs and len(apart.trees) == 3
+    assert apart.text_lengths([texts["s"]])[0].argmin() == at
+
+
 def _runs(text):
     data = (langid.START + text.encode()).decode()
     return [data[i : i + 4] for i in range(len(data) - 3)]
