@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.llm import bpe, gridjoin, langid, lengths, minhash, mixing, pitmanyor, quality, secrets, substrings
+from revlens.llm import (
+    bpe,
+    gridjoin,
+    langid,
+    lengths,
+    manifest,
+    minhash,
+    mixing,
+    pitmanyor,
+    quality,
+    secrets,
+    substrings,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         secrets.op8_secret_scan,
         langid.op9_language_id,
         lengths.op10_token_counts,
+        manifest.op11_merkle_manifest,
     ]
     return {query.__name__: query for query in listed}
 
@@ -33,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_minhash_near_dedup": minhash.ORACLE,
         "op3_grid_order_join": gridjoin.ORACLE,
         "op7_substring_dedup": substrings.ORACLE,
+        "op11_merkle_manifest": manifest.ORACLE,
     }
