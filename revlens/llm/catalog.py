@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.llm import (
     bpe,
+    collocations,
     gridjoin,
     langid,
     lengths,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op9_language_id,
         lengths.op10_token_counts,
         manifest.op11_merkle_manifest,
+        collocations.op12_phrase_collocations,
     ]
     return {query.__name__: query for query in listed}
 
@@ -47,4 +49,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_grid_order_join": gridjoin.ORACLE,
         "op7_substring_dedup": substrings.ORACLE,
         "op11_merkle_manifest": manifest.ORACLE,
+        "op12_phrase_collocations": collocations.ORACLE,
     }
