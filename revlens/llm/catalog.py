@@ -12,6 +12,7 @@ from revlens.llm import (
     gridjoin,
     langid,
     lengths,
+    licenses,
     manifest,
     minhash,
     mixing,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lengths.op10_token_counts,
         manifest.op11_merkle_manifest,
         collocations.op12_phrase_collocations,
+        licenses.op13_license_scan,
     ]
     return {query.__name__: query for query in listed}
 
@@ -50,4 +52,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": substrings.ORACLE,
         "op11_merkle_manifest": manifest.ORACLE,
         "op12_phrase_collocations": collocations.ORACLE,
+        "op13_license_scan": licenses.ORACLE,
     }
