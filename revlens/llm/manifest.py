@@ -198,22 +198,26 @@ def _no_nodes(spark: SparkSession) -> DataFrame:
     )
 
 
-# A leaf that has met all its ancestors has no parent left, which ends the recursion. Rows are
-# one per leaf and step: digests are not carried upwards, the caller joins the steps.
+# Every leaf climbs with a row of its own and folds its hash at each node it meets; one that
+# has met all its ancestors has no parent left, which ends the recursion. What lies beside the
+# path is the same for all leaves of a run from the second step on, so the run's first leaf
+# alone (``lead``) appends it, a row per step; at the first step it appends the whole run.
 CLIMB = f"""
-WITH RECURSIVE climb(uid, stretch, step, folded, siblings, subroot, parent, ord) AS (
-  SELECT uid, stretch, 0, folded, CAST('' AS BINARY), CAST(NULL AS BINARY), parent, ord FROM {{leaves}}
+WITH RECURSIVE climb(number, lead, step, folded, siblings, subroot, parent, ord) AS (
+  SELECT number, lead, 0, folded, CAST(NULL AS BINARY), CAST(NULL AS BINARY), parent, ord FROM {{leaves}}
   UNION ALL
-  SELECT c.uid, c.stretch, c.step + 1,
+  SELECT c.number, c.lead, c.step + 1,
     unhex(sha2(lower(hex(concat(
       substring(n.kids, 1, {DIGEST} * c.ord), c.folded, substring(n.kids, {DIGEST} * c.ord + {DIGEST + 1})))), 256)),
-    concat(substring(n.kids, 1, {DIGEST} * c.ord), substring(n.kids, {DIGEST} * c.ord + {DIGEST + 1})),
-    CASE WHEN n.node >= {(TOP + 1) << LEVEL_BITS} AND n.node < {(TOP + 2) << LEVEL_BITS}
+    CASE WHEN c.lead AND c.step = 0 THEN n.kids WHEN c.lead THEN concat(
+      substring(n.kids, 1, {DIGEST} * c.ord), substring(n.kids, {DIGEST} * c.ord + {DIGEST + 1})) END,
+    CASE WHEN c.lead AND n.node >= {(TOP + 1) << LEVEL_BITS} AND n.node < {(TOP + 2) << LEVEL_BITS}
       THEN substring(n.kids, {DIGEST} * c.ord + 1, {DIGEST}) END,
     n.parent, n.ord
-  FROM climb c JOIN {{nodes}} n ON c.parent = n.node AND c.stretch = n.stretch
+  FROM climb c JOIN {{nodes}} n ON c.parent = n.node AND c.number DIV :width = n.stretch
 )
-SELECT uid, step, folded, siblings, subroot FROM climb LIMIT ALL
+SELECT number, step, CASE WHEN parent IS NULL THEN folded END AS folded, siblings, subroot
+FROM climb WHERE parent IS NULL OR lead LIMIT ALL
 """
 
 
@@ -249,7 +253,6 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
     nodes, root, trees = _tree(leaves, languages)
     total = languages.agg(F.sum("n")).first()[0] or 0
     width = max(STRETCH, -(-total // STRETCHES))
-    stretch = F.floor(F.col("number") / width)
     stored = stage(
         nodes.select(
             "node",
@@ -260,24 +263,39 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
         ),
         "merkle-nodes",
     )
-    bottom = _linked(leaves, 0, 0, trees).select(
-        "uid", stretch.alias("stretch"), F.coalesce("tampered", "leaf").alias("folded"), "parent", "ord"
+    linked = _linked(leaves, 0, 0, trees).withColumn("lead", F.col("number") - F.col("pos") % FAN)
+    bottom = linked.select(
+        "number",
+        (F.col("number") == F.col("lead")).alias("lead"),
+        F.coalesce("tampered", "leaf").alias("folded"),
+        "parent",
+        "ord",
     )
-    steps = spark.sql(CLIMB, leaves=bottom, nodes=stored)
-    path = F.sort_array(F.collect_list(F.struct("step", _hexed(F.col("siblings")).alias("hexed"))))
-    proofs = steps.groupBy("uid").agg(
-        F.sha2(F.array_join(F.transform(path, lambda s: s["hexed"]), ""), 256).alias("proof_sha256"),
-        _hexed(F.max_by("folded", "step")).alias("folded_root"),
-        _hexed(F.max("subroot")).alias("subroot"),
+    steps = stage(spark.sql(CLIMB, args={"width": width}, leaves=bottom, nodes=stored), "merkle-steps")
+    tops = steps.filter("folded is not null").select("number", "folded")
+    path = F.sort_array(F.collect_list(F.when(F.col("step") > 1, F.struct("step", F.hex("siblings").alias("hexed")))))
+    paths = steps.filter("siblings is not null").groupBy(F.col("number").alias("lead")).agg(
+        F.max(F.when(F.col("step") == 1, F.col("siblings"))).alias("run"),
+        F.array_join(F.transform(path, lambda s: s["hexed"]), "").alias("above"),
+        F.max("subroot").alias("subroot"),
     )
-    return leaves.select("uid", "doc_id", "leaf").join(proofs, "uid").select(
-        "doc_id",
-        _hexed(F.col("leaf")).alias("leaf"),
-        F.coalesce("subroot", F.lit(root)).alias("subroot"),
-        F.lit(root).alias("root"),
-        "proof_sha256",
-        "folded_root",
-        (F.col("folded_root") == F.lit(root)).alias("verified"),
+    beside = F.concat(
+        F.expr(f"substring(run, 1, {DIGEST} * ord)"), F.expr(f"substring(run, {DIGEST} * ord + {DIGEST + 1})")
+    )
+    proof = F.lower(F.concat(F.coalesce(F.hex(beside), F.lit("")), F.coalesce("above", F.lit(""))))
+    return (
+        linked.select("number", "doc_id", "leaf", "lead", "ord")
+        .join(tops, "number")
+        .join(paths, "lead", "left")
+        .select(
+            "doc_id",
+            _hexed(F.col("leaf")).alias("leaf"),
+            F.coalesce(_hexed(F.col("subroot")), F.lit(root)).alias("subroot"),
+            F.lit(root).alias("root"),
+            F.sha2(proof, 256).alias("proof_sha256"),
+            _hexed(F.col("folded")).alias("folded_root"),
+            (_hexed(F.col("folded")) == F.lit(root)).alias("verified"),
+        )
     )
 
 
