@@ -30,7 +30,7 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
     """A small file next to table data (readers skip names that start with ``_``)."""
     target, fs = _hadoop_path(spark, path)
     stream = fs.create(target, True)
-    stream.writeUTF(text)
+    stream.write(bytearray(text.encode()))
     stream.close()
 
 
@@ -39,14 +39,32 @@ def read_note(spark: SparkSession, path: str) -> str | None:
     if not fs.exists(target):
         return None
     stream = fs.open(target)
-    text = stream.readUTF()
+    text = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
     stream.close()
-    return text
+    return bytes(text).decode()
 
 
-def remove_note(spark: SparkSession, path: str) -> None:
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
     target, fs = _hadoop_path(spark, path)
-    fs.delete(target, False)
+    if not fs.exists(target):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file to a name that is not taken; an error if it is."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(
+        jvm.Path(source).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0)
+    context.rename(jvm.Path(source), jvm.Path(target), options)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, True)
 
 
 def _versions(spark: SparkSession, table_dir: str, pattern: str) -> list[str]:

@@ -1,9 +1,12 @@
 import datetime as dt
+import glob
 import gzip
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from revlens.plans.build import build
@@ -22,6 +25,7 @@ from revlens.sinks import (
     write_fact,
     write_table,
 )
+from revlens.sinks import fact as fact_sink
 from revlens.sinks.tables import commit_version, stage_version
 from revlens.sources import load_table
 from revlens.streaming import merge_arrivals
@@ -79,41 +83,115 @@ def test_fact_merge_touches_only_its_months(frame, rows, spark, tmp_path):
     path = str(tmp_path / "f")
     old = fact_rows(("a", "2020-01-05", 1.0), ("b", "2020-02-05", 2.0), ("c", "2020-02-06", 3.0))
     write_fact(frame(FACT, *old), path)
-    january = {f.name: f.stat().st_mtime for f in os.scandir(f"{path}/review_month=2020-01-01")}
+    january = month_files(path, "2020-01-01")
     new = fact_rows(("b", "2020-02-05", 9.0), ("d", "2020-02-07", 4.0), ("e", "2020-03-01", 5.0))
     merge_fact(frame(FACT, *new), path)
     assert [(r[0], r[4]) for r in rows(read_fact(spark, path))] == [
         ("a", 1.0), ("b", 9.0), ("c", 3.0), ("d", 4.0), ("e", 5.0),
     ]
-    after = {f.name: f.stat().st_mtime for f in os.scandir(f"{path}/review_month=2020-01-01")}
-    assert after == january
+    assert month_files(path, "2020-01-01") == january
+    # One write per touched month: February has one new folder, March its first.
+    assert len(month_folders(path, "2020-02-01")) == 2 and len(month_folders(path, "2020-03-01")) == 1
     merge_fact(frame(FACT, *new), path)
     assert read_fact(spark, path).count() == 5
     merge_fact(frame(FACT), path)
     assert read_fact(spark, path).count() == 5
 
 
-def test_a_merge_lost_half_way_is_completed_by_the_next(frame, rows, spark, tmp_path, monkeypatch):
-    import shutil
+def month_folders(path, month):
+    return sorted(glob.glob(f"{path}/data/version=*/review_month={month}"))
 
-    from revlens.sinks import fact as fact_sink
 
+def month_files(path, month):
+    files = [f for folder in month_folders(path, month) for f in glob.glob(f"{folder}/*/*.parquet")]
+    return {f: os.stat(f).st_mtime for f in files}
+
+
+def ratings(rows, df):
+    return [(r[0], r[4]) for r in rows(df)]
+
+
+BEFORE = [("a", 1.0), ("b", 2.0)]
+AFTER = [("a", 1.0), ("b", 9.0), ("c", 3.0)]
+
+
+@pytest.fixture
+def stored_fact(frame, tmp_path):
     path = str(tmp_path / "f")
-    old = fact_rows(("a", "2020-01-05", 1.0), ("b", "2020-01-06", 2.0))
-    write_fact(frame(FACT, *old), path)
-    write = fact_sink._write
+    write_fact(frame(FACT, *fact_rows(("a", "2020-01-05", 1.0), ("b", "2020-01-06", 2.0))), path)
+    return path, frame(FACT, *fact_rows(("b", "2020-01-06", 9.0), ("c", "2020-02-01", 3.0)))
+
+
+def test_readers_see_a_merge_whole_or_not_at_all(rows, spark, stored_fact, monkeypatch):
+    path, incoming = stored_fact
+    before = read_fact(spark, path)
+    publish = fact_sink._publish
+
+    def watched(*args):
+        # All months are written by now, and none is visible.
+        assert ratings(rows, read_fact(spark, path)) == BEFORE
+        publish(*args)
+        assert ratings(rows, read_fact(spark, path)) == AFTER
+
+    monkeypatch.setattr(fact_sink, "_publish", watched)
+    merge_fact(incoming, path)
+    # A frame defined before the merge still has its files.
+    assert ratings(rows, before) == BEFORE
+    assert ratings(rows, read_fact(spark, path, snapshot=1)) == BEFORE
+
+
+@pytest.mark.parametrize("step", ["merge_upsert", "_write_version", "_publish", "rename_new"])
+def test_a_merge_lost_at_any_step_can_be_repeated(rows, spark, stored_fact, monkeypatch, step):
+    path, incoming = stored_fact
+    run = getattr(fact_sink, step)
+
+    def lose(*args, **options):
+        if step == "_write_version":
+            run(*args, **options)
+        raise PySparkException("lost")
+
+    monkeypatch.setattr(fact_sink, step, lose)
+    with pytest.raises(PySparkException, match="lost"):
+        merge_fact(incoming, path)
+    assert ratings(rows, read_fact(spark, path)) == BEFORE
+    monkeypatch.setattr(fact_sink, step, run)
+    merge_fact(incoming, path)
+    assert ratings(rows, read_fact(spark, path)) == AFTER
+    assert fact_sink.expire_snapshots(spark, path) >= 1
+    assert ratings(rows, read_fact(spark, path)) == AFTER and fact_sink.snapshots(spark, path) == [2]
+    assert len(month_folders(path, "2020-01-01")) == len(month_folders(path, "2020-02-01")) == 1
+
+
+def test_two_writers_do_not_lose_rows(frame, rows, spark, stored_fact, monkeypatch):
+    path, incoming = stored_fact
+    publish = fact_sink._publish
+
+    def overtaken(*args):
+        monkeypatch.setattr(fact_sink, "_publish", publish)
+        merge_fact(frame(FACT, *fact_rows(("d", "2020-01-07", 4.0))), path)
+        publish(*args)
+
+    monkeypatch.setattr(fact_sink, "_publish", overtaken)
+    with pytest.raises(fact_sink.ConcurrentMerge):
+        merge_fact(incoming, path)
+    assert ratings(rows, read_fact(spark, path)) == [*BEFORE, ("d", 4.0)]
+
+
+def test_tables_from_before_the_manifests_are_refused(frame, spark, tmp_path):
+    path = str(tmp_path / "f")
+    frame(FACT).write.parquet(path)
+    with pytest.raises(RuntimeError, match="write_fact"):
+        fact_sink.has_fact(spark, path)
+    with pytest.raises(FileNotFoundError):
+        read_fact(spark, path)
 
-    def lose(df, target, mode):
-        shutil.rmtree(f"{target}/review_month=2020-01-01")
-        raise RuntimeError("lost")
 
-    monkeypatch.setattr(fact_sink, "_write", lose)
-    with pytest.raises(RuntimeError, match="lost"):
-        merge_fact(frame(FACT, *fact_rows(("b", "2020-01-06", 9.0))), path)
-    monkeypatch.setattr(fact_sink, "_write", write)
-    merge_fact(frame(FACT, *fact_rows(("c", "2020-02-01", 3.0))), path)
-    assert [(r[0], r[4]) for r in rows(read_fact(spark, path))] == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
-    assert not os.path.exists(f"{path}/{fact_sink.PENDING_MERGE}")
+def test_an_empty_fact_can_be_read_and_merged(frame, rows, spark, tmp_path):
+    path = str(tmp_path / "f")
+    write_fact(frame(FACT), path)
+    assert read_fact(spark, path).columns == frame(FACT).columns and read_fact(spark, path).count() == 0
+    merge_fact(frame(FACT, *fact_rows(("a", "2020-01-05", 1.0))), path)
+    assert ratings(rows, read_fact(spark, path)) == [("a", 1.0)]
 
 
 def test_fact_reader_prunes_months(frame, spark, tmp_path):
@@ -135,12 +213,49 @@ def test_fact_files_hold_one_month_in_key_order(spark, tmp_path):
     )
     write_fact(fact, path)
     for month in ("2020-01-01", "2020-02-01", "2020-03-01"):
-        files = [f for f in os.scandir(f"{path}/review_month={month}") if f.name.endswith("parquet")]
-        assert len(files) == 1
-        keys = [tuple(r) for r in spark.read.parquet(files[0].path).select("product_id", "reviewer_id").collect()]
+        (file,) = month_files(path, month)
+        keys = [tuple(r) for r in spark.read.parquet(file).select("product_id", "reviewer_id").collect()]
         assert keys == sorted(keys) and len(keys) > 1000
 
 
+def test_files_of_a_month_hold_disjoint_products(spark, tmp_path, frame):
+    """Written and merged months are cut into product ranges; a hot product is one of them."""
+    path = str(tmp_path / "f")
+    fact = spark.range(0, 6000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("review_sk"),
+        (F.col("id") % 7).cast("string").alias("reviewer_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("B00HOT")).otherwise(
+            F.format_string("B%05d", F.col("id") * 31 % 977)
+        ).alias("product_id"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 60).cast("int")).alias("review_date"),
+    )
+    write_fact(fact, path, file_rows=500)
+    for day in ("2020-01-31", "2020-02-29"):
+        extra = frame(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fact.schema),
+                      ("new" + day, "r", "B00500", dt.date.fromisoformat(day)))
+        before = len(month_folders(path, day[:8] + "01"))
+        merge_fact(extra, path, file_rows=500)
+        folder = month_folders(path, day[:8] + "01")[-1]
+        assert len(month_folders(path, day[:8] + "01")) == before + 1
+        bounds = []
+        for file in glob.glob(f"{folder}/*/*.parquet"):
+            statistics = pq.ParquetFile(file).metadata.row_group(0)
+            (column,) = [
+                statistics.column(i).statistics
+                for i in range(statistics.num_columns)
+                if statistics.column(i).path_in_schema == "product_id"
+            ]
+            bounds.append((column.min, column.max))
+        bounds.sort()
+        assert len(bounds) >= 4
+        assert all(last < first for (_, last), (first, _) in zip(bounds, bounds[1:]))
+    assert read_fact(spark, path).count() == 6002
+    plan = spark._jvm.PythonSQLUtils.explainString(
+        read_fact(spark, path).where("product_id = 'B00500'")._jdf.queryExecution(), "formatted"
+    )
+    assert "EqualTo(product_id,B00500)" in plan
+
+
 def test_copies_of_one_review_split_over_tasks(spark, tmp_path, conf):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB")
     path = str(tmp_path / "f")
