@@ -104,21 +104,29 @@ def not_null_summary(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def source_summary(items: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Checks on the landing tables (the staging ones are the same on other input)."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _column_checks(
-                items,
-                {
-                    "items_reviewerID_not_null": (ERROR, _missing("reviewerID")),
-                    "items_asin_not_null": (ERROR, _missing("asin")),
-                },
-            ),
-            _column_checks(metadata, {"metadata_asin_not_null": (ERROR, _missing("asin"))}),
-            _unique(metadata, "metadata_asin_unique", "asin", WARN),
-        ],
+# Columns of the source tables that must not be null, by where the tables lie.
+LANDING = {"items": ("reviewerID", "asin"), "metadata": ("asin",)}
+STAGING = {"staging_items": ("reviewerID",), "staging_metadata": ("asin",)}
+
+
+def source_not_null_summary(
+    items: DataFrame, metadata: DataFrame, columns: dict[str, tuple[str, ...]] = LANDING
+) -> DataFrame:
+    """The not-null checks of the landing (or ``STAGING``) tables."""
+    parts = [
+        _column_checks(df, {f"{name}_{c}_not_null": (ERROR, _missing(c)) for c in names})
+        for df, (name, names) in zip((items, metadata), columns.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def source_summary(
+    items: DataFrame, metadata: DataFrame, columns: dict[str, tuple[str, ...]] = LANDING
+) -> DataFrame:
+    """All checks on the landing (or ``STAGING``) tables."""
+    name = f"{list(columns)[1]}_asin_unique"
+    return source_not_null_summary(items, metadata, columns).unionByName(
+        _unique(metadata, name, "asin", WARN)
     )
 
 

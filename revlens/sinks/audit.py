@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 RUN_SCHEMA = (
     "run_id string, job string, status string, rows bigint, bad_records bigint, "
-    "elapsed_seconds double, details string, ended_at timestamp"
+    "elapsed_seconds double, details string, ended_at timestamp, input_bytes bigint, reasons string"
 )
 
 
@@ -33,6 +33,8 @@ def append_run(
         result.get("elapsed_seconds"),
         json.dumps(result, ensure_ascii=False, default=str, sort_keys=True),
         dt.datetime.now(dt.timezone.utc),
+        result.get("input_bytes"),
+        json.dumps(result.get("reasons"), sort_keys=True) if "reasons" in result else None,
     )
     spark.createDataFrame([record], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit_dir)
     return run_id

@@ -8,13 +8,20 @@ unmarked folder that nobody reads.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from revlens.operators.merge import merge_upsert
 from revlens.session import scratch_path
 
 COMMIT_MARKER = "_COMMITTED"
 
+# A version may hold rejected rows beside its own, in a partition that readers skip.
+IS_BAD, REJECTED = "is_bad", "rejected_record"
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,6 +69,11 @@ def rename_new(spark: SparkSession, source: str, target: str) -> None:
     context.rename(jvm.Path(source), jvm.Path(target), options)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _hadoop_path(spark, path)
+    fs.mkdirs(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     target, fs = _hadoop_path(spark, path)
     fs.delete(target, True)
@@ -87,9 +99,11 @@ def stage_version(df: DataFrame, table_dir: str, partition_by: tuple[str, ...] =
     return path
 
 
-def commit_version(spark: SparkSession, table_dir: str, path: str) -> None:
-    """Publish a staged version."""
-    write_note(spark, f"{path}/{COMMIT_MARKER}", "")
+def commit_version(
+    spark: SparkSession, table_dir: str, path: str, split: DataFrame | None = None
+) -> None:
+    """Publish a staged version; ``split`` is its frame if it holds rejected rows too."""
+    write_note(spark, f"{path}/{COMMIT_MARKER}", split.schema.json() if split is not None else "")
 
 
 def write_table(df: DataFrame, table_dir: str) -> None:
@@ -97,12 +111,28 @@ def write_table(df: DataFrame, table_dir: str) -> None:
     commit_version(df.sparkSession, table_dir, stage_version(df, table_dir))
 
 
-def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The table's committed content."""
+def _stored(spark: SparkSession, table_dir: str, bad: bool) -> DataFrame | None:
     path = current_version(spark, table_dir)
     if path is None:
         raise FileNotFoundError(f"no committed version below {table_dir}")
-    return spark.read.parquet(path)
+    schema = read_note(spark, f"{path}/{COMMIT_MARKER}")
+    if not schema:
+        return None if bad else spark.read.parquet(path)
+    rows = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
+    return rows.where(F.col(IS_BAD) == bad).drop(IS_BAD)
+
+
+def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The table's committed content."""
+    return _stored(spark, table_dir, False).drop(REJECTED)
+
+
+def rejected_records(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Lines that the table's load rejected, with place (if known) and reason."""
+    rows = _stored(spark, table_dir, True)
+    if rows is None:
+        return spark.createDataFrame([], "line string, reason string")
+    return rows.select(f"{REJECTED}.*")
 
 
 def merge_table(

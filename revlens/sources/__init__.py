@@ -3,6 +3,7 @@
 from revlens.sources.landing import (
     BadRecordBudgetExceeded,
     enforce_budget,
+    infer_schema,
     load_landing,
     load_lines,
     load_table,
@@ -17,17 +18,21 @@ from revlens.sources.lines import (
 from revlens.sources.records import (
     bad_record_report,
     clean_file,
+    canonical_records,
     clean_records,
     is_strict_json,
+    rejected_lines,
 )
 
 __all__ = [
     "BadRecordBudgetExceeded",
     "bad_record_report",
+    "canonical_records",
     "clean_file",
     "clean_records",
     "decompress",
     "enforce_budget",
+    "infer_schema",
     "is_strict_json",
     "load_landing",
     "load_lines",
@@ -35,5 +40,6 @@ __all__ = [
     "normalize_lines",
     "parse_ndjson",
     "read_lines",
+    "rejected_lines",
     "require_utf8",
 ]

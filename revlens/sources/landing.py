@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DataType,
+    DecimalType,
+    DoubleType,
+    FractionalType,
+    IntegralType,
     LongType,
     MapType,
+    NullType,
+    NumericType,
     StringType,
     StructField,
     StructType,
+    VariantType,
 )
 
-from revlens.sinks.tables import commit_version, stage_version
-from revlens.sources.lines import read_lines, require_utf8
+from revlens.session import scratch_path
+from revlens.sinks.tables import IS_BAD, REJECTED, commit_version, stage_version
+from revlens.sources.lines import POSITION, input_bytes, read_lines, read_positioned, require_utf8
 from revlens.sources.records import END_MARKER
 
 MAX_BAD_RECORDS = 10
@@ -41,6 +49,11 @@ def _read(line: Column, fields: list[StructField]) -> Column:
     return F.from_json(text, root, STRICT_JSON | {"columnNameOfCorruptRecord": _CORRUPT})
 
 
+def _named(column: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def _row(read: Column) -> Column:
     return F.get(read[_ROWS], F.lit(0))
 
@@ -57,61 +70,114 @@ def _whole(read: Column) -> Column:
     return F.coalesce(fits, F.lit(False))
 
 
+# JSON's own number grammar: casts alone would take suffixes, signs and words of Java.
+_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_WHOLE_NUMBER = r"^-?(0|[1-9][0-9]*)(\.0+)?$"
+
+
 def _coerced(text: Column, kind: DataType) -> Column:
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, (ArrayType, MapType, StructType)):
         return F.from_json(text, kind, STRICT_JSON)
+    if isinstance(kind, NumericType):
+        grammar = _WHOLE_NUMBER if isinstance(kind, IntegralType) else _NUMBER
+        return F.when(text.rlike(grammar), text).try_cast(kind)
     return text.try_cast(kind)
 
 
-def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
-    """The schema's columns plus ``_bad``, one row per non-blank line.
+def reasons(schema: StructType) -> list[str]:
+    """Why a line can be bad: not one JSON object, a value of another type, a missing field."""
+    typed = [f.name for f in schema if not isinstance(f.dataType, StringType)]
+    required = [f.name for f in schema if not f.nullable]
+    return ["not_one_object", *[f"type:{n}" for n in typed], *[f"missing:{n}" for n in required]]
 
-    A row is bad if the line is not exactly one JSON object, a value does not fit
-    its type, or a ``nullable=False`` field is missing. Unknown fields are
-    ignored. Lines are read straight into their types; only a line that fails is
-    read once more as text, so that a quoted number still counts as a number. The
-    end marker works as in ``records``. Bytes that are not UTF-8 fail the job.
+
+def judge_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``lines``, the schema's columns and ``_reason``, one row per non-blank line.
+
+    ``_reason`` is one of ``reasons``, or null for a good line. A line is bad if it is not
+    exactly one JSON object, a value does not fit its type, or a ``nullable=False`` field is
+    missing. Unknown fields are ignored. Lines are read straight into their types; only a
+    line that fails is read once more as text, so that a quoted JSON number still counts as
+    a number. The end marker works as in ``records``. Bytes that are not UTF-8 fail the job.
     """
+    given = lines.columns
     lines = require_utf8(lines)
     value = F.col("value")
     kinds = {f.name: f.dataType for f in schema}
     typed = [StructField(name, kind) for name, kind in kinds.items()]
     unmarked = ~F.contains(value, F.lit(END_MARKER))
-    rows = lines.where(F.trim(value) != "").select(value, _read(value, typed).alias("_typed"))
+    rows = lines.where(F.trim(value) != "").withColumn("_typed", _read(value, typed))
     first = _row(F.col("_typed"))
     rows = rows.withColumn("_fits", _whole(F.col("_typed")) & unmarked)
     values = {name: first[name] for name in kinds}
-    bad = ~F.col("_fits")
-    if any(not isinstance(kind, StringType) for kind in kinds.values()):
+    unfit = ~F.col("_fits")
+    if all(isinstance(kind, StringType) for kind in kinds.values()):
+        reason = F.when(unfit, F.lit("not_one_object"))
+    else:
         texts = [StructField(name, StringType()) for name in kinds]
-        again = F.when(bad, value)
-        rows = rows.withColumn("_texts", _read(again, texts))
+        rows = rows.withColumn("_texts", _read(F.when(unfit, value), texts))
         second = _row(F.col("_texts"))
         coerced = {name: _coerced(second[name], kind) for name, kind in kinds.items()}
-        misfit = ~(_whole(F.col("_texts")) & unmarked)
+        reason = F.when(~(_whole(F.col("_texts")) & unmarked), F.lit("not_one_object"))
         for name, kind in kinds.items():
             if not isinstance(kind, StringType):
-                misfit = misfit | (second[name].isNotNull() & coerced[name].isNull())
+                misfit = second[name].isNotNull() & coerced[name].isNull()
+                reason = reason.when(misfit, F.lit(f"type:{name}"))
+        reason = F.when(unfit, reason)
         values = {
-            name: F.when(bad, coerced[name]).otherwise(typed_value)
+            name: F.when(unfit, coerced[name]).otherwise(typed_value)
             for name, typed_value in values.items()
         }
-        bad = bad & misfit
-    for field in schema:
+    missing = F.lit(None).cast("string")
+    for field in reversed(schema.fields):
         if not field.nullable:
-            bad = bad | values[field.name].isNull()
-    return rows.select(*[v.alias(name) for name, v in values.items()], bad.alias("_bad"))
+            missing = F.when(values[field.name].isNull(), F.lit(f"missing:{field.name}")).otherwise(missing)
+    return rows.select(
+        *given,
+        *[v.alias(name) for name, v in values.items()],
+        F.coalesce(reason, missing).alias("_reason"),
+    )
 
 
-def infer_landing_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> StructType:
-    """Schema found by reading (a share of) the file; unreadable lines do not count.
+def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
+    """The schema's columns plus ``_bad``, one row per non-blank line (see ``judge_ndjson``)."""
+    judged = judge_ndjson(lines.select("value"), schema)
+    return judged.select(*map(_named, schema.fieldNames()), F.col("_reason").isNotNull().alias("_bad"))
 
-    Bytes are checked by the load that follows, which fails before it commits.
+
+def infer_schema(lines: DataFrame, sampling: float = 1.0) -> StructType:
+    """Schema of the objects in ``lines`` (or a share of them); unreadable lines do not count.
+
+    The types of all lines are merged in the tasks and one description reaches the driver.
+    Numbers with a fraction are doubles; fields of several types, or without one, are text.
     """
-    reader = spark.read.options(**STRICT_JSON).option("samplingRatio", sampling).option("mode", "DROPMALFORMED")
-    return reader.json(path).schema
+    value = F.col("value")
+    objects = lines.where(F.ltrim(value).startswith("{"))
+    if sampling < 1.0:
+        objects = objects.where(F.pmod(F.xxhash64(value), F.lit(1 << 20)) < int(sampling * (1 << 20)))
+    merged = objects.agg(F.schema_of_variant_agg(F.try_parse_json(value))).first()[0]
+    if merged is None or not merged.startswith("OBJECT<"):
+        return StructType()
+    ddl = merged.replace("OBJECT<>", "STRING").replace("OBJECT<", "STRUCT<")
+    found = lines.sparkSession.createDataFrame([], f"line {ddl}").schema["line"].dataType
+    return _plain_types(found) if isinstance(found, StructType) else StructType()
+
+
+def _plain_types(kind: DataType) -> DataType:
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _plain_types(f.dataType)) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_plain_types(kind.elementType))
+    if isinstance(kind, (DecimalType, FractionalType)):
+        return DoubleType()
+    return StringType() if isinstance(kind, (NullType, VariantType)) else kind
+
+
+def infer_landing_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> StructType:
+    """``infer_schema`` of a file's lines."""
+    return infer_schema(read_lines(spark, path), sampling)
 
 
 def read_landing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -150,27 +216,44 @@ def load_lines(
 ) -> dict:
     """Replace a landing table by the records in ``lines``, in one pass over them.
 
-    The rows go to a staged version; it becomes the table only if the bad records
-    counted on the way are within the budget.
+    Good and bad rows go to two partitions of a staged version, bad ones with their line and
+    reason. It becomes the table if the bad ones are within the budget; ``rejected_records``
+    reads them. Beyond the budget the version stays, uncommitted, for a look at it.
     """
     started = time.monotonic()
     seen = Observation("load_lines")
-    flagged = parse_ndjson(lines, schema).observe(
+    known, reason = reasons(schema), F.col("_reason")
+    place = [c for c in POSITION if c in lines.columns]
+    rejected = F.when(
+        reason.isNotNull(), F.struct(*place, F.col("value").alias("line"), reason.alias("reason"))
+    )
+    judged = judge_ndjson(lines, schema).observe(
         seen,
-        F.count_if(~F.col("_bad")).alias("good"),
-        F.count_if(F.col("_bad")).alias("bad"),
+        F.count_if(reason.isNull()).alias("good"),
+        F.count_if(reason.isNotNull()).alias("bad"),
+        *[F.count_if(reason == r).alias(f"r{i}") for i, r in enumerate(known)],
     )
-    staged = stage_version(flagged.where(~F.col("_bad")).drop("_bad"), table_dir)
+    rows = judged.select(
+        *[F.when(reason.isNull(), _named(c)).alias(c) for c in schema.fieldNames()],
+        rejected.alias(REJECTED),
+        reason.isNotNull().alias(IS_BAD),
+    )
+    staged = stage_version(rows, table_dir, (IS_BAD,))
     counts = seen.get
-    _check(counts["bad"], max_bad)
-    commit_version(lines.sparkSession, table_dir, staged)
-    return {
+    result = {
         "status": "success",
         "rows_loaded": counts["good"],
         "bad_records": counts["bad"],
+        "reasons": {r: counts[f"r{i}"] for i, r in enumerate(known) if counts[f"r{i}"]},
         "elapsed_seconds": time.monotonic() - started,
         "output_table": table_dir,
     }
+    if counts["bad"] > max_bad:
+        raise BadRecordBudgetExceeded(
+            f"{counts['bad']} bad records, {max_bad} allowed: {result['reasons']}; see {staged}"
+        )
+    commit_version(lines.sparkSession, table_dir, staged, rows)
+    return result
 
 
 def load_table(
@@ -183,8 +266,15 @@ def load_table(
 ) -> dict:
     """Replace a landing table by a newline-delimited JSON path, plain or gzip.
 
-    Spark reads compressed lines of any size, so they need no plain copy first;
-    ``partitions`` spreads the lines of a few large gzip files over the cores.
+    Spark reads compressed lines of any size, so they need no plain copy first; ``partitions``
+    spreads the lines of a few large gzip files over the cores. Without a schema the lines
+    are staged on their one reading, and both inference and load use the staged copy.
     """
-    schema = schema or infer_landing_schema(spark, path)
-    return load_lines(read_lines(spark, path, partitions), table_dir, schema, max_bad)
+    lines = read_positioned(spark, path, partitions)
+    if schema is None:
+        staged = scratch_path(spark, "lines")
+        lines.write.parquet(staged)
+        lines = spark.read.schema(lines.schema).parquet(staged)
+        schema = infer_schema(lines)
+    result = load_lines(lines, table_dir, schema, max_bad)
+    return result | {"input_bytes": input_bytes(spark, path)}

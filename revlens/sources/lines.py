@@ -23,6 +23,29 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines
 
 
+# Where a line lies: file, start of the scanned part of it, and row within a task's input.
+# In this order, lines are in file order.
+POSITION = ("file", "block_start", "row")
+
+
+def read_positioned(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """``read_lines`` with the columns of ``POSITION``, which are fixed before any spreading."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return lines.repartition(partitions) if partitions else lines
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files that a path or pattern names, as they lie on disk."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(target) or [])
+
+
 def invalid_utf8(lines: DataFrame) -> DataFrame:
     """Lines whose bytes are not valid UTF-8."""
     return lines.where(~F.is_valid_utf8("value"))

@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from revlens.sources.lines import normalize_lines, read_lines, require_utf8
+from revlens.sinks.tables import make_folder, path_exists
+from revlens.sources.lines import POSITION, input_bytes, normalize_lines, read_positioned, require_utf8
 
 END_MARKER = "~revlens-end-of-record~"
 
@@ -128,6 +129,27 @@ def bad_record_report(records: DataFrame) -> DataFrame:
     )
 
 
+def canonical_records(lines: DataFrame) -> DataFrame:
+    """Add ``record``: the line's record written in one form, null for a bad line.
+
+    All records pass one serialiser, whatever style they come in: keys in the order they
+    have, ``", "`` and ``": "`` between tokens, the shortest form of numbers, raw non-ASCII.
+    """
+    return lines.withColumn("record", repair_records(F.col("value")))
+
+
+KEPT = "kept"
+REJECTED_LINE = "file string, block_start bigint, row bigint, line string"
+
+
+def rejected_lines(spark: SparkSession, target: str) -> DataFrame:
+    """Lines that ``clean_file`` found no record in, with their place."""
+    path = f"{target}/{KEPT}=false"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], REJECTED_LINE)
+    return spark.read.schema(REJECTED_LINE).json(path)
+
+
 def clean_file(
     spark: SparkSession,
     source: str,
@@ -135,31 +157,41 @@ def clean_file(
     partitions: int | None = None,
     sample_limit: int = 10,
 ) -> dict:
-    """Clean a line file into newline-delimited JSON in one pass.
+    """Clean a line file into newline-delimited JSON and a quarantine of bad lines, in one pass.
 
-    Bad lines are dropped without limit and counted; ``sample_limit`` bounds only
-    how many of them the result quotes. The sample is one line per hash bucket,
-    so it needs no second pass and no list that grows with the input.
+    Records go to the partition ``kept=true`` of ``target`` (the ``output_path`` of the
+    result), bad lines with their place to ``kept=false``. Any number of them is dropped; the
+    result counts them and quotes the first ``sample_limit`` in file order.
     """
     started = time.monotonic()
     seen = Observation("clean_file")
-    lines = normalize_lines(require_utf8(read_lines(spark, source, partitions)))
-    records = clean_records(lines)
+    lines = normalize_lines(require_utf8(read_positioned(spark, source, partitions)))
     bad = F.col("record").isNull()
-    bucket = F.when(bad, F.pmod(F.xxhash64("value"), F.lit(max(sample_limit, 1))))
-    metrics = [F.count_if(~bad).alias("valid"), F.count_if(bad).alias("bad")] + [
-        F.min(F.when(bucket == i, F.col("value"))).alias(f"bad_{i}")
-        for i in range(sample_limit)
-    ]
-    kept = records.observe(seen, *metrics).where(~bad)
-    kept.select("record").write.mode("overwrite").text(target)
+    # Measured before the split, so that both sides are counted.
+    records = canonical_records(lines).observe(
+        seen,
+        F.count_if(~bad).alias("valid"),
+        F.count_if(bad).alias("bad"),
+        F.coalesce(F.sum(F.octet_length("record")), F.lit(0)).alias("bytes"),
+    )
+    quarantined = F.to_json(F.struct(*POSITION, F.col("value").alias("line")))
+    split = records.select(F.coalesce("record", quarantined).alias("line"), (~bad).alias(KEPT))
+    split.write.mode("overwrite").partitionBy(KEPT).text(target)
     counts = seen.get
-    sample = [counts[f"bad_{i}"] for i in range(sample_limit)]
+    output = f"{target}/{KEPT}=true"
+    make_folder(spark, output)
+    quoted = []
+    if counts["bad"] and sample_limit:
+        first = rejected_lines(spark, target).orderBy(*POSITION).limit(sample_limit)
+        quoted = [row["line"] for row in first.collect()]
     return {
         "status": "success",
         "valid_records": counts["valid"],
         "parse_errors": counts["bad"],
-        "bad_lines": [line for line in sample if line is not None],
+        "bad_lines": quoted,
+        "input_bytes": input_bytes(spark, source),
+        "output_bytes": counts["bytes"] + counts["valid"],
         "elapsed_seconds": time.monotonic() - started,
-        "output_path": target,
+        "output_path": output,
+        "rejected_path": f"{target}/{KEPT}=false",
     }

@@ -1,15 +1,17 @@
 import ast
 import gzip
 import json
+import os
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from revlens.schemas import PRODUCT_LANDING, REVIEW_LANDING
-from revlens.sinks.tables import read_table
+from revlens.sinks.tables import read_table, rejected_records
 from revlens.sources import (
     BadRecordBudgetExceeded,
     bad_record_report,
@@ -23,7 +25,11 @@ from revlens.sources import (
     normalize_lines,
     parse_ndjson,
     read_lines,
+    rejected_lines,
 )
+from revlens.sources import landing
+from revlens.sources.lines import read_positioned
+
 
 
 def lines_of(spark, values):
@@ -168,12 +174,78 @@ def test_clean_file(spark, tmp_path):
     source = write_gzip(tmp_path / "in.gz", content.encode())
     result = clean_file(spark, source, str(tmp_path / "out"), partitions=3)
     assert (result["valid_records"], result["parse_errors"]) == (2, 40)
-    assert 1 <= len(result["bad_lines"]) <= 10
-    assert set(result["bad_lines"]) <= {f"bad {i}" for i in range(40)}
+    assert result["bad_lines"] == [f"bad {i}" for i in range(10)]
+    kept = rejected_lines(spark, str(tmp_path / "out")).orderBy("row").collect()
+    assert [r["line"] for r in kept] == [f"bad {i}" for i in range(40)]
+    assert result["input_bytes"] == os.path.getsize(source)
     got = sorted(json.loads(r.value)["asin"] for r in read_lines(spark, result["output_path"]).collect())
     assert got == ["1", "2"]
 
 
+def test_ten_bad_lines_of_plain_files_are_quoted_in_file_order(spark, tmp_path, conf):
+    """Each once, wherever the splits of the file lie."""
+    conf(spark__sql__files__maxPartitionBytes="300", spark__sql__files__openCostInBytes="1")
+    lines = [f"bad {i}" if i % 20 == 3 else json.dumps({"asin": "x" * (i % 7)}) for i in range(200)]
+    (tmp_path / "in.txt").write_text("\n".join(lines))
+    result = clean_file(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"))
+    assert result["bad_lines"] == [line for line in lines if line.startswith("bad")] and result["parse_errors"] == 10
+
+
+def test_records_are_written_in_one_form(spark, tmp_path):
+    given = ['{"b":9.90,"a" : {"z":1e22,"y":[1.50, -0.0]},"ü":"\\u00e9"}', "{'b': 9.90, 'a': (1, None), u'c': True}", "{}"]
+    (tmp_path / "in.txt").write_text("\n".join(given))
+    result = clean_file(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"))
+    got = {r.value for r in read_lines(spark, result["output_path"]).collect()}
+    assert got == {
+        '{"b": 9.9, "a": {"z": 1e+22, "y": [1.5, -0.0]}, "ü": "é"}', '{"b": 9.9, "a": [1, null], "c": true}', "{}",
+    }
+
+
+def test_a_load_keeps_rejected_records_with_reasons(spark, tmp_path):
+    lines = [
+        '{"asin":"1","overall":4}', '{"asin":"2","overall":"4.5"}', '{"asin":"3","overall":"2d"}', "oops",
+        '{"overall":1}', '{"asin":"5","unixReviewTime":"7f"}', '{"asin":"6","overall":"+1"}', '{"asin":"7","overall":NaN}',
+    ]
+    (tmp_path / "in.txt").write_text("\n".join(lines))
+    schema = StructType([StructField("asin", StringType(), False), *[REVIEW_LANDING[c] for c in ("overall", "unixReviewTime")]])
+    table = str(tmp_path / "t")
+    result = load_table(spark, str(tmp_path / "in.txt"), table, schema)
+    assert (result["rows_loaded"], result["bad_records"], result["input_bytes"]) == (2, 6, len("\n".join(lines)))
+    assert result["reasons"] == {
+        "not_one_object": 2, "type:overall": 2, "type:unixReviewTime": 1, "missing:asin": 1,
+    }
+    assert sorted(map(tuple, read_table(spark, table).collect())) == [("1", 4.0, None), ("2", 4.5, None)]
+    rejected = rejected_records(spark, table).orderBy("row").collect()
+    assert [r["line"] for r in rejected] == lines[2:]
+    assert rejected[0]["reason"] == "type:overall" and rejected[0]["file"].endswith("in.txt")
+    with pytest.raises(BadRecordBudgetExceeded, match="missing:asin"):
+        load_table(spark, str(tmp_path / "in.txt"), table, schema, max_bad=5)
+    assert read_table(spark, table).count() == 2
+
+
+def test_a_load_of_nothing_is_an_empty_table(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("\n")
+    load_table(spark, str(tmp_path / "in.txt"), str(tmp_path / "t"), REVIEW_LANDING)
+    assert read_table(spark, str(tmp_path / "t")).columns == REVIEW_LANDING.fieldNames()
+    assert read_table(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_inference_reads_a_gzip_once(spark, tmp_path, monkeypatch):
+    lines = ['{"b":1,"a":"x","n":null,"l":[1,2],"o":{"k":1.5}}', '{"b":2.5,"m":true,"l":[3.5],"e":{}}', "bad", "[1]", '{"m":"yes"}']
+    source = write_gzip(tmp_path / "in.gz", "\n".join(lines).encode())
+    reads = []
+    monkeypatch.setattr(landing, "read_positioned", lambda *a: reads.append(a) or read_positioned(*a))
+    monkeypatch.setattr(landing, "read_lines", lambda *a: reads.append(a))
+    load_table(spark, source, str(tmp_path / "t"))
+    assert len(reads) == 1
+    got = read_table(spark, str(tmp_path / "t"))
+    assert {f.name: f.dataType.simpleString() for f in got.schema} == {
+        "a": "string", "b": "double", "e": "string", "l": "array<double>", "m": "string", "n": "string",
+        "o": "struct<k:double>",
+    }
+    assert got.count() == 3 and [r.b for r in got.where("a = 'x'").collect()] == [1.0]
+
+
 def test_clean_file_without_bad_lines(spark, tmp_path):
     source = write_gzip(tmp_path / "in.gz", b'{"a":1}\n')
     result = clean_file(spark, source, str(tmp_path / "out"), sample_limit=0)

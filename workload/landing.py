@@ -159,6 +159,20 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select(lines.alias("value"))
 
 
+@shared
+def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict JSON lines whose keys are in no order and whose numbers are not in short form."""
+    part = table(spark, sf_dir, "part").where(_divides("p_partkey", 3))
+    line = F.concat(
+        F.lit('{"z":'),
+        C("p_retailprice").cast("string"),
+        F.lit('0,"b" : {"y":1e22,"a":[1.50,-0.0,  12,9.90]},"asin":"'),
+        C("p_partkey").cast("string"),
+        F.lit('","\u00fc":"\\u00e9"}'),
+    )
+    return part.select(line.alias("value"))
+
+
 @shared
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as newline-delimited JSON, ``value`` per line."""

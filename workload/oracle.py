@@ -228,7 +228,18 @@ def _count(table: str, condition: str) -> str:
     return f"SELECT count(*) FROM {table} WHERE {condition}"
 
 
-def _not_null_rows() -> list[str]:
+# Tables with a column emptied in some rows.
+HOLES = {
+    "dates": "(SELECT * REPLACE (CASE WHEN day <> 1 THEN month END AS month) FROM dates)",
+    "products": "(SELECT * REPLACE (CASE WHEN brand IS NOT NULL THEN product_id END AS product_id) FROM products)",
+    "reviewers": """(SELECT * REPLACE (CASE WHEN reviewer_name IS NOT NULL THEN reviewer_id END AS reviewer_id)
+        FROM reviewers)""",
+    "fact": """(SELECT * REPLACE (CASE WHEN helpful_votes > total_votes THEN NULL ELSE rating END AS rating)
+        FROM fact)""",
+}
+
+
+def _not_null_rows(tables: dict[str, str] | None = None) -> list[str]:
     columns = {
         "dates": ("date_id", "year", "month", "year_month"),
         "products": ("product_id",),
@@ -236,7 +247,7 @@ def _not_null_rows() -> list[str]:
         "fact": ("review_sk", "reviewer_id", "product_id", "date_id", "rating", "review_date"),
     }
     return [
-        _check_row(f"{t}_{c}_not_null", "error", _count(t, f"{c} IS NULL"))
+        _check_row(f"{t}_{c}_not_null", "error", _count((tables or {}).get(t, t), f"{c} IS NULL"))
         for t, names in columns.items()
         for c in names
     ]
@@ -296,19 +307,43 @@ def _summary() -> str:
 
 # Keys sorted, nulls kept where the line spelled them out (key modulo 8 = 3).
 CANONICAL = """
-    SELECT '{"asin":"' || asin || '"'
-        || coalesce(',"brand":"' || brand || '"', CASE WHEN n THEN ',"brand":null' ELSE '' END)
-        || coalesce(',"categories":' || categories,
-            CASE WHEN n THEN ',"categories":null' ELSE '' END)
-        || coalesce(',"description":"' || description || '"',
-            CASE WHEN n THEN ',"description":null' ELSE '' END)
-        || coalesce(',"imUrl":"' || "imUrl" || '"', CASE WHEN n THEN ',"imUrl":null' ELSE '' END)
-        || coalesce(',"price":"' || price || '"', CASE WHEN n THEN ',"price":null' ELSE '' END)
-        || coalesce(',"related":' || related, CASE WHEN n THEN ',"related":null' ELSE '' END)
-        || coalesce(',"salesRank":' || "salesRank",
-            CASE WHEN n THEN ',"salesRank":null' ELSE '' END)
-        || ',"title":"' || title || '"}' AS record
-    FROM (SELECT *, p_partkey % 8 = 3 AS n FROM product_rows)"""
+    SELECT '{' || concat_ws(', ', '"asin": "' || asin || '"', '"title": "' || title || '"',
+        coalesce('"description": "' || description || '"', '"description": ' || empty),
+        coalesce('"price": "' || price || '"', '"price": ' || empty),
+        coalesce('"brand": "' || brand || '"', '"brand": ' || empty),
+        coalesce('"imUrl": "' || "imUrl" || '"', '"imUrl": ' || empty),
+        coalesce('"categories": ' || replace(categories, '","', '", "'), '"categories": ' || empty),
+        coalesce('"salesRank": ' || replace("salesRank", '":', '": '), '"salesRank": ' || empty),
+        coalesce('"related": ' || replace(related, '":', '": '), '"related": ' || empty)) || '}' AS record
+    FROM (SELECT *, CASE WHEN p_partkey % 8 = 3 THEN 'null' END AS empty FROM product_rows)
+    UNION ALL
+    SELECT '{"z": ' || CAST(p_retailprice AS VARCHAR) || ', "b": {"y": 1e+22, "a": [1.5, -0.0, 12, 9.9]}, "asin": "'
+        || CAST(p_partkey AS VARCHAR) || '", "\u00fc": "\u00e9"}' FROM part WHERE p_partkey % 3 = 0"""
+
+REJECTED_LINES = """
+    SELECT '{''asin'': ' || CAST(p_partkey AS VARCHAR) || ' oops' AS line FROM part WHERE p_partkey % 25 = 0
+    UNION ALL
+    SELECT CAST(least(count(*), 10) AS VARCHAR) || ' quoted' FROM part WHERE p_partkey % 25 = 0"""
+
+SPOILT = """
+    SELECT CASE asin WHEN '1' THEN replace(sparse, '"asin"', '"ASIN_"') WHEN '2' THEN sparse || ' trailing'
+            WHEN '3' THEN '[' || sparse || ']' WHEN '4' THEN replace(sparse, '"asin"', '"unknown":1,"asin"')
+            WHEN '5' THEN left(sparse, length(sparse) - 1) ELSE sparse END AS line,
+        CASE asin WHEN '1' THEN 'missing:asin' WHEN '2' THEN 'not_one_object' WHEN '3' THEN 'not_one_object'
+            WHEN '5' THEN 'not_one_object' END AS reason
+    FROM (SELECT asin, '{' || concat_ws(',', '"asin":"' || asin || '"', '"title":"' || title || '"',
+            '"description":"' || description || '"', '"price":"' || price || '"', '"brand":"' || brand || '"',
+            '"imUrl":"' || "imUrl" || '"', '"categories":"' || replace(categories, '"', '\\"') || '"',
+            '"salesRank":"' || replace("salesRank", '"', '\\"') || '"',
+            '"related":"' || replace(related, '"', '\\"') || '"') || '}' AS sparse FROM product_rows)"""
+
+ITEM_BYTES = """
+    SELECT CAST(sum(2 + 1 + strlen(concat_ws(',', '"reviewerID":"' || "reviewerID" || '"', '"asin":"' || asin || '"',
+        '"reviewerName":"' || "reviewerName" || '"',
+        '"helpful":' || replace(CAST(helpful AS VARCHAR), ', ', ','), '"reviewText":"' || "reviewText" || '"',
+        '"overall":' || CAST(overall AS VARCHAR), '"summary":"' || summary || '"',
+        '"unixReviewTime":' || CAST("unixReviewTime" AS VARCHAR), '"reviewTime":"' || "reviewTime" || '"'))) AS BIGINT)
+    FROM items"""
 
 SELECTS: dict[str, str] = {
     "scan_gzip_lines": """
@@ -325,6 +360,8 @@ SELECTS: dict[str, str] = {
         WHERE p_partkey % 8 IN (2, 3, 6, 7)""",
     "bad_record_report": RECORD_COUNTS,
     "canonical_ndjson": CANONICAL,
+    "rejected_lines": REJECTED_LINES,
+    "rejected_records": f"SELECT * FROM ({SPOILT}) WHERE reason IS NOT NULL",
     "ingest_metrics": f"SELECT 'success' AS status, * FROM ({RECORD_COUNTS})",
     "load_metadata": PRODUCT_LANDING,
     "load_inferred": ITEMS_TEXT,
@@ -343,7 +380,12 @@ SELECTS: dict[str, str] = {
     "filter_blank_brand": """
         SELECT product_id, brand FROM bronze_products
         WHERE brand IS NOT NULL AND trim(brand) <> ''""",
-    "having_min_reviewers": "SELECT * FROM brand_counts WHERE unique_reviewers >= 10",
+    "having_min_reviewers": """
+        SELECT p.brand, count(*) AS total_reviews, count(DISTINCT f.reviewer_id) AS unique_reviewers,
+            round(count(*) / count(DISTINCT f.reviewer_id), 2) AS avg_reviews_per_reviewer
+        FROM fact f JOIN products p USING (product_id)
+        WHERE date_id % 100 = 1 AND rating = 5 AND trim(p.brand) <> ''
+        GROUP BY p.brand HAVING count(DISTINCT f.reviewer_id) >= 10""",
     "semi_join_top_categories": """
         SELECT product_id, primary_category FROM products
         WHERE primary_category IN (SELECT primary_category FROM top_five)""",
@@ -363,9 +405,11 @@ SELECTS: dict[str, str] = {
             JOIN dates d ON f.date_id = d.date_id""",
     "dim_reviewer": "SELECT * FROM reviewers",
     "date_spine": "SELECT * FROM spine",
-    "check_rel_reviewer": _relationship("reviewer_id", "reviewers"),
+    "check_rel_reviewer": _relationship(
+        "reviewer_id", "(FROM reviewers WHERE reviewer_name IS NOT NULL)"
+    ),
     "check_rel_product": _relationship("product_id", "products"),
-    "check_rel_date": _relationship("date_id", "dates"),
+    "check_rel_date": _relationship("date_id", "(FROM dates WHERE NOT is_weekend)"),
     "date_bounds": "SELECT * FROM bounds",
     "first_review_time": """
         SELECT reviewer_id, first_review_timestamp FROM first_times
@@ -396,25 +440,42 @@ SELECTS: dict[str, str] = {
     "fct_partitioned": """
         SELECT *, CAST(date_trunc('month', review_date) AS DATE) AS review_month FROM fact""",
     "stream_merge_arrivals": "SELECT * FROM fact_unique",
-    "run_audit": """
+    "run_audit": f"""
         SELECT 'load_items' AS job, 'success' AS status, count(*) AS rows,
-            CAST(0 AS BIGINT) AS bad_records FROM items
+            CAST(0 AS BIGINT) AS bad_records, ({ITEM_BYTES}) AS input_bytes, '{{}}' AS reasons FROM items
+        UNION ALL
+        SELECT 'load_metadata', 'success', count(*) FILTER (reason IS NULL), count(reason),
+            CAST(sum(strlen(line) + 1) AS BIGINT), '{{"missing:asin": 1, "not_one_object": 3}}' FROM ({SPOILT})""",
+    "check_not_null_source": " UNION ALL ".join(
+        [
+            _check_row("items_reviewerID_not_null", "error", _count("items", '"reviewerID" IS NULL')),
+            _check_row("items_asin_not_null", "error", _count("items", "asin IS NULL")),
+            _check_row("metadata_asin_not_null", "error", _count("metadata", "asin IS NULL")),
+            _check_row(
+                "staging_items_reviewerID_not_null",
+                "error",
+                _count("items", '"reviewerID" IS NULL AND "unixReviewTime" >= 993945600'),
+            ),
+            _check_row("staging_metadata_asin_not_null", "error", _count("metadata", "price IS NULL")),
+        ]
+    ),
+    "check_not_null": " UNION ALL ".join(_not_null_rows(HOLES)),
+    "check_unique_source": f"""
+        SELECT 'landing' AS zone, * FROM ({_duplicates("asin", "metadata")})
         UNION ALL
-        SELECT 'load_metadata', 'success', count(*), CAST(0 AS BIGINT) FROM metadata""",
-    "check_not_null_source": """
-        SELECT asin, summary, overall, "unixReviewTime" FROM items WHERE "reviewerID" IS NULL""",
-    "check_not_null": " UNION ALL ".join(_not_null_rows()),
-    "check_unique_source": _duplicates("asin", "metadata"),
+        SELECT 'staging', * FROM ({_duplicates("asin", "(SELECT * FROM metadata WHERE price IS NOT NULL "
+            "UNION ALL SELECT * FROM metadata WHERE brand IS NULL AND price IS NOT NULL)")})""",
     "check_unique_review_sk": _duplicates("review_sk", "fact"),
-    "check_unique_product_id": _duplicates("product_id", "products"),
-    "check_unique_reviewer_id": _duplicates("reviewer_id", "reviewers"),
-    "check_unique_date_id": _duplicates("date_id", "dates"),
+    "check_unique_product_id": _duplicates("product_id", "(FROM products UNION ALL FROM products WHERE brand IS NULL)"),
+    "check_unique_reviewer_id": _duplicates(
+        "reviewer_id", "(FROM reviewers UNION ALL FROM reviewers WHERE reviewer_name IS NULL)"
+    ),
+    "check_unique_date_id": _duplicates("date_id", "(FROM dates UNION ALL FROM dates WHERE is_weekend)"),
     "check_accepted_month": """
-        SELECT month, count(*) AS n_records FROM dates
-        WHERE month NOT IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12) GROUP BY month""",
+        SELECT month + 12 AS month, count(*) AS n_records FROM dates WHERE day = 31 GROUP BY month""",
     "check_accepted_rating": """
-        SELECT rating, count(*) AS n_records FROM fact
-        WHERE rating NOT IN (1.0, 2.0, 3.0, 4.0, 5.0) GROUP BY rating""",
+        SELECT rating + 0.5 AS rating, count(*) AS n_records FROM fact
+        WHERE helpful_votes > total_votes GROUP BY rating""",
     "check_price_range": """
         SELECT product_id, price_usd FROM products WHERE price_usd NOT BETWEEN 0 AND 10000""",
     "check_review_text_length": """

@@ -7,6 +7,7 @@ scratch folder first.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -189,14 +190,32 @@ def bad_record_report(spark, d):
 
 @query
 def canonical_ndjson(spark, d):
-    """Records as written, keys sorted and spaces dropped to make them comparable."""
+    """Records as written, from product lines in all styles and lines with odd numbers and order."""
+    lines = landing.metadata_lines(spark, d).unionByName(landing.odd_lines(spark, d))
+    source, target = written(lines, "raw"), scratch_path(spark, "ndjson")
+    lines = record_source.clean_file(spark, source, target)["output_path"]
+    return line_source.read_lines(spark, lines).select(F.col("value").alias("record"))
+
+
+@query
+def rejected_lines(spark, d):
+    """Lines without a record as the cleaning left them, and whether the result quotes them."""
     source, target = written(landing.metadata_lines(spark, d), "raw"), scratch_path(spark, "ndjson")
-    record_source.clean_file(spark, source, target)
-    return line_source.read_lines(spark, target).select(
-        F.to_json(F.parse_json("value")).alias("record")
+    quoted = record_source.clean_file(spark, source, target)["bad_lines"]
+    found = record_source.rejected_lines(spark, target)
+    return found.select("line").unionByName(
+        spark.createDataFrame([(f"{len(quoted)} quoted",)], "line string")
     )
 
 
+@query
+def rejected_records(spark, d):
+    """Records that a load within its budget set aside, with the reason of each."""
+    path = scratch_path(spark, "metadata")
+    landing_source.load_table(spark, spoilt_products(spark, d), path, PRODUCT_LANDING)
+    return tables.rejected_records(spark, path).select("line", "reason")
+
+
 @query
 def ingest_metrics(spark, d):
     source = written(landing.metadata_lines(spark, d), "gzip", compression="gzip")
@@ -208,8 +227,8 @@ def ingest_metrics(spark, d):
 @query
 def load_metadata(spark, d):
     source, target = written(landing.metadata_lines(spark, d), "raw"), scratch_path(spark, "ndjson")
-    record_source.clean_file(spark, source, target)
-    return loaded(spark, target, "metadata", PRODUCT_LANDING)
+    lines = record_source.clean_file(spark, source, target)["output_path"]
+    return loaded(spark, lines, "metadata", PRODUCT_LANDING)
 
 
 @query
@@ -219,9 +238,8 @@ def load_inferred(spark, d):
     return array_as_text(rows, "helpful")
 
 
-@query
-def bad_record_budget(spark, d):
-    """The product lines with four records spoilt, which a budget of ten allows."""
+def spoilt_products(spark, d) -> str:
+    """The product lines as a file, four of them spoilt (a budget of ten allows that)."""
     products = landing.metadata(spark, d)
     line = F.to_json(F.struct(*products.columns))
     spoilt = (
@@ -232,8 +250,12 @@ def bad_record_budget(spark, d):
         .when(F.col("asin") == "5", F.left(line, F.char_length(line) - 1))
         .otherwise(line)
     )
-    path = written(products.select(spoilt.alias("value")), "ndjson")
-    return landing_source.load_landing(spark, path, PRODUCT_LANDING)
+    return written(products.select(spoilt.alias("value")), "ndjson")
+
+
+@query
+def bad_record_budget(spark, d):
+    return landing_source.load_landing(spark, spoilt_products(spark, d), PRODUCT_LANDING)
 
 
 @query
@@ -280,7 +302,9 @@ def filter_blank_brand(spark, d):
 
 @query
 def having_min_reviewers(spark, d):
-    return gold.with_enough_reviewers(brand_review_counts(spark, d))
+    """Brands by their best reviews of the first days of months; most have too few reviewers."""
+    few = s_fact(spark, d).where("date_id % 100 = 1 AND rating = 5")
+    return gold.with_enough_reviewers(gold.brand_review_counts(few, s_products(spark, d)))
 
 
 @query
@@ -346,9 +370,9 @@ def date_spine(spark, d):
 
 @query
 def check_rel_reviewer(spark, d):
-    return checks.check_relationship(
-        s_fact(spark, d), "reviewer_id", s_reviewers(spark, d), "reviewer_id"
-    )
+    """Reviewers without a name are missing."""
+    named = s_reviewers(spark, d).where("reviewer_name IS NOT NULL")
+    return checks.check_relationship(s_fact(spark, d), "reviewer_id", named, "reviewer_id")
 
 
 @query
@@ -360,7 +384,9 @@ def check_rel_product(spark, d):
 
 @query
 def check_rel_date(spark, d):
-    return checks.check_relationship(s_fact(spark, d), "date_id", s_dates(spark, d), "date_id")
+    """Weekends are missing."""
+    weekdays = s_dates(spark, d).where("NOT is_weekend")
+    return checks.check_relationship(s_fact(spark, d), "date_id", weekdays, "date_id")
 
 
 # --- aggregations -----------------------------------------------------------------
@@ -500,38 +526,70 @@ def stream_merge_arrivals(spark, d):
 def run_audit(spark, d):
     """Two load jobs and what the audit table says about them."""
     log = scratch_path(spark, "audit")
-    for job, rows, schema in (
-        ("load_items", landing.item_lines(spark, d), REVIEW_LANDING),
-        ("load_metadata", _json_lines(landing.metadata(spark, d)), PRODUCT_LANDING),
+    for job, source, schema in (
+        ("load_items", written(landing.item_lines(spark, d), "ndjson"), REVIEW_LANDING),
+        ("load_metadata", spoilt_products(spark, d), PRODUCT_LANDING),
     ):
-        result = landing_source.load_table(
-            spark, written(rows, "ndjson"), scratch_path(spark, job), schema
-        )
+        result = landing_source.load_table(spark, source, scratch_path(spark, job), schema)
         audit.append_run(spark, log, job, result, rows=result["rows_loaded"])
-    return audit.read_runs(spark, log).select("job", "status", "rows", "bad_records")
+    return audit.read_runs(spark, log).select(
+        "job", "status", "rows", "bad_records", "input_bytes", "reasons"
+    )
 
 
-def _json_lines(df: DataFrame) -> DataFrame:
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+# --- checks ---------------------------------------------------------------------------
 
 
-# --- checks ---------------------------------------------------------------------------
+def staging(spark, d):
+    """Staging tables: the reviews since "today", and products that lose the id with the price."""
+    items = landing.items(spark, d).where(F.col("unixReviewTime") >= 993945600)
+    metadata = landing.metadata(spark, d)
+    return items, metadata.withColumn("asin", F.when(F.col("price").isNotNull(), F.col("asin")))
 
 
 @query
 def check_not_null_source(spark, d):
-    missing = checks.check_not_null(landing.items(spark, d), "reviewerID")
-    return missing.select("asin", "summary", "overall", "unixReviewTime")
+    """All five instances: three on the landing tables, two on the staging ones."""
+    items, metadata = staging(spark, d)
+    return suite.source_not_null_summary(landing.items(spark, d), landing.metadata(spark, d)).unionByName(
+        suite.source_not_null_summary(items, metadata, suite.STAGING)
+    )
+
+
+def with_holes(t: suite.Tables) -> suite.Tables:
+    """A column of each table emptied in some rows."""
+
+    def emptied(df: DataFrame, column: str, where: str) -> DataFrame:
+        return df.withColumn(column, F.when(~F.coalesce(F.expr(where), F.lit(False)), F.col(column)))
+
+    return dataclasses.replace(
+        t,
+        dates=emptied(t.dates, "month", "day = 1"),
+        products=emptied(t.products, "product_id", "brand IS NULL"),
+        reviewers=emptied(t.reviewers, "reviewer_id", "reviewer_name IS NULL"),
+        fact=emptied(t.fact, "rating", "helpful_votes > total_votes"),
+    )
+
+
+def twice(df: DataFrame, where: str) -> DataFrame:
+    """The rows, some of them a second time."""
+    return df.unionByName(df.where(where))
 
 
 @query
 def check_not_null(spark, d):
-    return suite.not_null_summary(s_tables(spark, d))
+    return suite.not_null_summary(with_holes(s_tables(spark, d)))
 
 
 @query
 def check_unique_source(spark, d):
-    return checks.check_unique(landing.metadata(spark, d), "asin")
+    """Both instances, landing and staging."""
+    found = {"landing": landing.metadata(spark, d), "staging": twice(staging(spark, d)[1], "brand IS NULL")}
+    parts = [
+        checks.check_unique(df, "asin").select(F.lit(zone).alias("zone"), "asin", "n_records")
+        for zone, df in found.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -541,27 +599,33 @@ def check_unique_review_sk(spark, d):
 
 @query
 def check_unique_product_id(spark, d):
-    return checks.check_unique(s_products(spark, d), "product_id")
+    return checks.check_unique(twice(s_products(spark, d), "brand IS NULL"), "product_id")
 
 
 @query
 def check_unique_reviewer_id(spark, d):
-    return checks.check_unique(s_reviewers(spark, d), "reviewer_id")
+    return checks.check_unique(twice(s_reviewers(spark, d), "reviewer_name IS NULL"), "reviewer_id")
 
 
 @query
 def check_unique_date_id(spark, d):
-    return checks.check_unique(s_dates(spark, d), "date_id")
+    return checks.check_unique(twice(s_dates(spark, d), "is_weekend"), "date_id")
 
 
 @query
 def check_accepted_month(spark, d):
-    return checks.check_accepted_values(s_dates(spark, d), "month", suite.MONTHS)
+    """Last days of long months carry month + 12."""
+    odd = s_dates(spark, d).withColumn("month", F.expr("IF(day = 31, month + 12, month)"))
+    return checks.check_accepted_values(odd, "month", suite.MONTHS)
 
 
 @query
 def check_accepted_rating(spark, d):
-    return checks.check_accepted_values(s_fact(spark, d), "rating", suite.RATINGS)
+    """Ratings of reviews with impossible votes are half a star off."""
+    odd = s_fact(spark, d).withColumn(
+        "rating", F.expr("IF(helpful_votes > total_votes, rating + 0.5, rating)")
+    )
+    return checks.check_accepted_values(odd, "rating", suite.RATINGS)
 
 
 @query
