@@ -1,7 +1,7 @@
 """Jobs for ``spark-submit`` or ``python -m revlens``.
 
     ingest PRODUCTS REVIEWS LANDING [--partitions N]
-    build  LANDING WAREHOUSE [--as-of YYYY-MM-DD]
+    build  LANDING WAREHOUSE [--as-of YYYY-MM-DD] [--namespace NAME]
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("landing", "warehouse"):
         run.add_argument(name)
     run.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
+    run.add_argument("--namespace")
     args = parser.parse_args(argv)
     spark = build_session(app=f"revlens-{args.job}")
     if args.job == "ingest":
         ingest(spark, args.products, args.reviews, args.landing, args.partitions)
     else:
         as_of = args.as_of or dt.datetime.now(dt.timezone.utc).date()
-        build(spark, args.landing, args.warehouse, as_of)
+        build(spark, args.landing, args.warehouse, as_of, namespace=args.namespace)
 
 
 if __name__ == "__main__":

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Shares into which rows without a key are dealt, as no join needs them together.
+KEYLESS_SHARES = 1024
+
 
 def merge_upsert(
     target: DataFrame,
@@ -58,3 +61,49 @@ def merge_upsert(
     )
     inserted = source.join(known, key, "left_anti")
     return kept.unionByName(inserted.select(columns))
+
+
+def merge_whole(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    update_columns: list[str] | None = None,
+) -> DataFrame:
+    """``merge_upsert`` for a source about as large as the target, as one full outer join.
+
+    Each side is read once and shuffled once, on the key: copies of a source key are counted
+    by a window on the same partitioning, and rows without a key, which match nothing, are
+    spread by content. A key that many target rows bear is one task's stream, not its memory;
+    use ``merge_upsert`` where the source is small, as this always shuffles the target.
+    """
+    columns = target.columns
+    updated = set(columns if update_columns is None else update_columns) - {key}
+
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        spread = F.pmod(F.xxhash64(*columns), F.lit(KEYLESS_SHARES)) + 1
+        return df.select(
+            F.col(key).alias(f"{side}_key"),
+            F.when(F.col(key).isNull(), spread).otherwise(0).alias(f"{side}_share"),
+            F.struct(*columns).alias(side),
+        )
+
+    copies = Window.partitionBy("new_key", "new_share")
+    incoming = keyed(source.select(columns), "new").withColumn("_n", F.count(F.lit(1)).over(copies))
+    stored = keyed(target, "old")
+    same = (F.col("old_key") == F.col("new_key")) & (F.col("old_share") == F.col("new_share"))
+    joined = stored.join(incoming, same, "full")
+    ambiguous = F.raise_error(
+        F.concat(F.lit(f"several source rows match {key} = "), F.col("new_key").cast("string"))
+    )
+    known, given = F.col("old").isNotNull(), F.col("new").isNotNull()
+    clash = F.when(known & (F.col("_n") > 1), ambiguous.cast("boolean")).otherwise(known & given)
+    joined = joined.withColumn("_matched", clash)
+    return joined.select(
+        *[
+            F.when(F.col("_matched") & F.lit(c in updated), F.col("new")[c])
+            .when(known, F.col("old")[c])
+            .otherwise(F.col("new")[c])
+            .alias(c)
+            for c in columns
+        ]
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.session import scratch_path
+
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows of a total order (each task keeps only its own ``k``)."""
@@ -14,16 +16,30 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 def rank_descending(df: DataFrame, value: str, rank: str) -> DataFrame:
     """``rank() over (order by value desc)`` as bigint, ties sharing a rank.
 
-    Rows with an equal value share their rank, so only the distinct values need
-    one ordered window; the ranks are then joined back. For averages rounded to
-    two decimals over at least ten reviews, N reviews allow no more than
-    sqrt(20 N) distinct values, and in practice a few hundred. A window over the
-    rows themselves would put every brand into one task.
+    Rows with an equal value share their rank, so only the distinct values are ordered, with
+    how often each occurs. They are range-partitioned and ranked within their slice; a slice
+    adds what the ones before it hold. Slices are written first, so that a task run again
+    finds the same ones. No window spans all values and no task sees more than its slice.
     """
+    spark = df.sparkSession
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(
+    path = scratch_path(spark, "rank-slices")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sliced = counts.repartitionByRange(width, F.col(value).desc())
+    sliced.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    slices = spark.read.parquet(path)
+    sums = slices.groupBy("_slice").agg(F.sum("_n").alias("_sum"))
+    # One row with an entry per slice.
+    every = sums.agg(F.collect_list(F.struct("_slice", "_sum")).alias("_all"))
+    earlier = F.filter("_all", lambda s: s["_slice"] < F.col("_slice"))
+    starts = sums.join(F.broadcast(every)).select(
+        "_slice", F.aggregate(earlier, F.lit(0).cast("bigint"), lambda total, s: total + s["_sum"]).alias("_start")
+    )
+    before = Window.partitionBy("_slice").orderBy(F.col(value).desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    ranks = slices.join(starts, "_slice").select(
         F.col(value).alias("_value"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("bigint").alias(rank),
+        (F.col("_start") + F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("bigint").alias(rank),
     )
     return df.join(ranks, df[value].eqNullSafe(ranks["_value"])).drop("_value")

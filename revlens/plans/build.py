@@ -13,8 +13,22 @@ from revlens.plans import gold, silver
 from revlens.plans.bronze import bronze_products, bronze_reviews
 from revlens.plans.suite import Tables, gate, silver_summary, source_summary
 from revlens.sinks.audit import append_run
-from revlens.sinks.fact import has_fact, merge_fact, read_fact, write_fact
-from revlens.sinks.tables import merge_table, read_table, write_table
+from revlens.sinks.fact import has_fact, merge_fact, read_fact, register_snapshot, write_fact
+from revlens.sinks.tables import create_namespace, merge_table, read_table, register_table, write_table
+
+# The versioned tables of a run, beside the fact.
+TABLES = (
+    "bronze_products",
+    "bronze_reviews",
+    "silver_dim_date",
+    "silver_dim_products",
+    "silver_dim_reviewer",
+    "gold_category_ratings_monthly",
+    "gold_brand_repeated_reviewers",
+    "gold_reviews_per_reviewer",
+    "gold_seasonality_and_reviews",
+    "gold_weekend_review_behavior",
+)
 
 
 class Warehouse:
@@ -33,6 +47,13 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return read_fact(self.spark, self.path("silver_fct_review"))
 
+    def register(self, namespace: str) -> None:
+        """Make all tables known to the catalog under their names."""
+        create_namespace(self.spark, namespace)
+        for name in TABLES:
+            register_table(self.spark, namespace, name, self.path(name))
+        register_snapshot(self.spark, self.path("silver_fct_review"), namespace, "silver_fct_review")
+
     def record(self, job: str, action: Callable, *args):
         """Run one step and append its outcome to the audit table."""
         started = time.monotonic()
@@ -66,12 +87,14 @@ def build(
     warehouse_dir: str,
     as_of: dt.date,
     loaded_at: dt.datetime | None = None,
+    namespace: str | None = None,
 ) -> Warehouse:
     """Build every table from ``landing_dir`` (tables ``metadata`` and ``items_dedup``).
 
     ``as_of`` stands for today: it sets the late-arrival window of an incremental
     run and the bound of the future check. An error-level check stops the run
-    before the tables that depend on the checked ones.
+    before the tables that depend on the checked ones. With a ``namespace`` the finished
+    tables can be queried by name there.
     """
     wh = Warehouse(spark, warehouse_dir)
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
@@ -113,4 +136,6 @@ def build(
     wh.rebuild("gold_reviews_per_reviewer", gold.reviews_per_reviewer(fact))
     wh.rebuild("gold_seasonality_and_reviews", gold.seasonality_and_reviews(fact, dates))
     wh.rebuild("gold_weekend_review_behavior", gold.weekend_review_behavior(fact, dates))
+    if namespace:
+        wh.record("register", wh.register, namespace)
     return wh

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revlens.schemas import PRODUCT_LANDING, REVIEW_LANDING
 from revlens.sinks.audit import append_run
 from revlens.sources.landing import load_lines, load_table
-from revlens.sources.lines import normalize_lines, read_lines, require_utf8
+from revlens.sources.lines import POSITION, input_bytes, normalize_lines, read_positioned, require_utf8
 from revlens.sources.records import clean_records
 
 
@@ -18,17 +18,15 @@ def ingest_products(
 ) -> dict:
     """Loose product lines to the ``metadata`` table, cleaned and loaded in one pass.
 
-    Lines that are no record are dropped and counted; records that do not fit the
-    table count against the budget of the load.
+    Lines that are no record are set aside and counted; records that do not fit the
+    table count against the budget of the load. ``rejected_records`` has both.
     """
-    seen = Observation("ingest_products")
-    lines = normalize_lines(require_utf8(read_lines(spark, source, partitions)))
-    is_bad = F.col("record").isNull()
-    records = clean_records(lines).observe(seen, F.count_if(is_bad).alias("bad")).where(~is_bad)
-    result = load_lines(
-        records.select(F.col("record").alias("value")), f"{landing_dir}/metadata", PRODUCT_LANDING
+    lines = normalize_lines(require_utf8(read_positioned(spark, source, partitions)))
+    records = clean_records(lines).select(
+        F.coalesce("record", "value").alias("value"), *POSITION, F.col("record").isNull().alias("no_record")
     )
-    return result | {"parse_errors": seen.get["bad"]}
+    result = load_lines(records, f"{landing_dir}/metadata", PRODUCT_LANDING, tolerated="no_record")
+    return result | {"input_bytes": input_bytes(spark, source)}
 
 
 def ingest_reviews(

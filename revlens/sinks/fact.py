@@ -23,6 +23,7 @@ from revlens.sinks.tables import (
     list_names,
     path_exists,
     read_note,
+    register_fact,
     remove_folder,
     rename_new,
     write_note,
@@ -210,6 +211,15 @@ def read_months(
     return fact.drop(VERSION, PART)
 
 
+def register_snapshot(spark: SparkSession, path: str, namespace: str, name: str) -> None:
+    """Let queries read the newest snapshot by a catalog name; to be called after each merge."""
+    manifest = _read_manifest(spark, path, snapshots(spark, path)[-1])
+    months = [f"{path}/data/{VERSION}={v}/{month}" for month, v in sorted(manifest["months"].items())]
+    folders = [f"{m}/{part}" for m in months for part in list_names(spark, m) if part.startswith(PART)]
+    levels = [StructField(MONTH, DateType()), StructField(PART, IntegerType())]
+    register_fact(spark, namespace, name, folders, StructType([*StructType.fromJson(manifest["schema"]), *levels]))
+
+
 def merge_fact(source: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
     """Merge rows on ``review_sk``, writing each month they fall in once.
 

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from revlens.operators.merge import merge_upsert
-from revlens.session import scratch_path
+from revlens.operators.merge import merge_whole
 
 COMMIT_MARKER = "_COMMITTED"
 
@@ -141,19 +140,50 @@ def merge_table(
     key: str,
     update_columns: list[str] | None = None,
 ) -> None:
-    """Merge rows into a versioned table; the first run creates it.
-
-    The merge reads its source three times, so that is computed once and staged.
-    """
+    """Merge a full set of rows into a versioned table; the first run creates it."""
     spark = source.sparkSession
     if current_version(spark, table_dir) is None:
         return write_table(source, table_dir)
-    staged = scratch_path(spark, "merge-source")
-    source.write.parquet(staged)
-    target, incoming = read_table(spark, table_dir), spark.read.parquet(staged)
-    return write_table(merge_upsert(target, incoming, key, update_columns), table_dir)
+    return write_table(merge_whole(read_table(spark, table_dir), source, key, update_columns), table_dir)
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
     """Create a catalog namespace unless it is there."""
     spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
+
+
+def register_table(spark: SparkSession, namespace: str, name: str, table_dir: str) -> None:
+    """Make a versioned table's newest version known to the catalog, as a view."""
+    path = current_version(spark, table_dir)
+    columns = ", ".join(_quoted(c) for c in read_table(spark, table_dir).columns)
+    where = f" WHERE NOT {IS_BAD}" if read_note(spark, f"{path}/{COMMIT_MARKER}") else ""
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_quoted(namespace)}.{_quoted(name)} "
+        f"AS SELECT {columns} FROM parquet.{_quoted(path)}{where}"
+    )
+
+
+def register_fact(spark: SparkSession, namespace: str, name: str, folders: list[str], schema: StructType) -> None:
+    """Make the files of a snapshot known to the catalog: an external table and a view of it.
+
+    ``folders`` end in a month and a file part, the table's partitions; ``schema`` has both last.
+    """
+    files = f"{_quoted(namespace)}.{_quoted(name + '_files')}"
+    levels = [f.name for f in schema][-2:]
+    spark.sql(f"DROP TABLE IF EXISTS {files}")
+    if folders:
+        root = folders[0].rsplit("/", 3)[0]
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {files} ({columns}) USING parquet PARTITIONED BY ({', '.join(levels)}) LOCATION '{root}'")
+        parts = [dict(part.split("=") for part in folder.rsplit("/", 2)[1:]) for folder in folders]
+        added = " ".join(
+            f"PARTITION ({', '.join(f'{level} = {part[level]!r}' for level in levels)}) LOCATION '{folder}'"
+            for part, folder in zip(parts, folders)
+        )
+        spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {added}")
+        names = ", ".join(_quoted(f.name) for f in schema if f.name not in levels)
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(namespace)}.{_quoted(name)} AS SELECT {names} FROM {files}")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -39,6 +39,7 @@ class BadRecordBudgetExceeded(RuntimeError):
 
 
 _CORRUPT, _ROWS = "_corrupt", "_rows"
+NO_RECORD = "no_record"
 
 
 def _read(line: Column, fields: list[StructField]) -> Column:
@@ -212,25 +213,33 @@ def load_landing(
 
 
 def load_lines(
-    lines: DataFrame, table_dir: str, schema: StructType, max_bad: int = MAX_BAD_RECORDS
+    lines: DataFrame,
+    table_dir: str,
+    schema: StructType,
+    max_bad: int = MAX_BAD_RECORDS,
+    tolerated: str | None = None,
 ) -> dict:
     """Replace a landing table by the records in ``lines``, in one pass over them.
 
     Good and bad rows go to two partitions of a staged version, bad ones with their line and
     reason. It becomes the table if the bad ones are within the budget; ``rejected_records``
-    reads them. Beyond the budget the version stays, uncommitted, for a look at it.
+    reads them. Beyond the budget the version stays, uncommitted, for a look at it. Lines
+    whose column ``tolerated`` is true are rejected as ``no_record`` outside the budget.
     """
     started = time.monotonic()
     seen = Observation("load_lines")
-    known, reason = reasons(schema), F.col("_reason")
+    known, reason = [NO_RECORD, *reasons(schema)], F.col("_reason")
     place = [c for c in POSITION if c in lines.columns]
     rejected = F.when(
         reason.isNotNull(), F.struct(*place, F.col("value").alias("line"), reason.alias("reason"))
     )
-    judged = judge_ndjson(lines, schema).observe(
+    judged = judge_ndjson(lines, schema)
+    if tolerated:
+        judged = judged.withColumn("_reason", F.when(F.col(tolerated), NO_RECORD).otherwise(reason))
+    judged = judged.observe(
         seen,
         F.count_if(reason.isNull()).alias("good"),
-        F.count_if(reason.isNotNull()).alias("bad"),
+        F.count_if(reason != NO_RECORD).alias("bad"),
         *[F.count_if(reason == r).alias(f"r{i}") for i, r in enumerate(known)],
     )
     rows = judged.select(
@@ -244,6 +253,7 @@ def load_lines(
         "status": "success",
         "rows_loaded": counts["good"],
         "bad_records": counts["bad"],
+        "parse_errors": counts["r0"],
         "reasons": {r: counts[f"r{i}"] for i, r in enumerate(known) if counts[f"r{i}"]},
         "elapsed_seconds": time.monotonic() - started,
         "output_table": table_dir,

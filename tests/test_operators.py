@@ -17,6 +17,7 @@ from revlens.operators import (
 )
 from revlens.operators import checks
 from revlens.operators.joins import join_salted
+from revlens.operators.merge import merge_whole
 
 
 def final_plan(spark, df):
@@ -318,3 +319,59 @@ def test_merge_with_a_target_key_in_a_third_of_the_rows(spark):
     source = spark.createDataFrame([("hot", -1), ("new", -2)], "k string, v int")
     rows = [tuple(r) for r in merge_upsert(target, source, "k").collect()]
     assert len(rows) == 901 and rows.count(("hot", -1)) == 300 and ("new", -2) in rows
+
+
+# --- the merge as one full outer join
+
+
+def merge_cases():
+    target = [("a", "one", 1), ("b", "two", 2), (None, "no key", 3), (None, "no key", 3), ("d", None, 4)]
+    source = [("a", None, 9), ("c", "new", 5), ("c", "new", 6), (None, "x", 7), ("d", "d", 8)]
+    return target, source
+
+
+@pytest.mark.parametrize("updates", [None, ["v"], []])
+def test_both_merges_agree(frame, rows, updates):
+    schema = "k string, v string, n int"
+    target, source = merge_cases()
+    got = [f(frame(schema, *target), frame(schema, *source), "k", updates) for f in (merge_upsert, merge_whole)]
+    assert rows(got[0]) == rows(got[1]) and got[1].count() == 8
+
+
+def test_whole_merge_refuses_several_matches(frame):
+    schema = "k string, n int"
+    with pytest.raises(Exception, match="several source rows match k = a"):
+        merge_whole(frame(schema, ("a", 1)), frame(schema, ("a", 2), ("a", 3)), "k").collect()
+
+
+def test_whole_merge_of_a_hot_target_key_and_keyless_rows(spark):
+    target = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("n"),
+    )
+    source = spark.createDataFrame([("hot", -1), ("new", -2), (None, -3)], "k string, n bigint")
+    got = {r["k"]: (r["c"], r["s"]) for r in merge_whole(target, source, "k").groupBy("k").agg(
+        F.count("*").alias("c"), F.sum("n").alias("s")).collect()}
+    assert got["hot"] == (1000, -1000) and got["new"] == (1, -2) and got[None][0] == 1001 and len(got) == 1003
+
+
+def test_whole_merge_reads_and_shuffles_each_side_once(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    for side in ("old", "new"):
+        spark.range(100).select(F.col("id").cast("string").alias("k"), "id").write.parquet(f"{tmp_path}/{side}")
+    merged = merge_whole(*[spark.read.parquet(f"{tmp_path}/{side}") for side in ("old", "new")], "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+    assert merged.count() == 100
+
+
+def test_rank_of_many_doubles_needs_no_single_task(spark, conf):
+    conf(spark__sql__shuffle__partitions="7")
+    df = spark.range(0, 5000, 1, 5).select((F.xxhash64("id") / 1e12).alias("v"), "id").unionByName(
+        spark.createDataFrame([(v, -i) for i, v in enumerate([float("nan"), float("inf"), -0.0, 0.0, None, 0.0, 1e-300], 1)], "v double, id bigint")
+    )
+    ranked = rank_descending(df, "v", "r")
+    expected = {r["id"]: r["r"] for r in df.selectExpr("id", "rank() over (order by v desc) r").collect()}
+    assert {r["id"]: r["r"] for r in ranked.collect()} == expected
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and all("_slice" in line for line in plan.splitlines() if "Window [" in line)

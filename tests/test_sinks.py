@@ -26,7 +26,7 @@ from revlens.sinks import (
     write_table,
 )
 from revlens.sinks import fact as fact_sink
-from revlens.sinks.tables import commit_version, stage_version
+from revlens.sinks.tables import commit_version, rejected_records, stage_version
 from revlens.sources import load_table
 from revlens.streaming import merge_arrivals
 
@@ -366,6 +366,30 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert read_fact(spark, fact).count() == 3
 
 
+def test_a_batch_over_budget_is_set_aside(spark, tmp_path):
+    arrivals, fact, offsets = (str(tmp_path / n) for n in ("in", "fact", "offsets"))
+    today = dt.date(2020, 2, 10)
+
+    def deliver(*lines):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(arrivals)
+
+    for lines in (
+        [json.dumps(review("a", "1", 38)), "bad"],
+        [json.dumps(review("b", "1", 39)), *["bad"] * 11],
+        [json.dumps(review("c", "1", 40))],
+    ):
+        deliver(*lines)
+        audit = merge_arrivals(spark, arrivals, fact, offsets, today)
+    assert {r.reviewer_id for r in read_fact(spark, fact).collect()} == {"a", "c"}
+    runs = {r.job: r for r in audit.collect()}
+    assert [runs[f"batch-{i}"].status for i in range(3)] == ["success", "quarantined", "success"]
+    assert runs["batch-0"].bad_records == 1
+    kept = json.loads(runs["batch-1"].details)["table"]
+    rows = spark.read.parquet(f"{kept}/v00000001")
+    assert rows.where("is_bad = 'true'").count() == 11
+    assert rows.where("is_bad = 'false'").first().reviewerID == "b"
+
+
 def test_jobs_from_gzip_files_to_marts(spark, tmp_path):
     from revlens.__main__ import main
 
@@ -382,8 +406,15 @@ def test_jobs_from_gzip_files_to_marts(spark, tmp_path):
     runs = {r.job: r for r in read_runs(spark, f"{source}/audit_runs").collect()}
     assert (runs["ingest_products"].rows, runs["ingest_products"].bad_records) == (2, 1)
     assert json.loads(runs["ingest_products"].details)["parse_errors"] == 1
-    assert runs["ingest_reviews"].rows == 24
-    main(["build", source, target, "--as-of", "2020-02-10"])
+    assert runs["ingest_reviews"].rows == 24 and runs["ingest_reviews"].input_bytes == os.path.getsize(reviews)
+    assert json.loads(runs["ingest_products"].reasons) == {"no_record": 1, "missing:asin": 1}
+    rejected = rejected_records(spark, f"{source}/metadata").orderBy("row").collect()
+    assert [(r["line"], r["reason"]) for r in rejected] == [('{"asin": null}', "missing:asin"), ("oops", "no_record")]
+    main(["build", source, target, "--as-of", "2020-02-10", "--namespace", "reviews_run"])
+    by_name = spark.sql("SELECT product_id, count(*) AS n FROM reviews_run.silver_fct_review GROUP BY product_id")
+    assert {tuple(r) for r in by_name.collect()} == {("1", 12), ("2", 12)}
+    assert spark.table("reviews_run.gold_brand_repeated_reviewers").first().brand == "B"
+    assert spark.table("reviews_run.silver_dim_products").count() == 2
     assert read_fact(spark, f"{target}/silver_fct_review").count() == 24
     marts = read_table(spark, f"{target}/gold_brand_repeated_reviewers").collect()
     assert [(r.brand, r.total_reviews, r.unique_reviewers) for r in marts] == [("B", 24, 24)]

@@ -18,7 +18,7 @@ from revlens.functions import is_blank, strict_double
 from revlens.operators import checks
 from revlens.operators.dedup import keep_first
 from revlens.operators.joins import join_dimension
-from revlens.operators.merge import merge_upsert
+from revlens.operators.merge import merge_upsert, merge_whole
 from revlens.operators.sampling import sample_keys
 from revlens.plans import gold, silver, suite
 from revlens.plans.bronze import bronze_products, bronze_reviews
@@ -464,7 +464,7 @@ def merge_fct_review(spark, d):
 @query
 def merge_dim_products(spark, d):
     """Today's products merged into a table that knew those with a category under old values."""
-    products = stored(unstamped(s_products(spark, d)), "products")
+    products = unstamped(s_products(spark, d))
     target = products.where(F.col("primary_category").isNotNull()).select(
         *[
             F.concat(F.lit("old "), c).alias(c) if c in ("product_name", "image_url") else F.col(c)
@@ -472,7 +472,7 @@ def merge_dim_products(spark, d):
         ]
     )
     updates = [c for c in silver.PRODUCT_UPDATES if c != "_loaded_at"]
-    return merge_upsert(target, products, "product_id", updates)
+    return merge_whole(target, products, "product_id", updates)
 
 
 @query
@@ -482,8 +482,8 @@ def merge_dim_reviewer(spark, d):
     seconds = F.lit((REVIEWERS_BEFORE - dt.date(1970, 1, 1)).days * 86400)
     early = unstamped(silver.dim_reviewer(reviews.where(F.col("unix_review_time") < seconds)))
     target = early.withColumn("first_review_timestamp", F.col("first_review_timestamp") + 86400)
-    source = stored(unstamped(silver.dim_reviewer(reviews)), "reviewers")
-    return merge_upsert(target, source, "reviewer_id", ["reviewer_name"])
+    source = unstamped(silver.dim_reviewer(reviews))
+    return merge_whole(target, source, "reviewer_id", ["reviewer_name"])
 
 
 @query
