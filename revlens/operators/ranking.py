@@ -18,10 +18,14 @@ def rank_descending(df: DataFrame, value: str, rank: str) -> DataFrame:
 
     Rows with an equal value share their rank, so only the distinct values are ordered, with
     how often each occurs. They are range-partitioned and ranked within their slice; a slice
-    adds what the ones before it hold. Slices are written first, so that a task run again
-    finds the same ones. No window spans all values and no task sees more than its slice.
+    adds what the ones before it hold. The rows and the slices are written first, so that
+    neither is computed twice and a task run again finds the same ones. No window spans all
+    values and no task sees more than its slice.
     """
     spark = df.sparkSession
+    rows = scratch_path(spark, "rank-rows")
+    df.write.parquet(rows)
+    df = spark.read.schema(df.schema).parquet(rows)
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     path = scratch_path(spark, "rank-slices")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,7 +13,7 @@ from revlens.plans import gold, silver
 from revlens.plans.bronze import bronze_products, bronze_reviews
 from revlens.plans.suite import Tables, gate, silver_summary, source_summary
 from revlens.sinks.audit import append_run
-from revlens.sinks.fact import has_fact, merge_fact, read_fact, register_snapshot, write_fact
+from revlens.sinks.fact import FILE_ROWS, has_fact, merge_fact, read_fact, register_snapshot, write_fact
 from revlens.sinks.tables import create_namespace, merge_table, read_table, register_table, write_table
 
 # The versioned tables of a run, beside the fact.
@@ -123,7 +123,7 @@ def build(
         recent = silver.fct_review(reviews_in, incremental_as_of=as_of)
         wh.record("silver_fct_review", merge_fact, recent, fact_path)
     else:
-        wh.record("silver_fct_review", write_fact, silver.fct_review(reviews_in), fact_path)
+        wh.record("silver_fct_review", write_fact, silver.fct_review(reviews_in), fact_path, FILE_ROWS)
     fact = wh.fact()
 
     tables = Tables(items, metadata, dates, products, reviewers, fact)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.checks import (
+    check_relationship,
+    check_unique,
     more_helpful_than_total,
     outside_range,
     outside_values,
@@ -43,6 +45,11 @@ def _missing(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
 
+def _bad_values(column: str, accepted: list) -> Column:
+    bad = F.when(outside_values(column, accepted), F.col(column))
+    return F.count_distinct(bad)
+
+
 def _melt(row: DataFrame, severities: dict[str, str]) -> DataFrame:
     """One row of counts to one row per check."""
     entries = [
@@ -62,80 +69,32 @@ def _column_checks(df: DataFrame, checks: dict[str, tuple[str, Column]]) -> Data
     return _melt(counts, {name: severity for name, (severity, _) in checks.items()})
 
 
-# --- findings: what one scan of a table tells about all its checks -----------------------
-
-# How the findings of one name become a number of failures.
-ROWS, VALUES, REPEATED, ORPHANS = "rows", "values", "repeated", "orphans"
-_MD5 = "^[0-9a-f]{32}$"
-
+def _counted(failures: DataFrame, name: str, severity: str, count: Column) -> DataFrame:
+    return failures.agg(F.coalesce(count, F.lit(0)).alias(name)).transform(
+        lambda row: _melt(row, {name: severity})
+    )
 
-@dataclass
-class Check:
-    """A check of the suite: its name, severity, measure, and the findings it counts."""
 
-    name: str
-    severity: str
-    measure: str
-    finding: str = ""
+# Of this length and form, a key is shuffled as the bytes that its digits name.
+_MD5 = "^[0-9a-f]{32}$"
 
 
-def _key(column: str) -> Column:
-    """A key as bytes, distinct for distinct keys of a column; hex digests take half the space."""
-    text = F.col(column).cast("string")
+def _digest(column: str) -> Column:
+    """A hex digest as bytes, in half the space; distinct for distinct keys of any form."""
     # Longer than a digest, so that no other text is taken for one.
-    other = F.concat(F.lit(b"\0" * 17), text.cast("binary"))
-    return F.when(text.rlike(_MD5), F.unhex(text)).otherwise(other)
+    other = F.concat(F.lit(b"\0" * 17), F.col(column).cast("binary"))
+    return F.when(F.col(column).rlike(_MD5), F.unhex(column)).otherwise(other)
 
 
-def _found(name: str, key: Column | None = None, when: Column | None = None, child: bool = False) -> Column:
-    """A finding of a row (null if there is none): its name, a key, and which side it is on."""
-    finding = F.struct(
-        F.lit(name).alias("finding"),
-        (F.lit(None).cast("binary") if key is None else key).alias("key"),
-        F.lit(0 if child else 1).alias("parent"),
-        F.lit(1 if child else 0).alias("child"),
-    )
-    holds = (key.isNotNull() if key is not None else F.lit(True)) if when is None else when
-    return F.when(holds, finding)
-
+def _unique(df: DataFrame, name: str, column: str, severity: str = ERROR) -> DataFrame:
+    return _counted(check_unique(df, column), name, severity, F.count(F.lit(1)))
 
-def _scan(df: DataFrame, *findings: Column) -> DataFrame:
-    return df.select(F.inline(F.array_compact(F.array(*findings))))
 
-
-def _summary(scans: list[DataFrame], checks: list[Check]) -> DataFrame:
-    """Rows (check_name, severity, n_failed) of all checks.
-
-    The findings of all tables meet in one shuffle: tasks add up those of a key first, so a
-    hot key sends a row per task. Checks without a finding count 0.
-    """
-    found = reduce(DataFrame.unionByName, scans)
-    by_key = found.groupBy("finding", "key").agg(
-        F.sum("parent").alias("parents"), F.sum("child").alias("children")
-    )
-    counts = by_key.groupBy("finding").agg(
-        F.sum("parents").alias(ROWS),
-        F.count(F.lit(1)).alias(VALUES),
-        F.count_if(F.col("parents") > 1).alias(REPEATED),
-        F.sum(F.when(F.col("parents") == 0, F.col("children")).otherwise(0)).alias(ORPHANS),
-    )
-    # As many rows as there are checks.
-    entries = [
-        F.struct(
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.severity).alias("severity"),
-            F.lit(check.measure).alias("measure"),
-            F.lit(check.finding or check.name).alias("finding"),
-        )
-        for check in checks
-    ]
-    listed = found.sparkSession.range(1).select(F.inline(F.array(*entries)))
-    measured = F.lit(None).cast("bigint")
-    for measure in (ROWS, VALUES, REPEATED, ORPHANS):
-        measured = F.when(F.col("measure") == measure, F.col(measure)).otherwise(measured)
-    return listed.join(F.broadcast(counts), "finding", "left").select(
-        "check_name", "severity", F.coalesce(measured, F.lit(0)).cast("bigint").alias("n_failed")
-    )
+def _relationship(
+    child: DataFrame, name: str, column: str, parent: DataFrame
+) -> DataFrame:
+    orphans = check_relationship(child, column, parent, column)
+    return _counted(orphans, name, ERROR, F.sum("n_records"))
 
 
 NOT_NULL = {
@@ -172,73 +131,61 @@ def source_not_null_summary(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _missing_rows(table: str, columns: tuple[str, ...]) -> tuple[list[Column], list[Check]]:
-    names = {f"{table}_{c}_not_null": c for c in columns}
-    findings = [_found(name, when=F.col(c).isNull()) for name, c in names.items()]
-    return findings, [Check(name, ERROR, ROWS) for name in names]
-
-
-def _source_parts(
-    items: DataFrame, metadata: DataFrame, columns: dict[str, tuple[str, ...]]
-) -> tuple[list[DataFrame], list[Check]]:
-    (items_name, items_columns), (metadata_name, metadata_columns) = columns.items()
-    items_found, checks = _missing_rows(items_name, items_columns)
-    metadata_found, more = _missing_rows(metadata_name, metadata_columns)
-    unique = Check(f"{metadata_name}_asin_unique", WARN, REPEATED)
-    scans = [_scan(items, *items_found), _scan(metadata, *metadata_found, _found(unique.name, _key("asin")))]
-    return scans, [*checks, *more, unique]
-
-
-def _silver_parts(t: Tables, as_of: dt.date) -> tuple[list[DataFrame], list[Check]]:
-    found, checks = {}, []
-    for table, columns in NOT_NULL.items():
-        found[table], listed = _missing_rows(table, columns)
-        checks += listed
-
-    def rows(table: str, name: str, severity: str, when: Column) -> None:
-        found[table].append(_found(name, when=F.coalesce(when, F.lit(False))))
-        checks.append(Check(name, severity, ROWS))
-
-    def accepted(table: str, name: str, column: str, values: list) -> None:
-        outside = F.when(outside_values(column, values), _key(column))
-        found[table].append(_found(name, outside))
-        checks.append(Check(name, ERROR, VALUES))
-
-    accepted("dates", "dates_month_accepted", "month", MONTHS)
-    rows("products", "products_price_usd_range", WARN, outside_range(F.col("price_usd"), *PRICE_RANGE))
-    accepted("fact", "fact_rating_accepted", "rating", RATINGS)
-    length = outside_range(F.char_length("review_text"), *TEXT_LENGTH)
-    rows("fact", "fact_review_text_length", WARN, length)
-    rows("fact", "fact_helpful_votes_valid", WARN, more_helpful_than_total())
-    rows("fact", "fact_no_future_reviews", ERROR, F.col("review_date") > F.lit(as_of))
-    # A dimension's keys and the fact's references to them are findings of one name.
-    for table, key in (("dates", "date_id"), ("products", "product_id"), ("reviewers", "reviewer_id")):
-        found[table].append(_found(key, _key(key)))
-        found["fact"].append(_found(key, _key(key), child=True))
-        checks.append(Check(f"{table}_{key}_unique", ERROR, REPEATED, key))
-        checks.append(Check(f"fact_{key}_relationship", ERROR, ORPHANS, key))
-    found["fact"].append(_found("review_sk", _key("review_sk")))
-    checks.append(Check("fact_review_sk_unique", ERROR, REPEATED, "review_sk"))
-    return [_scan(getattr(t, table), *findings) for table, findings in found.items()], checks
-
-
 def source_summary(
     items: DataFrame, metadata: DataFrame, columns: dict[str, tuple[str, ...]] = LANDING
 ) -> DataFrame:
-    """All checks on the landing (or ``STAGING``) tables: one scan of each, one shuffle."""
-    return _summary(*_source_parts(items, metadata, columns))
+    """All checks on the landing (or ``STAGING``) tables."""
+    name = f"{list(columns)[1]}_asin_unique"
+    return source_not_null_summary(items, metadata, columns).unionByName(
+        _unique(metadata, name, "asin", WARN)
+    )
 
 
 def silver_summary(tables: Tables, as_of: dt.date) -> DataFrame:
-    """Checks on the star schema: one scan of each table, one shuffle."""
-    return _summary(*_silver_parts(tables, as_of))
+    """Checks on the star schema."""
+    t = tables
+    price = outside_range(F.col("price_usd"), *PRICE_RANGE)
+    length = outside_range(F.char_length("review_text"), *TEXT_LENGTH)
+    parts = [
+        _column_checks(
+            t.dates,
+            _not_null("dates")
+            | {"dates_month_accepted": (ERROR, _bad_values("month", MONTHS))},
+        ),
+        _column_checks(
+            t.products,
+            _not_null("products") | {"products_price_usd_range": (WARN, F.count_if(price))},
+        ),
+        _column_checks(t.reviewers, _not_null("reviewers")),
+        _column_checks(
+            t.fact,
+            _not_null("fact")
+            | {
+                "fact_rating_accepted": (ERROR, _bad_values("rating", RATINGS)),
+                "fact_review_text_length": (WARN, F.count_if(length)),
+                "fact_helpful_votes_valid": (WARN, F.count_if(more_helpful_than_total())),
+                "fact_no_future_reviews": (
+                    ERROR,
+                    F.count_if(F.col("review_date") > F.lit(as_of)),
+                ),
+            },
+        ),
+        _unique(t.dates, "dates_date_id_unique", "date_id"),
+        _unique(t.products, "products_product_id_unique", "product_id"),
+        _unique(t.reviewers, "reviewers_reviewer_id_unique", "reviewer_id"),
+        _unique(t.fact.select(_digest("review_sk").alias("key")), "fact_review_sk_unique", "key"),
+        _relationship(t.fact, "fact_reviewer_id_relationship", "reviewer_id", t.reviewers),
+        _relationship(t.fact, "fact_product_id_relationship", "product_id", t.products),
+        _relationship(t.fact, "fact_date_id_relationship", "date_id", t.dates),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_summary(tables: Tables, as_of: dt.date) -> DataFrame:
     """Every check with its severity and its number of failures."""
-    sources, source_checks = _source_parts(tables.items, tables.metadata, LANDING)
-    silver, silver_checks = _silver_parts(tables, as_of)
-    return _summary(sources + silver, source_checks + silver_checks)
+    return source_summary(tables.items, tables.metadata).unionByName(
+        silver_summary(tables, as_of)
+    )
 
 
 def gate(summary: DataFrame) -> list[dict]:

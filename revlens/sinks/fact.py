@@ -81,7 +81,9 @@ def product_ranges(narrow: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
     )
 
 
-def _with_part(fact: DataFrame, ranges: DataFrame) -> DataFrame:
+def _with_part(fact: DataFrame, ranges: DataFrame | None) -> DataFrame:
+    if ranges is None:
+        return fact.withColumn(PART, F.lit(0))
     # One row per calendar month of the years 1 to 9999 at most, so a broadcast is bounded.
     part = F.size(F.filter("_cuts", lambda cut: cut < F.col("_place")))
     return (
@@ -127,7 +129,7 @@ def _next_version(spark: SparkSession, path: str) -> int:
     return max(used, default=0) + 1
 
 
-def _write_version(fact: DataFrame, ranges: DataFrame, path: str) -> dict[str, int]:
+def _write_version(fact: DataFrame, ranges: DataFrame | None, path: str) -> dict[str, int]:
     """Write the rows (with their month) into a new version; folder names of months to version."""
     spark = fact.sparkSession
     version = _next_version(spark, path)
@@ -149,12 +151,17 @@ def _schema(fact: DataFrame) -> dict:
     return json.loads(StructType(columns).json())
 
 
-def write_fact(fact: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
-    """Replace the table by these rows; older snapshots stay readable."""
+def write_fact(fact: DataFrame, path: str, file_rows: int | None = None) -> None:
+    """Replace the table by these rows; older snapshots stay readable.
+
+    With ``file_rows`` a month is cut into product ranges of about so many rows. That scans
+    month and product of ``fact`` beforehand: cheap on stored tables, not where the frame
+    behind them is costly to derive.
+    """
     spark = fact.sparkSession
     published = snapshots(spark, path)
     monthly = with_month(fact)
-    ranges = product_ranges(monthly.select(MONTH, "product_id"), file_rows)
+    ranges = file_rows and product_ranges(monthly.select(MONTH, "product_id"), file_rows)
     months = _write_version(monthly, ranges, path)
     number = published[-1] + 1 if published else 1
     _publish(spark, path, number, {"months": months, "schema": _schema(fact)})
@@ -205,6 +212,10 @@ def read_months(
     ]
     if not folders:
         return spark.createDataFrame([], StructType([*schema, StructField(MONTH, DateType())]))
+    versions = set(manifest["months"].values())
+    if wanted is None and len(versions) == 1:
+        # All that one version wrote: one folder to list.
+        folders = [f"{path}/data/{VERSION}={versions.pop()}"]
     levels = [(VERSION, IntegerType()), (MONTH, DateType()), (PART, IntegerType())]
     stored = StructType([*schema, *[StructField(name, kind) for name, kind in levels]])
     fact = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*folders)

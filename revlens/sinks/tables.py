@@ -9,6 +9,8 @@ unmarked folder that nobody reads.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,10 +96,23 @@ def stage_version(df: DataFrame, table_dir: str, partition_by: tuple[str, ...] =
     taken = _versions(df.sparkSession, table_dir, "v*")
     number = int(taken[-1].rsplit("/v", 1)[1]) + 1 if taken else 1
     path = f"{table_dir}/v{number:08d}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    with unsorted_writers(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(path)
     return path
 
 
+@contextmanager
+def unsorted_writers(spark: SparkSession, files: int = 4) -> Iterator[None]:
+    """Within, a task writes a few partitions side by side instead of sorting its rows by them."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def commit_version(
     spark: SparkSession, table_dir: str, path: str, split: DataFrame | None = None
 ) -> None:

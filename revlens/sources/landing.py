@@ -25,7 +25,14 @@ from pyspark.sql.types import (
 
 from revlens.session import scratch_path
 from revlens.sinks.tables import IS_BAD, REJECTED, commit_version, stage_version
-from revlens.sources.lines import POSITION, input_bytes, read_lines, read_positioned, require_utf8
+from revlens.sources.lines import (
+    POSITION,
+    input_bytes,
+    is_compressed,
+    read_lines,
+    read_positioned,
+    require_utf8,
+)
 from revlens.sources.records import END_MARKER
 
 MAX_BAD_RECORDS = 10
@@ -277,14 +284,15 @@ def load_table(
     """Replace a landing table by a newline-delimited JSON path, plain or gzip.
 
     Spark reads compressed lines of any size, so they need no plain copy first; ``partitions``
-    spreads the lines of a few large gzip files over the cores. Without a schema the lines
-    are staged on their one reading, and both inference and load use the staged copy.
+    spreads the lines of a few large gzip files over the cores. Without a schema the lines of
+    compressed files are staged on their one reading, and both inference and load use the
+    staged copy; plain files are read by both, which is cheaper than a copy.
     """
     lines = read_positioned(spark, path, partitions)
-    if schema is None:
+    if schema is None and is_compressed(spark, path):
         staged = scratch_path(spark, "lines")
         lines.write.parquet(staged)
         lines = spark.read.schema(lines.schema).parquet(staged)
-        schema = infer_schema(lines)
+    schema = schema or infer_schema(lines.select("value"))
     result = load_lines(lines, table_dir, schema, max_bad)
     return result | {"input_bytes": input_bytes(spark, path)}

@@ -46,6 +46,17 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(target) or [])
 
 
+def is_compressed(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern, or a file in the folder it names, is to be decompressed."""
+    jvm = spark._jvm.org.apache.hadoop
+    target = jvm.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    codecs = jvm.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(target) or []
+    files = [file for one in found for file in fs.listStatus(one.getPath())]
+    return any(codecs.getCodec(file.getPath()) is not None for file in files)
+
+
 def invalid_utf8(lines: DataFrame) -> DataFrame:
     """Lines whose bytes are not valid UTF-8."""
     return lines.where(~F.is_valid_utf8("value"))

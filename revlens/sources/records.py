@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from revlens.sinks.tables import make_folder, path_exists
+from revlens.sinks.tables import make_folder, path_exists, unsorted_writers
 from revlens.sources.lines import POSITION, input_bytes, normalize_lines, read_positioned, require_utf8
 
 END_MARKER = "~revlens-end-of-record~"
@@ -176,7 +176,8 @@ def clean_file(
     )
     quarantined = F.to_json(F.struct(*POSITION, F.col("value").alias("line")))
     split = records.select(F.coalesce("record", quarantined).alias("line"), (~bad).alias(KEPT))
-    split.write.mode("overwrite").partitionBy(KEPT).text(target)
+    with unsorted_writers(spark):
+        split.write.mode("overwrite").partitionBy(KEPT).text(target)
     counts = seen.get
     output = f"{target}/{KEPT}=true"
     make_folder(spark, output)
