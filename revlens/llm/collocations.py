@@ -23,7 +23,7 @@ LONGEST, LEAST, TOP, SHARE = 3, 10, 2_000, 50
 SCALE = 1_000_000
 
 # Bytes of text that are counted at a time, and arcs a task gathers before it ships them.
-SEGMENT, ARCS = 1 << 21, 3_000_000
+SEGMENT, ARCS = 1 << 21, 1_200_000
 # A prefix range is bounded by phrases of a sample: this many per task, this many in all.
 # Bounds only deal the work; no result depends on them.
 PER_TASK, SAMPLE = 64, 20_000
