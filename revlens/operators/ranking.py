@@ -33,12 +33,15 @@ def rank_descending(df: DataFrame, value: str, rank: str) -> DataFrame:
     sliced.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
     slices = spark.read.parquet(path)
     sums = slices.groupBy("_slice").agg(F.sum("_n").alias("_sum"))
-    # One row with an entry per slice.
+    # One row with an entry per slice, which says where each begins.
     every = sums.agg(F.collect_list(F.struct("_slice", "_sum")).alias("_all"))
-    earlier = F.filter("_all", lambda s: s["_slice"] < F.col("_slice"))
-    starts = sums.join(F.broadcast(every)).select(
-        "_slice", F.aggregate(earlier, F.lit(0).cast("bigint"), lambda total, s: total + s["_sum"]).alias("_start")
-    )
+
+    def start(own):
+        earlier = F.filter("_all", lambda s: s["_slice"] < own["_slice"])
+        total = F.aggregate(earlier, F.lit(0).cast("bigint"), lambda total, s: total + s["_sum"])
+        return F.struct(own["_slice"].alias("_slice"), total.alias("_start"))
+
+    starts = every.select(F.inline(F.transform("_all", start)))
     before = Window.partitionBy("_slice").orderBy(F.col(value).desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
