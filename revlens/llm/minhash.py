@@ -9,9 +9,11 @@ of pairs at similarity 0.8 about one in 1e8 has no such chunk. Pairs that meet g
 differ in at most 32 symbols (at similarity 0.8 they differ in 14 on average, and in more
 than 32 with a probability below 1e-6) and are confirmed on the whole shingle sets.
 
-Groups of copies are never expanded into pairs. Equal sets are one node. In each bucket all
-members are first compared with three leaders; after the confirmed links are joined into
-components, a member outside its leader's component is compared, by whole sets, with all of
+Groups of copies are never expanded into pairs. Equal sets are one node. Each node is first
+compared with one other, the bucket leader it shares the most buckets with. After the confirmed
+links are joined into components, members of a bucket that still holds several are compared
+with three leaders of it, unless they are in one component already; after these links, a member
+outside its leader's component is compared, by whole sets, with all of
 that component, and reports one link at most; what is then still outside is compared with
 its like by signatures. That finds every link that could still join two components. Large
 components and buckets are cut into blocks, and a pair is reported by the first bucket it
@@ -314,6 +316,29 @@ def _block_of(node: str, count: str):
     return F.pmod(F.xxhash64(node), F.col(count)).cast("int")
 
 
+def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with three leaders of the bucket.
+
+    Rows (key, size, node, root, leaders); leaders are structs (node, root), the first one is
+    the bucket's smallest node.
+    """
+    rows = buckets.join(roots, "node", "left").select("key", "size", "node", F.coalesce("root", "node").alias("root"))
+    member, drawn = F.struct("node", "root"), F.struct(F.xxhash64("node").alias("h"), "node", "root")
+    leaders = (
+        rows.groupBy("key")
+        .agg(
+            F.min(member).alias("l"),
+            F.max(member).alias("m"),
+            F.max(drawn).alias("d"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
+        .filter("low <> high")
+        .select("key", F.array_distinct(F.array("l", "m", F.struct("d.node", "d.root"))).alias("leaders"))
+    )
+    return rows.join(leaders, "key")
+
+
 def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of ``outside`` (node, main) to members of the component ``main``."""
     asked = outside.select("node", F.col("main").alias("root")).distinct()
@@ -383,29 +408,31 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILA
         "nodes",
     )
     entries = map_arrow(nodes.select("node", "sig"), _index, "key long, node long")
-    shared = entries.groupBy("key").agg(
-        F.count("*").alias("size"),
-        F.min("node").alias("leader"),
-        F.max("node").alias("second"),
-        F.max(F.xxhash64("node")).alias("third"),
-    )
+    shared = entries.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("leader"))
     buckets = stage(entries.join(shared.filter("size > 1"), "key"), "buckets")
-    third = buckets.filter(F.xxhash64("node") == F.col("third")).select("key", F.col("node").alias("c"))
-    led = buckets.join(third, "key").select(
-        "node", F.explode(F.array_distinct(F.array("leader", "second", "c"))).alias("with")
+    sets = _shingle_sets(buckets.select("node").distinct(), nodes, texts, width)
+    # One pair a node: with the leader it shares the most buckets with.
+    nearest = (
+        buckets.filter("node <> leader")
+        .groupBy("node")
+        .agg(F.mode("leader", True).alias("a"))
+        .select("a", F.col("node").alias("b"))
     )
-    led = led.filter("node <> with").select(
-        F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")
-    ).distinct()
+    near_first = stage(_near(nearest, nodes, percent), "near")
+    links = stage(_confirmed(near_first, sets, percent), "links")
+    roots = stage(smallest_reachable(links), "roots")
+    mixed = stage(_mixed(buckets, roots), "mixed")
+    led = mixed.select("node", "root", F.explode("leaders").alias("to")).filter("root <> to.root")
+    led = led.select(F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")).distinct()
     near_leader = stage(_near(led, nodes, percent), "near")
-    crowds = buckets.filter("size > 2")
-    wanted = _ends(near_leader).unionByName(crowds.select("node")).distinct()
-    sets = _shingle_sets(wanted, nodes, texts, width)
-    links = stage(_confirmed(near_leader, sets, percent), "links")
+    links = links.unionByName(stage(_confirmed(near_leader, sets, percent), "links"))
     roots = stage(smallest_reachable(links), "roots")
+    compared = near_first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(near_leader)
     # A bucket that is one component needs nothing more.
     labelled = stage(
-        crowds.join(roots, "node", "left")
+        mixed.filter("size > 2")
+        .select("key", "node", F.col("leaders")[0]["node"].alias("leader"))
+        .join(roots, "node", "left")
         .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left")
         .select("key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("main", "leader").alias("main")),
         "labelled",
@@ -413,7 +440,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILA
     more = stage(_links_to_components(labelled.filter("root <> main"), roots, sets, percent), "links")
     links = links.unionByName(more)
     roots = stage(smallest_reachable(links), "roots")
-    pairs = _pairs_outside(labelled, roots, nodes).join(near_leader, ["a", "b"], "left_anti")
+    pairs = _pairs_outside(labelled, roots, nodes).join(compared, ["a", "b"], "left_anti")
     more = stage(_confirmed(stage(pairs, "near"), sets, percent), "links")
     if not more.isEmpty():
         roots = stage(smallest_reachable(links.unionByName(more)), "roots")
@@ -453,11 +480,12 @@ def keep_one_each(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARI
         .agg(F.min("textkey").alias("_key"))
         .select(F.col("doc_id").alias("_id"), "_key")
     )
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    chosen = keyed.join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    keyed = rows.select("row", F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("textkey"))
+    chosen = keyed.join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("textkey") == F.col("_key")))
+    return chosen.dropDuplicates(["_id", "_key"]).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns]
     )
-    return chosen.dropDuplicates(["_id", "_key"]).select(*docs.columns)
 
 
 ORACLE = r"""
