@@ -164,20 +164,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as the mix takes it."""
-    names = docs.columns
     mixed = mix_sources(docs).filter("passes > 0").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "passes"
     )
-    sized = docs.withColumn("_words", count_words(F.col("text")))
+    # The caller's columns travel in one struct, so none can clash.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), count_words(F.col("text")).alias("words")
+    )
     return (
-        sized.join(
+        rows.join(
             mixed,
-            F.col("doc_id").eqNullSafe(F.col("_id"))
-            & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("_words") == F.col("_size")),
+            F.col("row.doc_id").eqNullSafe(F.col("_id"))
+            & F.col("row.source").eqNullSafe(F.col("_source"))
+            & (F.col("words") == F.col("_size")),
         )
         .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes"))))
-        .select(*names)
+        .select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
     )
 
 
