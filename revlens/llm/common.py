@@ -10,8 +10,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from revlens.session import scratch_path
 
@@ -79,25 +81,6 @@ def running_total(
     )
 
 
-def most_frequent(counts: DataFrame, n: str, key: list[str], bound: int) -> DataFrame:
-    """The rows of ``counts`` with the largest ``n``, at most about ``bound`` of them.
-
-    Takes whole classes of equal ``n`` from the top, as many as fit, so that no task sees or
-    sorts more than its share: only the number of rows per ``n`` is summed up. If the first
-    class alone is larger, a share of it by the hash of ``key`` is taken. ``n`` is positive
-    and ``counts`` is a written table, as it is read twice.
-    """
-    classes = counts.groupBy(n).agg(F.count("*").alias("_rows")).withColumn("_down", -F.col(n))
-    sums = running_total(classes, "_rows", ["_down"], "_total").agg(
-        F.min(F.when(F.col("_total") <= bound, F.col(n))).alias("least"), F.max(n).alias("top"), F.min("_total").alias("size")
-    )
-    least, top, size = sums.first()
-    if top is None or least is not None:
-        return counts.filter(F.col(n) >= (least or 0))
-    bits = 2**30
-    return counts.filter((F.col(n) == top) & (F.pmod(F.xxhash64(*key), F.lit(bits)) < int(bits * bound / size)))
-
-
 def smallest_reachable(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): rows (node, root).
 
@@ -152,6 +135,27 @@ def rows_of(batches: Iterator[pa.RecordBatch], limit: int = 2_000) -> Iterator[p
             yield batch.slice(start, limit)
 
 
+def slices_of(
+    batches: Iterator[pa.RecordBatch],
+    texts: Callable[[pa.RecordBatch], pa.Array],
+    rows: int = 2_000,
+    size: int = 4_000_000,
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most ``rows`` rows and ``size`` bytes of ``texts(batch)``.
+
+    A row with a longer text is a slice of its own.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(texts(batch)), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        start = 0
+        while start < batch.num_rows:
+            fitting = int(np.searchsorted(ends, ends[start] + size, "right")) - 1
+            stop = min(max(fitting, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def spread(values: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values (fixed multipliers of a public finalizer)."""
     values = values ^ (values >> np.uint64(33))
@@ -169,7 +173,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def map_arrow(
-    df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` under one name, for the operators that work on Arrow batches."""
     return df.mapInArrow(step, schema)

@@ -23,19 +23,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlens.llm.common import fold, map_arrow, rows_of, running_total, stage, table
+from revlens.llm.common import fold, map_arrow, running_total, slices_of, stage, table
 
 ORDER = 3
 # Runs of four bytes kept in a table of languages, and byte pairs that can start or end one.
 NODES = 500_000
-PAIRS = 4096
+PAIRS = 2048
 # Languages in a table; there are as many tables as it takes.
 GROUP = 16
 # Classes by hash in which runs of equal frequency are taken.
 CLASSES = 4096
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
+# A text whose best language needs as many bits a byte as plain bytes is in no learned one.
+PLAIN_BITS = 8.0
 # Bytes put before each text, so that its first bytes have a context.
 START = b"\n" * ORDER
 
@@ -53,7 +56,7 @@ def codes_of(text: str) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) to (lang, code, n), added up over the task."""
     sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in rows_of(batches):
+    for batch in slices_of(batches, lambda b: b.column(1)):
         parts: dict[str, list[np.ndarray]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             parts.setdefault(lang, []).append(codes_of(text))
@@ -148,18 +151,17 @@ class Trees:
         self.pair = np.zeros(65536, np.uint32)
         self.pair[pairs.astype(np.int64)] = np.arange(1, len(pairs) + 1, dtype=np.uint32)
         left, right = self.pair[(names >> np.uint64(16)).astype(np.int64)], self.pair[(names & np.uint64(0xFFFF)).astype(np.int64)]
-        self.run = np.zeros(PAIRS * PAIRS, np.int32)
+        self.run = np.full(PAIRS * PAIRS, -1, np.int32)
         whole = (left > 0) & (right > 0)
-        self.run[left[whole].astype(np.int64) * PAIRS + right[whole]] = np.flatnonzero(whole) + 1
-        self.rows = np.vstack([np.zeros((1, len(self.langs)), np.float32), self.lengths[ORDER]])
+        self.run[left[whole].astype(np.int64) * PAIRS + right[whole]] = np.flatnonzero(whole)
 
     def code_lengths(self, codes: np.ndarray) -> np.ndarray:
         """Code length in bits of each run's last byte, by language."""
         if self.run is None:
             self._index()
         at = self.run[self.pair[codes >> np.uint32(16)] * np.uint32(PAIRS) + self.pair[codes & np.uint32(0xFFFF)]]
-        lengths = self.rows[at]
-        missing = np.flatnonzero(at == 0)
+        lengths = self.lengths[ORDER][at]  # what the direct tables lack has place -1 and is set below
+        missing = np.flatnonzero(at < 0)
         if len(missing):
             lengths[missing] = self._by_search(codes[missing].astype(np.uint64))
         return lengths
@@ -209,12 +211,7 @@ class Forest:
 
     def text_lengths(self, texts: list[str]) -> np.ndarray:
         """Code length of each whole text by language."""
-        parts = []
-        for tree in self.trees:
-            parts.append(tree.text_lengths(texts))
-            if len(self.trees) > 2:
-                tree.run = None  # direct tables of one group at a time
-        return np.hstack(parts)
+        return np.hstack([tree.text_lengths(texts) for tree in self.trees])
 
 
 def shares(sizes: list[int], bound: int) -> int:
@@ -248,16 +245,14 @@ def _kept(counts: DataFrame, share: int) -> DataFrame:
 
 
 def _by_language(rows: DataFrame, langs: list[str], key: str, values: list[str]) -> list[tuple[np.ndarray, ...]]:
-    """Per language the sorted keys and their values."""
-    frame = rows.select("lang", key, *values).toPandas()
-    number = frame["lang"].map({lang: i for i, lang in enumerate(langs)}).to_numpy()
-    keys = frame[key].to_numpy().astype(np.uint64)
-    columns = [frame[v].to_numpy().astype(np.float64) for v in values]
+    """Per language the sorted keys and their values; languages reach the driver as numbers."""
+    numbers = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
+    table_ = rows.select(numbers[F.col("lang")].cast("short").alias("lang"), key, *values).toArrow()
+    number, keys = table_["lang"].to_numpy(), table_[key].to_numpy().astype(np.uint64)
     order = np.lexsort((keys, number))
     cuts = np.searchsorted(number[order], np.arange(len(langs) + 1))
-    return [
-        tuple(c[order[start:end]] for c in (keys, *columns)) for start, end in zip(cuts[:-1], cuts[1:], strict=True)
-    ]
+    columns = [keys, *(table_[v].to_numpy().astype(np.float64) for v in values)]
+    return [tuple(c[order[start:end]] for c in columns) for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _trees(counts: DataFrame, langs: list[str], share: int) -> Trees:
@@ -303,44 +298,39 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def predict(docs: DataFrame, trees: Forest | None, columns: list[str]) -> DataFrame:
-    """``docs``' ``columns`` with _lang and _share (of these names the new ones).
+def predict(docs: DataFrame, trees: Forest | None) -> DataFrame:
+    """Rows (row, lang, share, bits): each row of ``docs`` whole, and what is told of its text.
 
-    _share is the predicted language's share of exp2(-bits per 16 bytes) over all languages,
-    between 0 and 1. A null text, one without a letter, or a lack of languages gives ``und``
-    and 0. Ties go to the language first by code point.
+    share is the predicted language's share of exp2(-bits per 16 characters) over all
+    languages, between 0 and 1; bits is its code length per byte. A null text, one without a
+    letter, or a lack of languages gives ``und``, 0 and null. Ties go to the language first
+    by code point. Columns of ``docs`` may have any name or type; repeated rows stay.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(trees)
-    asked = [c for c in columns if c != "text"]
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in rows_of(batches):
-            texts = batch.column(len(asked)).to_pylist()
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        for batch in slices_of(batches, lambda b: b.column(0).field("text")):
+            texts = batch.column(0).field("text").to_pylist()
+            langs, scores, rates = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
             some = [i for i, t in enumerate(texts) if t and has_letter(t)] if model else []
             if some:
                 bits = model.text_lengths([texts[i] for i in some])
-                best = bits.argmin(axis=1)
-                sizes = np.array([max(1, len(texts[i])) for i in some])
-                gap = (bits - bits.min(axis=1, keepdims=True)) / sizes[:, None] * 16
+                best, least = bits.argmin(axis=1), bits.min(axis=1)
+                sizes = np.array([len(texts[i]) for i in some])
+                gap = (bits - least[:, None]) / sizes[:, None] * 16
                 share = 1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1)
-                for i, b, s in zip(some, best.tolist(), share.tolist(), strict=True):
+                for i, b, s, n in zip(some, best.tolist(), share.tolist(), least.tolist(), strict=True):
                     langs[i], scores[i] = model.langs[b], s
+                    rates[i] = n / len(texts[i].encode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(i) for i in range(len(asked) + 1) if i < len(asked) or "text" in columns],
-                    pa.array(langs, pa.string()),
-                    pa.array(scores, pa.float64()),
-                ],
-                [*asked, *(["text"] if "text" in columns else []), "_lang", "_share"],
+                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
+                ["row", "lang", "share", "bits"],
             )
 
-    types = dict(docs.dtypes)
-    kept = [*asked, *(["text"] if "text" in columns else [])]
-    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", _lang string, _share double"
-    return map_arrow(docs.select(*asked, "text"), guess, schema).select(*columns, "_lang", "_share")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    told = [T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType()), T.StructField("bits", T.DoubleType())]
+    return map_arrow(rows, guess, T.StructType([*rows.schema.fields, *told]))
 
 
 def learned(docs: DataFrame) -> Forest | None:
@@ -357,8 +347,10 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     empty table gives no rows.
     """
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    told = predict(docs, learned(docs), ["doc_id"])
-    return told.select("doc_id", held.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_share").alias("score"))
+    told = predict(docs.select("doc_id", "text"), learned(docs))
+    return told.select(F.col("row.doc_id").alias("doc_id"), "lang", "share").select(
+        "doc_id", held.alias("held_out"), F.col("lang").alias("lang_pred"), F.col("share").alias("score")
+    )
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,6 +358,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language is not identified (``und``)."""
-    return predict(docs, learned(docs), docs.columns).filter(F.col("_lang") != UNKNOWN).select(*docs.columns)
+def keep_identified(docs: DataFrame, most_bits: float = PLAIN_BITS) -> DataFrame:
+    """``docs`` without the rows whose language is not identified.
+
+    These are rows with a null text, one without a letter, or one that its best language
+    codes in ``most_bits`` a byte or more, that is no shorter than plain bytes. Where no row
+    has a language to learn from, the model can reject nothing and all rows stay. Repeated
+    rows fare alike; an empty table gives no rows; other columns pass through, whatever their
+    names.
+    """
+    trees = learned(docs)
+    if trees is None:
+        return docs
+    told = predict(docs, trees).filter((F.col("lang") != UNKNOWN) & (F.col("bits") < most_bits))
+    return told.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

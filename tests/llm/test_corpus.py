@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,6 +308,25 @@ def test_language_identification(docs):
     assert langid.identify_languages(docs(*rows).limit(0)).count() == 0
 
 
+def test_rejected_by_the_model_and_nothing_without_one(docs):
+    rows = [(i, "the and of to in that this with from they have which " * 3, "en", None) for i in range(30)]
+    odd = [(100, "☃ ⚙ ⛵ ж ⚙ ☃ ⛵", None, None), (101, "12 34", None, None), (102, None, None, None), (103, "they have", None, None)]
+    kept = [r["doc_id"] for r in langid.keep_identified(docs(*rows, *odd)).collect()]
+    assert sorted(kept) == [*range(30), 103]
+    unknown = docs(*[(i, f"text number {i}", None, None) for i in range(20)], (20, None, None, None))
+    assert langid.keep_identified(unknown).count() == 21
+    assert langid.keep_identified(docs(*rows).limit(0)).count() == 0
+
+
+def test_slices_are_bounded_by_rows_and_bytes():
+    texts = ["ab", None, "x" * 50, "", "cd", "é", "y" * 9, "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for size, rows in [(10, 100), (10, 2), (1, 1), (1000, 3)]:
+        slices = [b.column(0).to_pylist() for b in common.slices_of([batch], lambda b: b.column(0), rows, size)]
+        assert [t for part in slices for t in part] == texts
+        assert all(len(part) <= rows and (len(part) == 1 or sum(len((t or "").encode()) for t in part) <= size) for part in slices)
+
+
 def test_language_code_lengths_are_those_of_a_plain_model():
     trees = langid.Trees(["a"], [(0, *map(np.asarray, _codes("abracadabra abracadabra")))])
     text = "cadabra zab"
@@ -378,13 +398,17 @@ def test_lengths_answer_every_limit(docs):
 
 def test_columns_with_clashing_names_are_ignored(docs):
     clashing = docs((1, "one two three"), (2, "one two three")).select(
-        "*", *[F.lit(1).alias(c) for c in ("node", "size", "words", "rid", "_slice", "ids", "score", "shard", "textkey")]
+        "*", *[F.lit(1).alias(c) for c in ("node", "size", "words", "rid", "_slice", "ids", "score", "shard", "textkey")],
+        *[F.lit("mine").alias(c) for c in ("_text", "_key", "_lang", "row", "bits", "share", "_id", "_words")],
+        F.struct(F.lit(1).alias("odd name")).alias("a.b"),
     )
-    assert mixing.mix_documents(clashing).columns == clashing.columns
-    assert minhash.keep_one_each(clashing).columns == clashing.columns
-    assert langid.keep_identified(clashing).columns == clashing.columns
-    assert secrets.mask_secrets(clashing).columns == clashing.columns
-    assert bpe.encode_documents(clashing).count() == 2
+    for kept in (mixing.mix_documents(clashing), minhash.keep_one_each(clashing), langid.keep_identified(clashing)):
+        assert kept.columns == clashing.columns
+        row = kept.first()
+        assert all(row[c] == "mine" for c in ("_text", "_key", "_lang", "row", "bits", "share", "_id", "_words")) and row["a.b"][0] == 1
+    plain = clashing.drop("a.b")
+    assert secrets.mask_secrets(plain).columns == plain.columns
+    assert bpe.encode_documents(plain).count() == 2
 
 
 def test_pipeline_against_plain_stages(spark, docs, folder):
@@ -401,12 +425,3 @@ def test_pipeline_against_plain_stages(spark, docs, folder):
         text = code.decode(bytes(r["ids"]))
         assert "q9" not in text and r["n_tokens"] == len(r["ids"]) // 4
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
-
-
-def test_most_frequent_takes_whole_classes_from_the_top(spark):
-    counts = spark.createDataFrame([(i, 1 + i // 10) for i in range(100)], "code long, n long")
-    for bound, least in [(1000, 1), (100, 1), (99, 2), (35, 8), (10, 10)]:
-        kept = common.most_frequent(counts, "n", ["code"], bound).collect()
-        assert sorted(r["code"] for r in kept) == [i for i in range(100) if 1 + i // 10 >= least]
-    assert common.most_frequent(counts, "n", ["code"], 5).count() <= 10
-    assert common.most_frequent(counts.limit(0), "n", ["code"], 5).count() == 0
