@@ -103,37 +103,31 @@ CTES: dict[str, str] = {
             dayofweek(date_day) + 1 AS day_of_week,
             dayofweek(date_day) + 1 IN (1, 7) AS is_weekend
         FROM spine""",
+    # A product's row with the fewest gaps, in the order of importance of its columns.
     "deduped": """
-        SELECT * EXCLUDE (rnk) FROM (
-            SELECT product_id, product_name, brand, price_usd, product_description, image_url,
-                categories_json,
-                row_number() OVER (PARTITION BY product_id ORDER BY
-                    CASE WHEN categories_json IS NOT NULL THEN 0 ELSE 1 END,
-                    CASE WHEN product_description IS NOT NULL THEN 0 ELSE 1 END,
-                    CASE WHEN brand IS NOT NULL THEN 0 ELSE 1 END,
-                    CASE WHEN price_usd IS NOT NULL THEN 0 ELSE 1 END,
-                    CASE WHEN image_url IS NOT NULL THEN 0 ELSE 1 END,
-                    product_name NULLS LAST) AS rnk
-            FROM bronze_products WHERE price_usd >= 0 OR price_usd IS NULL)
-        WHERE rnk = 1""",
+        SELECT DISTINCT ON (product_id) product_id, product_name, brand, price_usd,
+            product_description, image_url, categories_json
+        FROM bronze_products WHERE coalesce(price_usd, 0) >= 0
+        ORDER BY product_id, categories_json IS NULL, product_description IS NULL, brand IS NULL,
+            price_usd IS NULL, image_url IS NULL, product_name NULLS LAST""",
     "products": """
         SELECT product_id, product_name, product_description, brand, price_usd, image_url,
             json_extract_string(categories_json, '$[0][0]') AS primary_category,
             categories_json AS detailed_categorization
         FROM deduped""",
-    "names": """
-        SELECT reviewer_id, reviewer_name FROM (
-            SELECT reviewer_id, reviewer_name, row_number() OVER (PARTITION BY reviewer_id
-                ORDER BY CASE WHEN reviewer_name IS NOT NULL THEN 0 ELSE 1 END,
-                    unix_review_time DESC NULLS LAST, reviewer_name) AS rk
-            FROM bronze_reviews)
-        WHERE rk = 1""",
+    # All that is kept of a reviewer in one aggregate; the name is the last one given.
+    "people": """
+        SELECT reviewer_id, min(unix_review_time) AS first_review_timestamp,
+            arg_min(reviewer_name, {'age': -coalesce(unix_review_time, -9e18), 'name': reviewer_name})
+                FILTER (reviewer_name IS NOT NULL) AS reviewer_name
+        FROM bronze_reviews GROUP BY ALL""",
+    "names": "SELECT reviewer_id, reviewer_name FROM people",
     "first_times": """
         SELECT reviewer_id, min(unix_review_time) AS first_review_timestamp
         FROM bronze_reviews GROUP BY reviewer_id""",
     "reviewers": """
-        SELECT r.reviewer_id, n.reviewer_name, r.first_review_timestamp
-        FROM first_times r JOIN names n ON r.reviewer_id = n.reviewer_id""",
+        SELECT reviewer_id, reviewer_name, first_review_timestamp FROM people
+        WHERE reviewer_id IS NOT NULL""",
     "fact": """
         SELECT md5(reviewer_id || '-' || product_id || '-' || CAST(unix_review_time AS VARCHAR))
                 AS review_sk,
@@ -155,45 +149,39 @@ CTES: dict[str, str] = {
                 review_text NULLS LAST, review_timestamp) AS n
             FROM fact)
         WHERE n = 1""",
+    # Two levels: reviews of each reviewer per brand, then of the brand.
+    "brand_fans": """
+        SELECT brand, reviewer_id, count(*) AS n FROM products JOIN fact USING (product_id)
+        WHERE trim(brand) <> '' GROUP BY ALL""",
     "brand_counts": """
-        SELECT p.brand, count(f.reviewer_id) AS total_reviews,
-            count(DISTINCT f.reviewer_id) AS unique_reviewers,
-            round(count(f.reviewer_id) * 1.0 / count(DISTINCT f.reviewer_id), 2)
-                AS avg_reviews_per_reviewer
-        FROM fact f JOIN products p ON f.product_id = p.product_id
-        WHERE p.brand IS NOT NULL AND trim(p.brand) <> ''
-        GROUP BY p.brand""",
+        SELECT brand, CAST(sum(n) AS BIGINT) AS total_reviews, count(*) AS unique_reviewers,
+            round(avg(n), 2) AS avg_reviews_per_reviewer
+        FROM brand_fans GROUP BY ALL""",
+    # Product ids are unique, so those with a review are only counted.
     "category_counts": """
-        SELECT p.primary_category, count(DISTINCT p.product_id) AS product_count
-        FROM fact f JOIN products p ON p.product_id = f.product_id
-        WHERE p.primary_category IS NOT NULL GROUP BY p.primary_category""",
+        SELECT primary_category, count(*) AS product_count
+        FROM products SEMI JOIN fact USING (product_id)
+        GROUP BY ALL HAVING primary_category IS NOT NULL""",
     "top_five": """
         SELECT * FROM category_counts ORDER BY product_count DESC, primary_category LIMIT 5""",
     "user_counts": """
         SELECT reviewer_id, count(review_sk) AS review_count FROM fact GROUP BY reviewer_id""",
+    # The least number of reviews of each label.
+    "steps": """
+        SELECT * FROM (VALUES (1, '1 review', 1), (2, '2-5 reviews', 2), (6, '6-10 reviews', 3),
+            (11, '11-20 reviews', 4), (21, '21-50 reviews', 5), (51, '51-100 reviews', 6),
+            (101, '101-500 reviews', 7), (501, '500+ reviews', 8)) AS v(least_count, label, place)""",
     "buckets": """
-        SELECT reviewer_id, review_count,
-            CASE WHEN review_count = 1 THEN '1 review'
-                WHEN review_count BETWEEN 2 AND 5 THEN '2-5 reviews'
-                WHEN review_count BETWEEN 6 AND 10 THEN '6-10 reviews'
-                WHEN review_count BETWEEN 11 AND 20 THEN '11-20 reviews'
-                WHEN review_count BETWEEN 21 AND 50 THEN '21-50 reviews'
-                WHEN review_count BETWEEN 51 AND 100 THEN '51-100 reviews'
-                WHEN review_count BETWEEN 101 AND 500 THEN '101-500 reviews'
-                ELSE '500+ reviews' END AS review_bucket,
-            CAST(CASE WHEN review_count = 1 THEN 1
-                WHEN review_count BETWEEN 2 AND 5 THEN 2
-                WHEN review_count BETWEEN 6 AND 10 THEN 3
-                WHEN review_count BETWEEN 11 AND 20 THEN 4
-                WHEN review_count BETWEEN 21 AND 50 THEN 5
-                WHEN review_count BETWEEN 51 AND 100 THEN 6
-                WHEN review_count BETWEEN 101 AND 500 THEN 7
-                ELSE 8 END AS BIGINT) AS bucket_order
-        FROM user_counts""",
+        SELECT reviewer_id, review_count, label AS review_bucket, CAST(place AS BIGINT) AS bucket_order
+        FROM user_counts ASOF JOIN steps ON review_count >= least_count""",
+    # Sums of each day, from which longer spans are added up.
+    "daily": """
+        SELECT date_id, count(*) AS n, sum(helpful_votes) AS votes, count(helpful_votes) AS voted
+        FROM fact GROUP BY ALL""",
     "monthly": """
-        SELECT d.year, d.month, count(f.review_sk) AS monthly_review_count,
-            avg(f.helpful_votes) AS monthly_avg_helpful_votes
-        FROM fact f JOIN dates d ON d.date_id = f.date_id GROUP BY d.year, d.month""",
+        SELECT year, month, CAST(sum(n) AS BIGINT) AS monthly_review_count,
+            sum(votes) / nullif(sum(voted), 0) AS monthly_avg_helpful_votes
+        FROM daily JOIN dates USING (date_id) GROUP BY ALL""",
     "merged_fact": """
         SELECT * FROM fact_unique WHERE review_date < DATE '2001-06-28'
         UNION ALL
@@ -493,27 +481,25 @@ SELECTS: dict[str, str] = {
     "fct_review": "SELECT * FROM fact",
     "sample_reviews": "SELECT * FROM fact WHERE left(review_sk, 8) < '19999999'",
     "gold_category_ratings_monthly": """
-        SELECT d.year_month, p.primary_category, avg(f.rating) AS avg_rating
-        FROM fact f JOIN products p ON p.product_id = f.product_id
-            JOIN dates d ON d.date_id = f.date_id
-        WHERE p.primary_category IN (SELECT primary_category FROM top_five)
-        GROUP BY d.year_month, p.primary_category""",
+        SELECT year_month, primary_category, sum(points) / sum(n) AS avg_rating
+        FROM (SELECT product_id, date_id, sum(rating) AS points, count(rating) AS n FROM fact GROUP BY ALL)
+            JOIN products USING (product_id) SEMI JOIN top_five USING (primary_category)
+            JOIN dates USING (date_id)
+        GROUP BY ALL""",
     "gold_brand_repeated_reviewers": """
         SELECT *, rank() OVER (ORDER BY avg_reviews_per_reviewer DESC) AS brand_rank
         FROM brand_counts WHERE unique_reviewers >= 10""",
     "gold_reviews_per_reviewer": "SELECT * FROM buckets",
     "gold_seasonality_and_reviews": """
-        SELECT month, strftime(make_date(2024, month, 1), '%B') AS month_name,
+        SELECT month, any_value(monthname(make_date(year, month, 1))) AS month_name,
             CAST(sum(monthly_review_count) AS BIGINT) AS total_reviews,
-            round(avg(monthly_review_count), 2) AS avg_reviews_per_month,
+            round(sum(monthly_review_count) / count(*), 2) AS avg_reviews_per_month,
             round(avg(monthly_avg_helpful_votes), 2) AS avg_helpful_votes
         FROM monthly GROUP BY month""",
     "gold_weekend_review_behavior": """
-        SELECT CASE WHEN d.is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type,
-            count(f.review_sk) AS total_reviews, count(DISTINCT d.date_day) AS total_days,
-            round(count(f.review_sk) * 1.0 / count(DISTINCT d.date_day), 2)
-                AS avg_reviews_per_day
-        FROM fact f JOIN dates d ON f.date_id = d.date_id GROUP BY d.is_weekend""",
+        SELECT if(is_weekend, 'Weekend', 'Weekday') AS day_type, CAST(sum(n) AS BIGINT) AS total_reviews,
+            count(*) AS total_days, round(avg(n), 2) AS avg_reviews_per_day
+        FROM daily JOIN dates USING (date_id) GROUP BY is_weekend""",
 }
 
 
