@@ -244,39 +244,36 @@ def _kept(counts: DataFrame, share: int) -> DataFrame:
     return stage(inside.select("code").distinct(), "kept")
 
 
-def _by_language(rows: DataFrame, langs: list[str], key: str, values: list[str]) -> list[tuple[np.ndarray, ...]]:
-    """Per language the sorted keys and their values; languages reach the driver as numbers."""
+def _by_level(rows: DataFrame, langs: list[str], key: str, values: list[str]) -> list[list[tuple[np.ndarray, ...]]]:
+    """Per order and language the sorted keys and their values; both reach the driver as one number."""
     numbers = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
-    table_ = rows.select(numbers[F.col("lang")].cast("short").alias("lang"), key, *values).toArrow()
-    number, keys = table_["lang"].to_numpy(), table_[key].to_numpy().astype(np.uint64)
-    order = np.lexsort((keys, number))
-    cuts = np.searchsorted(number[order], np.arange(len(langs) + 1))
+    place = (F.col("order") * len(langs) + numbers[F.col("lang")]).cast("short")
+    table_ = rows.select(place.alias("place"), key, *values).toArrow()
+    places, keys = table_["place"].to_numpy(), table_[key].to_numpy().astype(np.uint64)
+    order = np.lexsort((keys, places))
+    cuts = np.searchsorted(places[order], np.arange((ORDER + 1) * len(langs) + 1))
     columns = [keys, *(table_[v].to_numpy().astype(np.float64) for v in values)]
-    return [tuple(c[order[start:end]] for c in columns) for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
+    parts = [tuple(c[order[start:end]] for c in columns) for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [parts[i : i + len(langs)] for i in range(0, len(parts), len(langs))]
+
+
+def _named(runs: DataFrame, *more: str) -> DataFrame:
+    """Rows (order, name) and ``more``: each run's last bytes, for every order."""
+    by_order = [F.struct(F.lit(o).alias("order"), F.col("code").bitwiseAND(F.lit(2 ** (8 * (o + 1)) - 1)).alias("name")) for o in range(ORDER + 1)]
+    return runs.select(F.inline(F.array(*by_order)), *more)
 
 
 def _trees(counts: DataFrame, langs: list[str], share: int) -> Trees:
     """Trees of some languages; followers and kinds are those of all ``counts``."""
     own = counts.filter(F.col("lang").isin(langs))
-    kept, levels = _kept(own, share), []
-    for order in range(ORDER + 1):
-        name = F.col("code").bitwiseAND(F.lit(2 ** (8 * (order + 1)) - 1))
-        level = own.groupBy("lang", name.alias("name")).agg(F.sum("n").alias("seen"))
-        names = kept.select(name.alias("name")).distinct()
-        contexts = level.groupBy("lang", F.shiftright("name", 8).alias("context")).agg(
-            F.sum("seen").alias("followers"), F.count("*").alias("kinds")
-        )
-        wanted = names.select(F.shiftright("name", 8).alias("context")).distinct()
-        levels.append(
-            list(
-                zip(
-                    _by_language(level.join(names, "name", "left_semi"), langs, "name", ["seen"]),
-                    _by_language(contexts.join(wanted, "context", "left_semi"), langs, "context", ["followers", "kinds"]),
-                    strict=True,
-                )
-            )
-        )
-    return Trees(langs, [], levels)
+    wanted, context = _named(_kept(own, share)).distinct(), F.shiftright("name", 8).alias("context")
+    levels = stage(_named(own, "lang", "n").groupBy("lang", "order", "name").agg(F.sum("n").alias("seen")), "levels")
+    contexts = levels.groupBy("lang", "order", context).agg(F.sum("seen").alias("followers"), F.count("*").alias("kinds"))
+    names = levels.join(wanted, ["order", "name"], "left_semi")
+    contexts = contexts.join(wanted.select("order", context).distinct(), ["order", "context"], "left_semi")
+    by_name = _by_level(names, langs, "name", ["seen"])
+    by_context = _by_level(contexts, langs, "context", ["followers", "kinds"])
+    return Trees(langs, [], [list(zip(*level, strict=True)) for level in zip(by_name, by_context, strict=True)])
 
 
 def fit(counts: DataFrame) -> Forest | None:
