@@ -33,7 +33,7 @@ from revlens.sources.lines import (
     read_positioned,
     require_utf8,
 )
-from revlens.sources.records import END_MARKER
+from revlens.sources.records import END_MARKER, once
 
 MAX_BAD_RECORDS = 10
 
@@ -116,7 +116,7 @@ def judge_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
     kinds = {f.name: f.dataType for f in schema}
     typed = [StructField(name, kind) for name, kind in kinds.items()]
     unmarked = ~F.contains(value, F.lit(END_MARKER))
-    rows = lines.where(F.trim(value) != "").withColumn("_typed", _read(value, typed))
+    rows = once(lines.where(F.trim(value) != ""), _read(value, typed).alias("_typed"))
     first = _row(F.col("_typed"))
     rows = rows.withColumn("_fits", _whole(F.col("_typed")) & unmarked)
     values = {name: first[name] for name in kinds}
@@ -125,7 +125,7 @@ def judge_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
         reason = F.when(unfit, F.lit("not_one_object"))
     else:
         texts = [StructField(name, StringType()) for name in kinds]
-        rows = rows.withColumn("_texts", _read(F.when(unfit, value), texts))
+        rows = once(rows, _read(F.when(unfit, value), texts).alias("_texts"))
         second = _row(F.col("_texts"))
         coerced = {name: _coerced(second[name], kind) for name, kind in kinds.items()}
         reason = F.when(~(_whole(F.col("_texts")) & unmarked), F.lit("not_one_object"))

@@ -84,6 +84,15 @@ def repair_records(lines: pd.Series) -> pd.Series:
     return lines.map(_repair, na_action="ignore").astype(object)
 
 
+def once(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once a row.
+
+    Of a plain projection every later use, also in a filter, is a computation of its own; what
+    a generator yields is not put into its uses.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def clean_records(lines: DataFrame, native_literals: bool = True) -> DataFrame:
     """Add ``record`` (JSON text, null for a bad line) and ``route`` to ``value``.
 
@@ -92,17 +101,16 @@ def clean_records(lines: DataFrame, native_literals: bool = True) -> DataFrame:
     value = F.col("value")
     # Non-ASCII must come out raw, so lines with unicode escapes are re-encoded.
     direct = is_strict_json(value) & ~F.contains(value, F.lit("\\u"))
-    staged = lines.withColumn("_strict", F.when(direct, value))
+    staged = once(lines, F.when(direct, value).alias("_strict"))
     if native_literals:
         # An unsafe line is swapped for null before parsing, so it costs no parse.
         safe = F.when(
             F.col("_strict").isNull() & ~value.rlike(_UNSAFE_LITERAL), _closed(value)
         )
-        staged = staged.withColumn("_parsed", F.from_json(safe, "variant"))
+        staged = once(staged, F.from_json(safe, "variant").alias("_parsed"))
         first = F.to_json(F.try_variant_get("_parsed", "$[0]", "variant"))
-        staged = staged.withColumn(
-            "_literal", F.when(_is_whole(F.col("_parsed"), value), first)
-        ).drop("_parsed")
+        literal = F.when(_is_whole(F.col("_parsed"), value), first)
+        staged = once(staged, literal.alias("_literal")).drop("_parsed")
     else:
         staged = staged.withColumn("_literal", F.lit(None).cast("string"))
     native = F.coalesce("_strict", "_literal")
@@ -114,11 +122,8 @@ def clean_records(lines: DataFrame, native_literals: bool = True) -> DataFrame:
         .when(F.col("_repaired").isNotNull(), "repaired")
         .otherwise("bad")
     )
-    return (
-        staged.withColumn("record", F.coalesce(native, "_repaired"))
-        .withColumn("route", route)
-        .drop("_strict", "_literal", "_repaired")
-    )
+    record = F.coalesce(native, "_repaired")
+    return once(staged, record.alias("record"), route.alias("route")).drop("_strict", "_literal", "_repaired")
 
 
 def bad_record_report(records: DataFrame) -> DataFrame:

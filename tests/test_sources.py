@@ -351,3 +351,14 @@ def test_inferred_schema(spark, tmp_path):
     assert dict(df.dtypes) == {"a": "string", "b": "bigint", "h": "array<bigint>"}
     assert df.count() == 2
     assert enforce_budget(parse_ndjson(read_lines(spark, path), df.schema), 1).count() == 2
+
+
+def test_each_line_is_parsed_and_repaired_once(spark):
+    """A filter on the route, or on bad records, must not repeat the steps behind it."""
+    kept = clean_records(lines_of(spark, ["{'asin': '1', 'title': None}", '{"asin":"1"}'])).where(F.col("route") != "strict")
+    flagged = parse_ndjson(kept.select(F.col("record").alias("value")), PRODUCT_LANDING).where("NOT _bad")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("repair_records(") == 1
+    assert plan.count("VariantExpressionEvalUtils.parseJson(") == 1
+    assert plan.count("from_json(") == 2
+    assert flagged.count() == 1

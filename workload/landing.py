@@ -40,9 +40,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
-    joined = lines.join(orders, C("l_orderkey") == C("o_orderkey")).join(
-        customers, C("o_custkey") == C("c_custkey")
-    )
+    # The line items, of which there are most, join last and so are shuffled once at most.
+    ordered = orders.join(customers, C("o_custkey") == C("c_custkey"))
+    joined = lines.join(ordered, C("l_orderkey") == C("o_orderkey"))
     up = C("l_quantity").cast("bigint") % 5
     total = up + C("l_linenumber") % 4 - 1
     return joined.select(
@@ -130,7 +130,8 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     tab-padded literal with a trailing comma (7). Keys divisible by 25 add a line
     that is no record and keys divisible by 40 a line of array punctuation.
     """
-    products = _products(spark, sf_dir)
+    # The file of parts is small and so few tasks scan it; its lines cost far more than its bytes.
+    products = _products(spark, sf_dir).repartition("p_partkey")
     sparse = F.to_json(F.struct(*PRODUCT_FIELDS))
     full = F.to_json(F.struct(*PRODUCT_FIELDS), {"ignoreNullFields": "false"})
     literal = F.translate(sparse, '"', "'")
