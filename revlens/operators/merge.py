@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Shares into which rows without a key are dealt, as no join needs them together.
@@ -14,6 +14,7 @@ def merge_upsert(
     source: DataFrame,
     key: str,
     update_columns: list[str] | None = None,
+    within: Column | None = None,
 ) -> DataFrame:
     """The target after ``MERGE``: matched rows updated, other source rows inserted.
 
@@ -24,7 +25,15 @@ def merge_upsert(
     A full outer join would shuffle the whole target every time and adaptive
     execution can neither broadcast nor split it. Here each join keeps the big
     side streaming: if the source is small, the target is not shuffled at all.
+
+    ``within`` is a condition on target rows that all rows with a key of the source meet (a
+    key that holds a time, and the first day of the source). The other rows, also those it is
+    null for, pass by the joins as they are, so only the part that can match is shuffled.
     """
+    if within is not None:
+        inside = F.coalesce(within, F.lit(False))
+        merged = merge_upsert(target.where(inside), source, key, update_columns)
+        return target.where(~inside).unionByName(merged)
     columns = target.columns
     updated = set(columns if update_columns is None else update_columns) - {key}
     source = source.select(columns)

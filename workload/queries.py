@@ -11,12 +11,11 @@ import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions import is_blank, strict_double
 from revlens.operators import checks
-from revlens.operators.dedup import keep_first
 from revlens.operators.joins import join_dimension
 from revlens.operators.merge import merge_upsert, merge_whole
 from revlens.operators.sampling import sample_keys
@@ -85,9 +84,7 @@ def s_fact(spark, d):
 
 @landing.shared
 def s_fact_unique(spark, d):
-    fact = s_fact(spark, d)
-    order = [F.col(c).asc_nulls_last() for c in fact.columns if c != "review_sk"]
-    return keep_first(fact, "review_sk", *order)
+    return silver.unique_fct_review(b_reviews(spark, d))
 
 
 def s_tables(spark, d):
@@ -441,11 +438,15 @@ def top_categories(spark, d):
 # --- merges, writes -------------------------------------------------------------------
 
 
+def in_window() -> Column:
+    """Whether a review falls in the late-arrival window, or later."""
+    return F.col("review_date") >= F.lit(AS_OF - dt.timedelta(days=silver.LOOKBACK_DAYS))
+
+
 def rated_again(fact: DataFrame) -> DataFrame:
     """The reviews of the late-arrival window as they come in a second time, changed."""
-    since = AS_OF - dt.timedelta(days=silver.LOOKBACK_DAYS)
     return (
-        fact.where(F.col("review_date") >= F.lit(since))
+        fact.where(in_window())
         .withColumn("helpful_votes", F.when(F.col("rating") > 1, F.col("helpful_votes") + 1))
         .withColumn("rating", 6 - F.col("rating"))
     )
@@ -456,7 +457,8 @@ def merge_fct_review(spark, d):
     """The days since the window opened, re-rated, merged into all reviews before today."""
     fact = stored(s_fact_unique(spark, d), "fact")
     target = fact.where(F.col("review_date") < F.lit(AS_OF))
-    return merge_upsert(target, rated_again(fact), "review_sk")
+    # The key holds the review time, so older reviews cannot match.
+    return merge_upsert(target, rated_again(fact), "review_sk", within=in_window())
 
 
 @query
@@ -504,7 +506,6 @@ def fct_partitioned(spark, d):
 @query
 def fct_partitioned_merge(spark, d):
     """``merge_fct_review`` on the stored table: only the touched months are rewritten."""
-    fact = stored(s_fact_unique(spark, d), "fact")
     path = scratch_path(spark, "fact")
     fact_sink.write_fact(fact.where(F.col("review_date") < F.lit(AS_OF)), path)
     fact_sink.merge_fact(rated_again(fact), path)
