@@ -129,16 +129,18 @@ def _next_version(spark: SparkSession, path: str) -> int:
     return max(used, default=0) + 1
 
 
-def _write_version(fact: DataFrame, ranges: DataFrame | None, path: str) -> dict[str, int]:
+def _write_version(
+    fact: DataFrame, ranges: DataFrame | None, path: str, columns: list[Column | str] | None = None
+) -> dict[str, int]:
     """Write the rows (with their month) into a new version; folder names of months to version."""
     spark = fact.sparkSession
     version = _next_version(spark, path)
     target = f"{path}/data/{VERSION}={version}"
     # Rebalancing gives a task whole (month, range) groups: adaptive execution merges small
     # ones and cuts one that is too big into slices of the map output, even copies of a row.
+    spread = _with_part(fact, ranges).hint("rebalance", MONTH, PART)
     (
-        _with_part(fact, ranges)
-        .hint("rebalance", MONTH, PART)
+        (spread.select(*columns, MONTH, PART) if columns else spread)
         .sortWithinPartitions(MONTH, PART, *CLUSTER)
         .write.partitionBy(MONTH, PART)
         .parquet(target)
@@ -151,20 +153,24 @@ def _schema(fact: DataFrame) -> dict:
     return json.loads(StructType(columns).json())
 
 
-def write_fact(fact: DataFrame, path: str, file_rows: int | None = None) -> None:
+def write_fact(
+    fact: DataFrame, path: str, file_rows: int | None = None, columns: list[Column | str] | None = None
+) -> None:
     """Replace the table by these rows; older snapshots stay readable.
 
     With ``file_rows`` a month is cut into product ranges of about so many rows. That scans
     month and product of ``fact`` beforehand: cheap on stored tables, not where the frame
-    behind them is costly to derive.
+    behind them is costly to derive. ``columns`` are those to be stored, if they are to be made
+    only after the rows were shuffled; ``fact`` then needs date, product and reviewer for its order.
     """
     spark = fact.sparkSession
     published = snapshots(spark, path)
     monthly = with_month(fact)
     ranges = file_rows and product_ranges(monthly.select(MONTH, "product_id"), file_rows)
-    months = _write_version(monthly, ranges, path)
+    months = _write_version(monthly, ranges, path, columns)
     number = published[-1] + 1 if published else 1
-    _publish(spark, path, number, {"months": months, "schema": _schema(fact)})
+    schema = _schema(fact.select(*columns) if columns else fact)
+    _publish(spark, path, number, {"months": months, "schema": schema})
 
 
 def has_fact(spark: SparkSession, path: str) -> bool:

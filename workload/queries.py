@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions import is_blank, strict_double
+from revlens.functions import epoch_floor, is_blank, strict_double
 from revlens.operators import checks
 from revlens.operators.joins import join_dimension
 from revlens.operators.merge import merge_upsert, merge_whole
@@ -507,8 +507,10 @@ def fct_partitioned(spark, d):
 def fct_partitioned_merge(spark, d):
     """``merge_fct_review`` on the stored table: only the touched months are rewritten."""
     path = scratch_path(spark, "fact")
-    fact_sink.write_fact(fact.where(F.col("review_date") < F.lit(AS_OF)), path)
-    fact_sink.merge_fact(rated_again(fact), path)
+    before = b_reviews(spark, d).where(F.col("unix_review_time") < F.lit(epoch_floor(AS_OF)))
+    # Copies of a key have its time, so each side is made unique on its own and stored once.
+    fact_sink.write_fact(silver.unique_reviews(before), path, columns=silver.fact_columns())
+    fact_sink.merge_fact(rated_again(silver.unique_fct_review(b_reviews(spark, d), AS_OF)), path)
     return fact_sink.read_fact(spark, path)
 
 
