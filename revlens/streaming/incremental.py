@@ -9,11 +9,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from revlens.operators.dedup import keep_first
 from revlens.plans.bronze import bronze_reviews
-from revlens.plans.silver import fct_review
+from revlens.plans.silver import fact_columns, unique_fct_review, unique_reviews
 from revlens.schemas import REVIEW_LANDING
 from revlens.sinks.audit import RUN_SCHEMA, append_run, read_runs
 from revlens.sinks.fact import has_fact, merge_fact, write_fact
@@ -21,12 +19,6 @@ from revlens.sinks.tables import path_exists, read_table
 from revlens.sources.landing import MAX_BAD_RECORDS, BadRecordBudgetExceeded, load_lines
 
 
-def one_per_key(fact: DataFrame) -> DataFrame:
-    """One row per review key, chosen by content: a file may be delivered twice."""
-    order = [F.col(c).asc_nulls_last() for c in fact.columns if c != "review_sk"]
-    return keep_first(fact, "review_sk", *order)
-
-
 def merge_arrivals(
     spark: SparkSession,
     landing_dir: str,
@@ -40,7 +32,8 @@ def merge_arrivals(
     Each batch is parsed once, into a landing table of its own below ``checkpoint_dir``, which
     counts and sets aside bad records on the way. A batch over the budget is not merged: its
     rows stay in that table, uncommitted, the audit names it, and later batches go on. A
-    batch that is run again after a failure merges the same rows to the same result. Like the
+    batch that is run again after a failure merges the same rows to the same result. As a file may
+    be delivered twice, one row per review key is taken. Like the
     batch rule, a review older than the window is not taken once the fact exists.
     """
     log = f"{checkpoint_dir}-batches/audit"
@@ -54,9 +47,9 @@ def merge_arrivals(
             return
         reviews = bronze_reviews(read_table(spark, table))
         if has_fact(spark, fact_path):
-            merge_fact(one_per_key(fct_review(reviews, incremental_as_of=as_of)), fact_path)
+            merge_fact(unique_fct_review(reviews, incremental_as_of=as_of), fact_path)
         else:
-            write_fact(one_per_key(fct_review(reviews)), fact_path)
+            write_fact(unique_reviews(reviews), fact_path, columns=fact_columns())
         append_run(spark, log, f"batch-{batch}", result, rows=result["rows_loaded"])
 
     arrivals = spark.readStream.text(landing_dir)

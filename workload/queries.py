@@ -517,7 +517,7 @@ def fct_partitioned_merge(spark, d):
 @query
 def stream_merge_arrivals(spark, d):
     """Review files arriving in a folder, merged into a new fact table."""
-    arrivals = written(landing.item_lines(spark, d), "arrivals")
+    arrivals = written(landing.item_lines(spark, d), "arrivals", compression="gzip")
     path = scratch_path(spark, "fact")
     merge_arrivals(spark, arrivals, path, scratch_path(spark, "offsets"), AS_OF)
     return fact_sink.read_fact(spark, path)
