@@ -189,6 +189,22 @@ def test_quality_counts_and_verdict(docs):
     assert quality.quality_rules(df.limit(0), df.limit(0).select("doc_id")).count() == 0
 
 
+def test_quality_threshold_is_four_deviations(docs):
+    """Texts with more and more junk: what lies four deviations below the trusted is not kept."""
+    def text(junk):
+        return " ".join([prose(80), *[f"zq{k % 20}" for k in range(junk)]])
+
+    good = [(i, text(i % 6)) for i in range(60)]
+    mixed = [(100 + i, text(i)) for i in range(60)]
+    df = docs(*good, *mixed)
+    found = quality.quality_rules(df, df.filter("doc_id < 60").select("doc_id")).collect()
+    trusted = [r["score"] for r in found if r["doc_id"] < 60 and not r["base_failed"]]
+    mean, deviation = np.mean(trusted), np.std(trusted)
+    assert any(mean - 8 * deviation <= r["score"] < mean - 4 * deviation for r in found if not r["base_failed"])
+    for r in found:
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= mean - 4 * deviation)
+
+
 def test_pitman_yor_sums_to_one_and_beats_the_base(docs, spark):
     rows = [(i, prose(random.randrange(5, 60)) + f" only{i}") for i in range(150)] + ODD
     df = docs(*rows)
