@@ -1,57 +1,77 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Restaurants serve words. Each context has one: the previous word if it is among the
-``CONTEXTS`` most frequent, the start of a text, or any other word. They share one parent, to
-which every table of theirs sends a customer. The parent's base measure is spread over
-unboundedly many words, so words never seen in training share the mass of its new tables and
-count as one class.
+Restaurants serve words, and every previous word has one. Those of the ``CONTEXTS`` most
+frequent previous words and of the start of a text send a customer per table to the root. Those
+of all other previous words ("deep" ones) send theirs to one restaurant for other words, which
+sends its own to the root. The root's base measure is spread over unboundedly many words, so
+words never seen in training share the mass of its new tables and count as one class.
 
 Seatings are sampled by Gibbs sweeps in blocks: all customers of one word in one context
 stand up and are seated again one by one by the Chinese restaurant rule. That proposal is
 accepted with the ratio of its normalisers to those of the old seating (as they were when it
-was made), so that sweeps follow the posterior and not the seating order. Only numbers of tables are kept; between two openings
-the waiting time is drawn at once, so a word seen a million times costs its tables, not its
-customers. Tables of other words in a restaurant are taken from the previous epoch.
-Predictive probabilities are averaged over the samples.
-
-All statistics cover the whole training corpus and are spread by word. Frequent words (at
-most ``HEAD``) are scored where the texts lie, from a table of bounded size; the rest are
+was made), so that sweeps follow the posterior and not the seating order. Only numbers of tables
+are kept. Beyond ``FEW`` customers, the tables that open are drawn for a block of customers at
+once, with the weights of its middle, so a million customers cost some 170 steps.
+Tables of other words in a restaurant are taken from the previous epoch; deep restaurants have
+one epoch, which starts from one table a pair. Predictive probabilities are averaged over the
+samples.
+
+All statistics cover the whole training corpus. Counts of pairs are spread by the previous word
+over buckets, whose number follows the session's shuffle width; a frequent one takes several.
+Frequent words (at most ``HEAD``) and pairs (at most ``FREQUENT``) are scored where the texts
+lie, from tables of bounded size. Other pairs are looked up in their bucket, and other words are
 joined with the model by word, which no frequent word can then make uneven.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import fold, map_arrow, rows_of, spread, stage, table, word_hashes
+from revlens.llm.common import fold, map_arrow, rows_of, shuffle_width, spread, stage, table, word_hashes
 
 CONTEXTS = 62
 OTHER, START = 0, CONTEXTS + 1
 WIDTH = CONTEXTS + 2
 HEAD = 131_072
+# Deep pairs whose scores each task holds.
+FREQUENT = 1_000_000
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
 FOLDS, HELD_OUT = 5, 1
+# Customers that are seated one by one.
+FEW = 32
 # Entries a task adds up before it sends them on.
 BUFFER = 2_000_000
-# The end token: the hash of the empty word, which no text holds.
-END = word_hashes([b""])
-
+# Pairs of words and contexts that a task samples at a time.
+SAMPLED = 400_000
+# The id of what stands before a text.
+BEFORE = -1
 
-def tokens_of(text: str | None) -> np.ndarray:
-    """Hashes of the tokens of a text: its words, A-Z lower-cased, and one end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.append(word_hashes(words), END)
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of texts, the tokens as places in them, and tokens per text.
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    names, place = np.unique(keys, return_inverse=True)
-    return names, np.bincount(place, counts, len(names)).astype(np.int64)
+    The tokens of a text are its words, A-Z lower-cased, and one end (the empty word).
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    is_word = pc.not_equal(pc.binary_length(words), 0)
+    ends = np.append(0, np.cumsum(is_word.to_numpy(zero_copy_only=False)))[np.append(0, np.cumsum(pc.list_value_length(lists)))]
+    coded = words.filter(is_word).dictionary_encode()
+    names = coded.dictionary.cast(pa.binary()).to_pylist()
+    sizes = np.diff(ends) + 1
+    tokens = np.full(sizes.sum(), len(names))
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    tokens[inside] = coded.indices.to_numpy()
+    return word_hashes([*names, b""]), tokens, sizes
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,17 +79,15 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, size = [], 0
 
     def flush():
-        names, sums = _summed(np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts]))
+        names, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+        sums = np.bincount(place, np.concatenate([n for _, n in parts]), len(names)).astype(np.int64)
         for start in range(0, len(names), 100_000):
             part = slice(start, start + 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[part].view(np.int64)), pa.array(sums[part])], ["w", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(names[part].view(np.int64)), pa.array(sums[part])], ["w", "n"])
 
-    for batch in rows_of(batches):
-        tokens = np.concatenate([tokens_of(t) for t in batch.column(0).to_pylist()])
-        names, counts = np.unique(tokens, return_counts=True)
-        parts.append((names, counts))
+    for batch in rows_of(batches, 4_000):
+        names, tokens, _ = _words(batch.column(0))
+        parts.append((names, np.bincount(tokens, minlength=len(names))))
         size += len(names)
         if size > BUFFER:
             yield from flush()
@@ -78,81 +96,211 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def _found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each asked key among sorted ones, or -1."""
+    if not len(keys):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, -1)
+
+
 class Head:
-    """The frequent words by hash, and the contexts among them."""
+    """The frequent words by hash, the contexts among them, and the buckets of pairs.
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+    A word's id is its place among the frequent words, else its hash with the top bit set.
+    """
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, buckets: int):
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
+        end = word_hashes([b""])[0]
         by_count = np.lexsort((self.hashes, -self.counts))
-        by_count = by_count[self.hashes[by_count] != END[0]][:CONTEXTS]
-        self.context = np.zeros(len(hashes) + 1, np.int64)
+        by_count = by_count[self.hashes[by_count] != end][:CONTEXTS]
+        self.context = np.full(len(hashes) + 1, OTHER)
         self.context[by_count] = np.arange(1, len(by_count) + 1)
+        # Buckets of each previous word, by its share of all tokens.
+        self.shares = np.append(1 + self.counts * buckets // max(1, tokens), 1).astype(np.uint64)
+        self.count = buckets
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of words by their hashes."""
+        place = _found(self.hashes, hashes)
+        return np.where(place >= 0, place, (hashes | np.uint64(1 << 63)).view(np.int64))
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Place of each id in an array that has one more entry, for all other words."""
+        return np.where(ids >= 0, ids, len(self.hashes))
+
+    def pair(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """A number for each pair of frequent words."""
+        return u * len(self.hashes) + w
+
+    def contexts(self, previous: np.ndarray) -> np.ndarray:
+        """Context of each previous word; deep ones have OTHER."""
+        return np.where(previous == BEFORE, START, self.context[self.places(previous)])
+
+    def buckets(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Bucket of each pair (previous word, word). All pairs of a rare previous word share one."""
+        shares = np.where(u == BEFORE, np.uint64(self.count), self.shares[self.places(u)])
+        part = spread(w.view(np.uint64)) % shares
+        return (spread(u.view(np.uint64) + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.count)).astype(np.int32)
 
-    def places(self, tokens: np.ndarray) -> np.ndarray:
-        """Place of each token among the frequent words, or -1."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, at, -1)
 
-    def contexts(self, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Context of each token of joined texts that begin at ``starts``."""
-        context = np.empty(len(places), np.int64)
-        context[1:] = self.context[places[:-1]]  # -1 is the last entry: other
-        context[starts] = START
-        return context
+def _joined(texts: pa.Array, head: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the tokens of texts one after another, of the words before them, and the text of each."""
+    names, tokens, sizes = _words(texts)
+    tokens = head.ids(names)[tokens]
+    previous = np.append(BEFORE, tokens[:-1])
+    previous[np.cumsum(sizes) - sizes] = BEFORE
+    return tokens, previous, np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of texts one after another, where each begins, and the text of each."""
-    each = [tokens_of(t) for t in texts]
-    sizes = np.array([len(t) for t in each])
-    return np.concatenate(each), np.cumsum(sizes) - sizes, np.repeat(np.arange(len(each)), sizes)
+# --- pairs ------------------------------------------------------------------------------
+
+
+def _pair_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return spread(spread(u.view(np.uint64)) + w.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _by_pair(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs with their counts added up."""
+    keys = _pair_keys(u, w)
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    first = order[starts]
+    return u[first], w[first], np.add.reduceat(n[order], starts)
+
+
+def _packed(bucket: np.ndarray, columns: list, names: list[str]) -> pa.RecordBatch:
+    """One row per bucket: (b, a list per column)."""
+    order = np.lexsort((columns[0], bucket))
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    place = pa.array(np.append(starts, len(bucket)), pa.int32())
+    lists = [pa.ListArray.from_arrays(place, pa.array(c[order])) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], ["b", *names])
+
+
+def _unpacked(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
+    """(b, an array per column) of each row whose first list is not null."""
+    lists = [batch.column(i + 1) for i in range(width)]
+    values = [c.flatten().to_numpy(zero_copy_only=False) for c in lists]
+    sizes = [np.diff(c.offsets.to_numpy()) * c.is_valid().to_numpy(zero_copy_only=False) for c in lists]
+    ends = [np.append(0, np.cumsum(s)) for s in sizes]
+    for i, b in enumerate(batch.column(0).to_pylist()):
+        if lists[0][i].is_valid:
+            yield b, *[v[e[i] : e[i + 1]] for v, e in zip(values, ends, strict=True)]
+
+
+_PAIRS = "b int, u array<long>, w array<long>, n array<long>"
 
 
 def _count_pairs(shared):
-    """(text) to (w, ctx, n), added up over the task."""
+    """(text) to (b, u, w, n): counts of each word after each previous one, added up over the task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, parts, size = shared.value, [], 0
+        head, held, size = shared.value, [], 0
 
         def flush():
-            words = np.concatenate([p[0] for p in parts])
-            contexts = np.concatenate([p[1] for p in parts])
-            counts = np.concatenate([p[2] for p in parts])
-            words, contexts, counts = _by_pair(words, contexts, counts)
-            for start in range(0, len(words), 100_000):
-                part = slice(start, start + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words[part].view(np.int64)),
-                        pa.array(contexts[part].astype(np.int32)),
-                        pa.array(counts[part]),
-                    ],
-                    ["w", "ctx", "n"],
-                )
+            u, w, n = _by_pair(*map(np.concatenate, zip(*held, strict=True)))
+            return _packed(head.buckets(u, w), [u, w, n], ["u", "w", "n"])
 
         for batch in rows_of(batches):
-            tokens, starts, _ = _joined(batch.column(0).to_pylist())
-            contexts = head.contexts(head.places(tokens), starts)
-            parts.append(_by_pair(tokens, contexts, np.ones(len(tokens), np.int64)))
-            size += len(parts[-1][0])
+            tokens, previous, _ = _joined(batch.column(0), head)
+            held.append(_by_pair(previous, tokens, np.ones(len(tokens), np.int64)))
+            size += len(held[-1][0])
             if size > BUFFER:
-                yield from flush()
-                parts, size = [], 0
-        if parts:
-            yield from flush()
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     return count
 
 
-def _by_pair(words, contexts, counts):
-    order = np.lexsort((contexts, words))
-    words, contexts, counts = words[order], contexts[order], counts[order]
-    new = np.append(True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1]))
-    starts = np.flatnonzero(new)
-    return words[new], contexts[new], np.add.reduceat(counts, starts)
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (b, u, w, n) to one row per bucket."""
+    held = defaultdict(list)
+    for batch in batches:
+        for b, *columns in _unpacked(batch, 3):
+            held[b].append(columns)
+    for b in list(held):
+        u, w, n = _by_pair(*map(np.concatenate, zip(*held.pop(b), strict=True)))
+        yield _packed(np.full(len(u), b, np.int32), [u, w, n], ["u", "w", "n"])
+
+
+def _over_pairs(shared, work, names: list[str]):
+    """``work(head, b, u, w, n, deep)`` on each bucket; it gives the columns of the result."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = shared.value
+        for batch in batches:
+            for b, u, w, n in _unpacked(batch, 3):
+                columns = work(head, b, u, w, n, head.contexts(u) == OTHER)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return run
+
+
+def _entries(head, b, u, w, n, deep):
+    """(w, ctx, n, c): customers of each word in each restaurant below the root, and its tokens.
+
+    Those of OTHER, if each deep pair has one table.
+    """
+    names, place = np.unique(w[deep], return_inverse=True)
+    context = head.contexts(u[~deep])
+    return (
+        np.append(names, w[~deep]),
+        np.append(np.full(len(names), OTHER), context).astype(np.int32),
+        np.append(np.bincount(place, minlength=len(names)), n[~deep]),
+        np.append(np.bincount(place, n[deep], len(names)).astype(np.int64), n[~deep]),
+    )
+
+
+# Classes of counts, at most 1,100, and of what _statistics gives.
+_GRADES = 16
+_OWN, _GRADE, _SMALL = 0, 1, 2
+
+
+def _statistics(head, b, u, w, n, deep):
+    """(what, x, p, q) of deep pairs: customers and pairs of each frequent previous word, the
+    number of pairs of frequent words by the class of their count, of pairs seen once and twice."""
+    u, w, n = u[deep], w[deep], n[deep]
+    own, place = np.unique(u[u >= 0], return_inverse=True)
+    grades = np.bincount(np.floor(np.log2(n[(u >= 0) & (w >= 0)]) * _GRADES).astype(np.int64))
+    seen = np.flatnonzero(grades)
+    return (
+        np.concatenate([np.full(len(own), _OWN), np.full(len(seen), _GRADE), [_SMALL]]).astype(np.int32),
+        np.concatenate([own, seen, [0]]).astype(np.int64),
+        np.concatenate([np.bincount(place, n[u >= 0], len(own)), grades[seen], [(n == 1).sum()]]).astype(np.int64),
+        np.concatenate([np.bincount(place, minlength=len(own)), np.zeros(len(seen)), [(n == 2).sum()]]).astype(np.int64),
+    )
+
+
+def _repeated(kinds_shared):
+    """(b, u, w, n, k): deep pairs seen twice or more, and the pairs of their previous word."""
+
+    def work(head, b, u, w, n, deep):
+        u, w, n = u[deep], w[deep], n[deep]
+        _, place, kinds = np.unique(u, return_inverse=True, return_counts=True)
+        known = kinds_shared.value[head.places(u)]
+        many = n > 1
+        k = np.where(u >= 0, known, kinds[place])[many]
+        return np.full(len(k), b, np.int32), u[many], w[many], n[many], k.astype(np.int64)
+
+    return work
+
+
+def _frequent(grade: int):
+    """(u, w, n): deep pairs of frequent words with a count of this class or above."""
+
+    def work(head, b, u, w, n, deep):
+        chosen = deep & (u >= 0) & (w >= 0)
+        chosen[chosen] = np.floor(np.log2(n[chosen]) * _GRADES) >= grade
+        return u[chosen], w[chosen], n[chosen]
+
+    return work
 
 
 # --- sampling ---------------------------------------------------------------------------
@@ -170,6 +318,29 @@ def _uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
     return ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
+def _binomial(size, chance, key, sweep: int, step: int) -> np.ndarray:
+    """Repeatable binomial numbers; those of mean above 16 are rounded normal ones."""
+    mean = size * chance
+    uniform = _uniform(key, sweep, step)
+    second = _uniform(key, sweep, step + 1_000_000)
+    normal = np.sqrt(-2 * np.log(uniform)) * np.cos(2 * np.pi * second)
+    out = np.clip(np.rint(mean + normal * np.sqrt(mean * (1 - chance))), 0, size)
+    live = np.flatnonzero(mean <= 16)
+    if not len(live):
+        return out
+    n, odds, left = size[live], chance[live] / (1 - chance[live]), uniform[live]
+    weight = (1 - chance[live]) ** n
+    k = 0
+    while len(live):
+        left = left - weight
+        over = (left > 0) & (k < n) & (k < 100)
+        out[live[~over]] = k
+        live, n, odds, left = live[over], n[over], odds[over], left[over]
+        weight = weight[over] * (n - k) / (k + 1) * odds
+        k += 1
+    return out
+
+
 def seat(counts, others, parent, discount, strength, key, sweep):
     """Seat ``counts`` customers per pair one by one: tables, and log of the normalisers.
 
@@ -181,8 +352,7 @@ def seat(counts, others, parent, discount, strength, key, sweep):
     c, p, key = counts[order], parent[order], key[order]
     base = strength + discount * others[order]
     tables, norm = np.ones(len(c)), np.zeros(len(c))
-    few = 32
-    for k in range(2, few + 1):
+    for k in range(2, FEW + 1):
         n = np.searchsorted(-c, -k, side="right")  # pairs with at least k customers
         if not n:
             break
@@ -190,38 +360,23 @@ def seat(counts, others, parent, discount, strength, key, sweep):
         joins = k - 1 - discount * tables[:n]
         norm[:n] += np.log(opens + joins)
         tables[:n] += _uniform(key[:n], sweep, k) * (opens + joins) < opens
-    # Beyond: draw when the next table opens, by bisection on the survival function.
-    at = np.full(len(c), few + 1.0)
-    live = np.flatnonzero(c > few)
-    step = few + 1
-    while len(live):
-        t, a, last = tables[live], at[live], c[live].astype(float)
-        opens = (base[live] + discount * t) * p[live]
-        shift = discount * t
-        limit = np.log(_uniform(key[live], sweep, step))
-
-        def survival(b, a=a, shift=shift, opens=opens):
-            return (
-                _log_gamma(b - shift)
-                - _log_gamma(a - 1 - shift)
-                - _log_gamma(b - shift + opens)
-                + _log_gamma(a - 1 - shift + opens)
-            )
-
-        low, high = a - 1, last + 1
-        while (high - low > 1).any():
-            middle = np.floor((low + high) / 2)
-            gone = survival(np.maximum(middle, a)) < limit
-            move = high - low > 1
-            high = np.where(move & gone, middle, high)
-            low = np.where(move & ~gone, middle, low)
-        opened = high <= last
-        stop = np.minimum(high, last)
-        x = opens - shift
-        norm[live] += _log_gamma(stop + x) - _log_gamma(a - 1 + x)
-        tables[live] += opened
-        at[live] = stop + 1
-        live = live[opened & (stop < last)]
+    # Beyond: a block of a sixteenth of the customers so far at a time.
+    at = float(FEW)
+    n = np.searchsorted(-c, -FEW - 1, side="right")
+    step = FEW + 1
+    while n:
+        t, size = tables[:n], np.minimum(max(1.0, at // 16), c[:n] - at)
+        opened = np.zeros(n)
+        for draws in (False, True):  # the first round estimates the block's middle
+            middle = t + opened / 2
+            opens = (base[:n] + discount * middle) * p[:n]
+            x = opens - discount * middle
+            chance = opens / (x + at + (size - 1) / 2)
+            opened = _binomial(size, chance, key[:n], sweep, step) if draws else size * chance
+        norm[:n] += _log_gamma(at + size + x) - _log_gamma(at + x)
+        tables[:n] += opened
+        at += max(1.0, at // 16)
+        n = np.searchsorted(-c[:n], -at, side="left")  # pairs with more than ``at`` customers
         step += 1
     out_tables, out_norm = np.empty(len(c)), np.empty(len(c))
     out_tables[order], out_norm[order] = tables, norm
@@ -258,14 +413,13 @@ def _gibbs(words, sizes, contexts, counts, model, samples: int):
 
 
 def _sample(model, samples: int):
-    """(w, pairs) to (w, c, root, ctxs, seats): averaged seatings of each word's pairs."""
+    """(w, c, ctxs, ns) to (w, c, root, ctxs, tables, seats): averaged seatings of each word's pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches, 50_000):
-            words = batch.column(0).to_numpy().view(np.uint64)
-            contexts, counts = batch.column(1), batch.column(2)
-            offsets = contexts.offsets.to_numpy()
-            sizes = np.diff(offsets)
+        for batch in _together(batches, lambda b: len(b.column(2).flatten())):
+            words = batch.column("w").to_numpy().view(np.uint64)
+            contexts, counts = batch.column("ctxs").combine_chunks(), batch.column("ns").combine_chunks()
+            sizes = np.diff(contexts.offsets.to_numpy())
             ctx = contexts.flatten().to_numpy().astype(np.int64)
             n = counts.flatten().to_numpy().astype(np.int64)
             tables = _gibbs(words, sizes, ctx, n, model, samples)
@@ -273,8 +427,8 @@ def _sample(model, samples: int):
             place = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array(np.bincount(word, n, len(words)).astype(np.int64)),
+                    batch.column("w").combine_chunks(),
+                    batch.column("c").combine_chunks(),
                     pa.array(np.bincount(word, tables, len(words))),
                     pa.ListArray.from_arrays(place, pa.array(ctx.astype(np.int32))),
                     pa.ListArray.from_arrays(place, pa.array(tables)),
@@ -286,6 +440,41 @@ def _sample(model, samples: int):
     return run
 
 
+def _together(batches: Iterator[pa.RecordBatch], pairs) -> Iterator[pa.Table]:
+    """Batches put together to about ``SAMPLED`` pairs, as each step of a sweep has its own cost."""
+    held, size = [], 0
+    for batch in rows_of(batches, 10_000):
+        held.append(batch)
+        size += pairs(batch)
+        if size > SAMPLED:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _seat_repeated(pairs: float, vocabulary: int, discount: float):
+    """(b, u, w, n, k, kw) to (b, u, w, n, e, o): tables beyond the first, mean and last sample.
+
+    ``k``, ``kw``: pairs of the previous word and of the word, a table each; ``pairs``: all.
+    """
+    fresh = (STRENGTH + discount * vocabulary) / (vocabulary + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, lambda b: b.num_rows):
+            u, w, n, k, kw = (batch.column(i).to_numpy() for i in range(1, 6))
+            parent = (np.maximum(kw - 1 - discount, 0) + fresh) / (STRENGTH + pairs)
+            key, total = _pair_keys(u, w), np.zeros(len(u))
+            for sweep in range(SAMPLES):
+                tables, _ = seat(n, k - 1, parent, discount, STRENGTH, key, sweep)
+                total += tables - 1
+            some = pa.array(total > 0)
+            columns = [*(batch.column(i).combine_chunks() for i in range(4)), pa.array(total / SAMPLES), pa.array((tables - 1).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([c.filter(some) for c in columns], ["b", "u", "w", "n", "e", "o"])
+
+    return run
+
+
 _MODEL = "w long, c long, root double, ctxs array<int>, tables array<double>, seats array<double>"
 
 
@@ -300,10 +489,12 @@ def _tables_by_context(model: DataFrame) -> np.ndarray:
 
 
 class Model:
-    """A trained model: its word table and the bounded statistics around it."""
+    """A trained model: its word table, its pairs, and the bounded statistics around them."""
 
-    def __init__(self, words, head, customers, tables, vocabulary, tokens, discount, root_discount):
+    def __init__(self, words, pairs, extras, deep, head, customers, tables, vocabulary, tokens, discount, root_discount):
         self.words, self.head = words, head
+        # Deep pairs by bucket, and the mean number of tables beyond the first of those that have any.
+        self.pairs, self.extras, self.deep = pairs, extras, deep
         self.vocabulary, self.tokens = vocabulary, tokens
         self.discount, self.root_discount = discount, root_discount
         self.scale = 1 / (STRENGTH + customers)
@@ -313,6 +504,22 @@ class Model:
         self.base_total = tokens + 0.5 * (vocabulary + 1)
 
 
+class Deep:
+    """Of deep restaurants: the discount, and scale and backoff of frequent previous words.
+
+    The last entry is that of a previous word without a restaurant. ``grade`` is the least class
+    of the counts of frequent pairs.
+    """
+
+    def __init__(self, customers: np.ndarray, tables: np.ndarray, discount: float, grade: int):
+        self.discount, self.grade = discount, grade
+        self.scale, self.backoff = self.of(customers, tables)
+
+    def of(self, customers: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = STRENGTH + customers
+        return 1 / total, (STRENGTH + self.discount * tables) / total
+
+
 def _discount(ones: int | None, twos: int | None) -> float:
     ones, twos = ones or 0, twos or 0
     return float(np.clip(ones / max(1, ones + 2 * twos), 0.1, 0.95))
@@ -327,29 +534,41 @@ def train(texts: DataFrame) -> Model:
     )
     sums = vocabulary.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     # The least count with at most HEAD words, from a histogram of at most 1,100 classes.
-    grade = F.floor(F.log2("c") * 16)
+    grade = F.floor(F.log2("c") * _GRADES)
     grades = vocabulary.groupBy(grade.alias("g")).agg(F.count("*").alias("n")).collect()
-    least, held = None, 0
-    for g, n in sorted(grades, reverse=True):
-        held += n
-        if held > HEAD:
-            break
-        least = g
+    least = _least_class(grades, HEAD)
     chosen = vocabulary.filter(grade >= least) if least is not None else vocabulary.limit(0)
     frequent = chosen.toPandas()
-    head = Head(frequent["w"].to_numpy().view(np.uint64), frequent["c"].to_numpy())
+    width = shuffle_width(spark)
+    head = Head(frequent["w"].to_numpy().view(np.uint64), frequent["c"].to_numpy(), sums[1], 4 * width)
     shared = spark.sparkContext.broadcast(head)
-    pairs = (
-        map_arrow(texts, _count_pairs(shared), "w long, ctx int, n long")
-        .groupBy("w", "ctx")
-        .agg(F.sum("n").alias("n"))
+    # Frames of finished shuffles are not kept, so that Spark can remove those files.
+    pairs = stage(
+        map_arrow(map_arrow(texts, _count_pairs(shared), _PAIRS).repartition(width, "b"), _merge, _PAIRS), "pairs"
     )
     # At most WIDTH entries a word.
+    is_other = F.col("ctx") == OTHER
+    counted = stage(
+        map_arrow(pairs, _over_pairs(shared, _entries, ["w", "ctx", "n", "c"]), "w long, ctx int, n long, c long")
+        .groupBy("w")
+        .agg(
+            F.sum("c").alias("c"),
+            F.sum(F.when(is_other, F.col("n"))).alias("k"),
+            F.sort_array(F.collect_list(F.when(~is_other, F.struct("ctx", "n")))).alias("p"),
+        ),
+        "entries",
+    )
+    extras, deep = _deep_restaurants(pairs, counted, shared, sums[0])
+    opened = extras.groupBy(F.col("w").alias("_w")).agg(F.sum("o").alias("o"))
+    customers = F.array((F.col("k") + F.coalesce("o", F.lit(0))).cast("long"))
     grouped = stage(
-        pairs.groupBy("w")
-        .agg(F.sort_array(F.collect_list(F.struct("ctx", "n"))).alias("p"))
-        .select("w", F.col("p.ctx").alias("ctxs"), F.col("p.n").alias("ns")),
-        "pairs",
+        counted.join(opened, F.col("w") == F.col("_w"), "left").select(
+            "w",
+            "c",
+            F.when(F.col("k").isNull(), F.col("p.ctx")).otherwise(F.concat(F.array(F.lit(OTHER)), "p.ctx")).alias("ctxs"),
+            F.when(F.col("k").isNull(), F.col("p.n")).otherwise(F.concat(customers, "p.n")).alias("ns"),
+        ),
+        "grouped",
     )
     flat = grouped.select(F.explode(F.arrays_zip("ctxs", "ns")).alias("p")).select("p.ctxs", "p.ns")
     customers, kinds, ones, twos = (np.zeros(WIDTH) for _ in range(4))
@@ -365,9 +584,51 @@ def train(texts: DataFrame) -> Model:
     tables = kinds
     for samples in (0, SAMPLES):
         model = (tables, tables.sum(), sums[0], discount, root_discount)
-        words = stage(map_arrow(grouped, _sample(model, samples), _MODEL), "model")
+        words = map_arrow(grouped, _sample(model, samples), _MODEL)
+        if samples:
+            words = stage(words, "model")
         tables = _tables_by_context(words)
-    return Model(words, head, customers, tables, sums[0], sums[1], discount, root_discount)
+    return Model(words, pairs, extras, deep, head, customers, tables, sums[0], sums[1], discount, root_discount)
+
+
+def _least_class(grades: list, limit: int) -> int | None:
+    """The least class of (class, number) that has at most ``limit`` members with those above."""
+    least, held = None, 0
+    for g, n in sorted(grades, reverse=True):
+        held += n
+        if held > limit:
+            break
+        least = g
+    return least
+
+
+def _deep_restaurants(pairs: DataFrame, counted: DataFrame, shared, vocabulary: int) -> tuple[DataFrame, Deep]:
+    """Tables beyond the first of each deep pair that has any, and statistics of the restaurants."""
+    spark, head = pairs.sparkSession, shared.value
+    said = map_arrow(pairs, _over_pairs(shared, _statistics, ["what", "x", "p", "q"]), "what int, x long, p long, q long")
+    rows = said.groupBy("what", "x").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toArrow().to_pydict()
+    what, x, p, q = (np.array(rows[c], np.int64) for c in ("what", "x", "p", "q"))
+    customers, kinds = np.zeros(len(head.hashes) + 1), np.zeros(len(head.hashes) + 1)
+    customers[x[what == _OWN]], kinds[x[what == _OWN]] = p[what == _OWN], q[what == _OWN]
+    discount = _discount(int(p[what == _SMALL].sum()), int(q[what == _SMALL].sum()))
+    grade = _least_class(list(zip(x[what == _GRADE].tolist(), p[what == _GRADE].tolist(), strict=True)), FREQUENT)
+    all_pairs = counted.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+    own_kinds = spark.sparkContext.broadcast(kinds)
+    repeated = map_arrow(
+        pairs, _over_pairs(shared, _repeated(own_kinds), ["b", "u", "w", "n", "k"]), "b int, u long, w long, n long, k long"
+    )
+    known = counted.select(F.col("w").alias("_w"), F.col("k").alias("kw"))
+    joined = repeated.join(known, F.col("w") == F.col("_w")).select("b", "u", "w", "n", "k", "kw")
+    extras = stage(
+        map_arrow(
+            joined, _seat_repeated(float(all_pairs), vocabulary, discount), "b int, u long, w long, n long, e double, o long"
+        ),
+        "extras",
+    )
+    tables = kinds.copy()
+    for u, e in extras.filter("u >= 0").groupBy("u").agg(F.sum("e")).collect():
+        tables[u] += e
+    return extras, Deep(customers, tables, discount, 2**31 if grade is None else grade)
 
 
 # --- scoring ----------------------------------------------------------------------------
@@ -376,98 +637,202 @@ def train(texts: DataFrame) -> Model:
 def _head_scores(model: Model) -> np.ndarray:
     """log10 probability of each frequent word in each context, at most HEAD rows."""
     head = model.head
-    least = int(head.counts.min()) if len(head.counts) else 0
-    rows = model.words.filter(F.col("c") >= least).select("w", "root", "ctxs", "seats").toArrow()
+    rows = model.words.filter("w >= 0").select("w", "root", "ctxs", "seats").toArrow()
     scores = np.empty((len(head.hashes), WIDTH), np.float32)
-    words = rows.column("w").to_numpy().view(np.uint64)
-    at = head.places(words)
+    at = rows.column("w").to_numpy()
     root = (rows.column("root").to_numpy() - model.root_discount) / model.root_total
     ctxs, seats = rows.column("ctxs").combine_chunks(), rows.column("seats").combine_chunks()
     offsets, ctx, seat_ = ctxs.offsets.to_numpy(), ctxs.flatten().to_numpy(), seats.flatten().to_numpy()
-    for i in range(len(words)):
-        if at[i] >= 0:
-            p = model.backoff * root[i]
-            own = slice(offsets[i], offsets[i + 1])
-            p[ctx[own]] += seat_[own] * model.scale[ctx[own]]
-            scores[at[i]] = np.log10(p)
+    for i in range(len(at)):
+        p = model.backoff * root[i]
+        own = slice(offsets[i], offsets[i + 1])
+        p[ctx[own]] += seat_[own] * model.scale[ctx[own]]
+        scores[at[i]] = np.log10(p)
     return scores
 
 
+def _frequent_scores(model: Model, shared, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the frequent deep pairs, and their log10 probabilities, at most FREQUENT."""
+    deep = model.deep
+    rows = map_arrow(
+        model.pairs, _over_pairs(shared, _frequent(deep.grade), ["u", "w", "n"]), "u long, w long, n long"
+    ).toArrow()
+    u, w, n = (rows.column(c).to_numpy() for c in ("u", "w", "n"))
+    keys = shared.value.pair(u, w)
+    order = np.argsort(keys)
+    u, w, n, keys = u[order], w[order], n[order].astype(np.float64), keys[order]
+    more = model.extras.filter((F.col("u") >= 0) & (F.col("w") >= 0) & (F.floor(F.log2("n") * _GRADES) >= deep.grade))
+    more = more.select("u", "w", "e").toArrow()
+    tables = np.ones(len(keys))
+    asked = shared.value.pair(more.column("u").to_numpy(), more.column("w").to_numpy())
+    tables[np.searchsorted(keys, asked)] += more.column("e").to_numpy()
+    p = (n - deep.discount * tables) * deep.scale[u] + deep.backoff[u] * 10.0 ** scores[w, OTHER]
+    return keys, np.log10(p).astype(np.float32)
+
+
+_SUMS = ["rid", "doc_id", "n_tokens", "n_known", "base", "score"]
+_ASKED = (
+    "b int, u array<long>, w array<long>, rid array<long>, doc_id array<long>, n_tokens array<long>, "
+    "n_known array<long>, base array<double>, score array<double>, first long, at array<short>"
+)
+
+
 def _score(shared, base_total: float):
-    """(rid, doc_id, text) to one row per text with sums over frequent words, and one per
-    (text, context, other word)."""
-    names = ["rid", "w", "ctx", "n", "doc_id", "n_tokens", "n_known", "base", "score"]
+    """(rid, doc_id, text) to packed rows: per bucket the tokens (u, w, first + at: rid) that are
+    not scored here, and per batch the sums of each text over those that are."""
+    names = ["b", "u", "w", *_SUMS, "first", "at"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, scores = shared.value
+        head, scores, keys, key_scores = shared.value
         base = np.log10((head.counts + 0.5) / base_total)
         for batch in rows_of(batches, 1_000):
-            if not batch.num_rows:
-                continue
-            tokens, starts, text = _joined(batch.column(2).to_pylist())
-            places = head.places(tokens)
-            contexts = head.contexts(places, starts)
-            rids = batch.column(0).to_numpy()
-            rows = batch.num_rows
-            common = places >= 0
-            at, where = places[common], text[common]
+            tokens, previous, text = _joined(batch.column(2), head)
+            contexts = head.contexts(previous)
+            rids, rows = batch.column(0).to_numpy(), batch.num_rows
+            common = tokens >= 0
+            at, where = tokens[common], text[common]
+            total = np.bincount(where, minlength=rows)
+            sums = [np.bincount(text, minlength=rows), total, np.bincount(where, base[at], rows)]
+            known = common & (contexts != OTHER)
+            value = np.zeros(len(tokens))
+            value[known] = scores[tokens[known], contexts[known]]
+            both = common & (contexts == OTHER) & (previous >= 0)
+            place = _found(keys, head.pair(previous[both], tokens[both]))
+            value[np.flatnonzero(both)[place >= 0]] = key_scores[place[place >= 0]]
+            known[both] = place >= 0
+            sums.append(np.bincount(text, value, rows))
             own = [
-                np.bincount(text, minlength=rows),
-                np.bincount(where, minlength=rows),
-                np.bincount(where, base[at], rows),
-                np.bincount(where, scores[at, contexts[common]], rows),
+                batch.column(0),
+                batch.column(1),
+                *map(pa.array, (sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2].astype(float), sums[3].astype(float))),
             ]
-            # Rows of texts travel with the words; a key of their own spreads them.
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(spread(rids.view(np.uint64)).view(np.int64)),
-                    pa.array(np.full(rows, -1, np.int32)),
-                    pa.array(np.zeros(rows, np.int32)),
-                    batch.column(1),
-                    pa.array(own[0]),
-                    pa.array(own[1]),
-                    pa.array(own[2].astype(np.float64)),
-                    pa.array(own[3].astype(np.float64)),
-                ],
-                names,
-            )
-            rare = ~common
-            size = int(rare.sum())
-            nothing = [pa.nulls(size, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            whole = pa.array([0, rows], pa.int32())
+            spread_by = int(spread(rids[:1].view(np.uint64))[0] % np.uint64(head.count))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rids[text[rare]]),
-                    pa.array(tokens[rare].view(np.int64)),
-                    pa.array(contexts[rare].astype(np.int32)),
-                    pa.array(np.ones(size, np.int32)),
-                    *nothing,
+                    pa.array([spread_by], pa.int32()),
+                    *[pa.array([None], pa.list_(pa.int64()))] * 2,
+                    *[pa.ListArray.from_arrays(whole, c) for c in own],
+                    pa.nulls(1, pa.int64()),
+                    pa.nulls(1, pa.list_(pa.int16())),
                 ],
                 names,
             )
+            left = ~known
+            if left.any():
+                u, w = previous[left], tokens[left]
+                asked = _packed(head.buckets(u, w), [u, w, (rids - rids[0])[text[left]]], ["u", "w", "at"])
+                size = asked.num_rows
+                nothing = [pa.nulls(size, pa.list_(pa.int64()))] * 4 + [pa.nulls(size, pa.list_(pa.float64()))] * 2
+                first = pa.array(np.full(size, rids[0]))
+                at = asked.column(3).cast(pa.list_(pa.int16()))  # fails if it does not fit
+                yield pa.RecordBatch.from_arrays([*asked.columns[:3], *nothing, first, at], names)
 
     return score
 
 
 _PARTS = (
-    "rid long, w long, ctx int, n int, doc_id long, n_tokens long, n_known long, base double, score double"
+    "rid long, w long, ctx int, a float, f float, doc_id long, n_tokens long, n_known long, base double, score double"
 )
 
 
+def _look_up(shared, deep: Deep):
+    """Packed rows of tokens, sums, pairs (n) and extra tables (e) to rows of two kinds.
+
+    Sums of texts (ctx -1, or -2 with the score in a; w is the rid, which no other word has), and other words (w) in a context, whose
+    probability is a + f * that of the context's shallow restaurant.
+    """
+    names = [x.split()[0] for x in _PARTS.split(", ")]
+
+    def rows(rid, size, **given):
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float32(), pa.float32(), *[pa.int64()] * 3, *[pa.float64()] * 2]
+        columns = [given.get(c) for c in names[1:]]
+        arrays = [pa.nulls(size, k) if c is None else c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(rid, kinds[0]), *arrays], names)
+
+    def sums_of(batch):
+        for i in range(batch.num_rows):
+            if batch.column(6)[i].is_valid:
+                rid, *values = (batch.column(k)[i].values for k in range(3, 9))
+                own = rid.to_numpy()
+                given = dict(zip(_SUMS[1:], values, strict=True))
+                yield rows(own, len(own), w=own, ctx=np.full(len(own), -1), **given)
+
+    def bucket(asked, pairs, extras, head, scores, totals):
+        u, w, rid = map(np.concatenate, zip(*asked, strict=True))
+        contexts = head.contexts(u)
+        seats, scale, backoff = np.zeros(len(u)), np.ones(len(u)), np.ones(len(u))
+        inside = contexts == OTHER
+        scale[inside], backoff[inside] = deep.scale[head.places(u[inside])], deep.backoff[head.places(u[inside])]
+        if pairs:
+            pu, pw, pn = map(np.concatenate, zip(*pairs, strict=True))
+            keys = _pair_keys(pu, pw)
+            order = np.argsort(keys)
+            pu, pn, keys = pu[order], pn[order], keys[order]
+            tables = np.ones(len(keys))
+            for eu, ew, e in extras:
+                tables[np.searchsorted(keys, _pair_keys(eu, ew))] += e
+            place = _found(keys, _pair_keys(u, w))
+            found = inside & (place >= 0)
+            seats[found] = pn[place[found]] - deep.discount * tables[place[found]]
+            # Rare previous words have all their pairs here.
+            rare = (pu < 0) & (pu != BEFORE)
+            names_, own = np.unique(pu[rare], return_inverse=True)
+            by_name = deep.of(np.bincount(own, pn[rare], len(names_)), np.bincount(own, tables[rare], len(names_)))
+            place = _found(names_, u)
+            there = inside & (u < 0) & (place >= 0)
+            scale[there], backoff[there] = by_name[0][place[there]], by_name[1][place[there]]
+        seats *= scale
+        common = w >= 0
+        values = np.log10(seats[common] + backoff[common] * 10.0 ** scores[w[common], contexts[common]])
+        texts, place = np.unique(rid[common], return_inverse=True)
+        totals.append((texts, np.bincount(place, values, len(texts))))
+        other = ~common
+        if other.any():
+            yield rows(rid[other], int(other.sum()), w=w[other], ctx=contexts[other], a=seats[other], f=backoff[other])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, scores, *_ = shared.value
+        asked, pairs, extras, totals = defaultdict(list), defaultdict(list), defaultdict(list), []
+        for batch in batches:
+            yield from sums_of(batch)
+            tokens = batch.filter(batch.column(9).is_valid()).select([0, 1, 2, 10, 9])
+            for (b, u, w, at), first in zip(_unpacked(tokens, 3), tokens.column(4).to_pylist(), strict=True):
+                asked[b].append((u, w, first + at.astype(np.int64)))
+            for held, k in ((pairs, 11), (extras, 12)):
+                some = batch.filter(batch.column(k).is_valid()).select([0, 1, 2, k])
+                for b, *columns in _unpacked(some, 3):
+                    held[b].append(columns)
+        for b in list(asked):
+            yield from bucket(asked.pop(b), pairs.pop(b, []), extras.pop(b, []), head, scores, totals)
+        if totals:
+            texts, place = np.unique(np.concatenate([t for t, _ in totals]), return_inverse=True)
+            score = np.bincount(place, np.concatenate([v for _, v in totals]), len(texts))
+            for start in range(0, len(texts), 100_000):
+                part = slice(start, start + 100_000)
+                own = texts[part]
+                yield rows(own, len(own), w=own, ctx=np.full(len(own), -2), a=score[part])
+
+    return run
+
+
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """Rows (doc_id, n_tokens, n_known, train_tokens, base_score, score), one per row.
 
     Scores are log10 probabilities of the whole text, end included. A null text is empty.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.head, _head_scores(model)))
+    spark, context = docs.sparkSession, docs.sparkSession.sparkContext
+    scores = _head_scores(model)
+    shared = context.broadcast((model.head, scores, *_frequent_scores(model, context.broadcast(model.head), scores)))
     numbered = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    parts = map_arrow(numbered, _score(shared, float(model.base_total)), _PARTS)
-    least = int(model.head.counts.min()) if len(model.head.counts) else 0
-    rare = model.words.filter(F.col("c") < least) if least else model.words
-    rare = rare.select("w", "c", "root", "ctxs", "seats")
+    asked = map_arrow(numbered, _score(shared, float(model.base_total)), _ASKED)
+    tables = model.extras.groupBy("b").agg(F.collect_list(F.struct("u", "w", "e")).alias("p"))
+    tables = tables.select("b", F.col("p.u").alias("u"), F.col("p.w").alias("w"), F.col("p.e").alias("e"))
+    together = asked.unionByName(model.pairs, True).unionByName(tables, True)
+    parts = map_arrow(together.repartition(shuffle_width(spark), "b"), _look_up(shared, model.deep), _PARTS)
+    rare = model.words.filter("w < 0").select("w", "c", "root", "ctxs", "seats")
     joined = parts.join(rare, "w", "left")
 
     def by_context(values: np.ndarray):
@@ -478,18 +843,17 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     root = F.when(
         F.col("root").isNotNull(), (F.col("root") - model.root_discount) / float(model.root_total)
     ).otherwise(float(model.root_new))
-    probability = F.coalesce(seats, F.lit(0.0)) + by_context(model.backoff) * root
+    shallow = F.coalesce(seats, F.lit(0.0)) + by_context(model.backoff) * root
+    probability = F.col("a") + F.col("f") * shallow
     is_word = F.col("ctx") >= 0
     found = F.coalesce("c", F.lit(0))
     valued = joined.select(
         "rid",
         "doc_id",
         "n_tokens",
-        F.when(is_word, (found > 0).cast("long") * F.col("n")).otherwise(F.col("n_known")).alias("known"),
-        F.when(is_word, F.col("n") * F.log10((found + 0.5) / float(model.base_total)))
-        .otherwise(F.col("base"))
-        .alias("base"),
-        F.when(is_word, F.col("n") * F.log10(probability)).otherwise(F.col("score")).alias("score"),
+        F.when(is_word, (found > 0).cast("long")).otherwise(F.col("n_known")).alias("known"),
+        F.when(is_word, F.log10((found + 0.5) / float(model.base_total))).otherwise(F.col("base")).alias("base"),
+        F.when(is_word, F.log10(probability)).when(F.col("ctx") == -2, F.col("a")).otherwise(F.col("score")).alias("score"),
     )
     return valued.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"),

@@ -251,6 +251,41 @@ def test_seating_of_many_customers_is_like_one_by_one():
         assert tables.mean() == pytest.approx(plain.mean(), rel=0.03)
 
 
+def test_pitman_yor_has_a_restaurant_for_every_previous_word(docs):
+    keys = 90
+    texts = [f"key{k} val{k}" for k in range(keys) for _ in range(4)] + [f"key{k}" for k in range(keys)]
+    free = (i for i in range(10**6) if zlib.crc32(str(i).encode()) % 5 != 1)
+    held = (i for i in range(10**6) if zlib.crc32(str(i).encode()) % 5 == 1)
+    right, wrong = {next(held): k for k in range(keys)}, {next(held): k for k in range(keys)}
+    rows = [(next(free), t) for t in texts]
+    rows += [(i, f"key{k} val{k}") for i, k in right.items()]
+    rows += [(i, f"key{k} val{(k + 1) % keys}") for i, k in wrong.items()]
+    score = {r["doc_id"]: r["score"] for r in pitmanyor.score_documents(docs(*rows)).collect()}
+    by_key = dict(zip(right, wrong, strict=True))
+    assert all(score[i] > score[by_key[i]] + 0.5 for i in right)
+
+
+def test_pitman_yor_sums_to_one_after_a_rare_word(docs, spark, monkeypatch):
+    texts = [f"{prose(random.randrange(5, 40))} only{i % 40} {prose(3)} only{i % 40} the" for i in range(120)]
+    words = sorted({w for t in texts for w in t.lower().split()})
+    for limit in (pitmanyor.HEAD, 80):  # with rare words, whose pairs are looked up, too
+        monkeypatch.setattr(pitmanyor, "HEAD", limit)
+        monkeypatch.setattr(pitmanyor, "FREQUENT", limit // 2)
+        model = pitmanyor.train(docs(*enumerate(texts)))
+        start, rows = pitmanyor.START, {}
+        for r in model.words.collect():
+            seats = dict(zip(r["ctxs"], r["seats"], strict=True)).get(start, 0.0) * model.scale[start]
+            rows[r["w"]] = seats + model.backoff[start] * (r["root"] - model.root_discount) / model.root_total
+        ids = model.head.ids(common.word_hashes([w.encode() for w in words])).tolist()
+        first = {w: rows[i] for w, i in zip(words, ids, strict=True)} | {"neverseen": model.backoff[start] * model.root_new}
+        asked = [*first, *[f"only7 {w}" for w in first]]
+        found = pitmanyor.score_texts(docs(*enumerate(asked)), model).collect()
+        p = {asked[r["doc_id"]]: 10 ** r["score"] for r in found}
+        total = p["only7"] / first["only7"]
+        total += sum(p[f"only7 {w}"] / p[w] * first[w] / first["only7"] for w in first)
+        assert total == pytest.approx(1, abs=1e-4)
+
+
 def test_substrings_against_all_windows(docs):
     passage = prose(50)
     rows = [(i, f"{prose(20)} {passage} {prose(i % 40)}") for i in range(40)]
