@@ -25,8 +25,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from revlens.llm.common import map_arrow, rows_of, table
+from revlens.llm.common import map_arrow, rows_of, slices_of, table
 
 # Letters and numbers that Unicode 16 added to the 15.1 known to this Python, as
 # the public tokenizer library splits by Unicode 16; and capitals of newer versions that it
@@ -346,6 +347,33 @@ def decode_documents(encoded: DataFrame, path: str | None = None, keep: bool = F
     return decoded if keep else decoded.select("doc_id", "decoded")
 
 
+def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``docs`` without text, with n_tokens, ids and decoded_sha256 (of the ids' decoding).
+
+    As ``encode_documents`` and ``decode_documents`` one after the other, but a task has one
+    Python worker for both, a megabyte of texts at a time, and decoded texts stay in it.
+    """
+    path, fields = path or default_vocabulary(), docs.schema.fields
+    at = [f.name for f in fields].index("text")
+    told = [("n_tokens", T.LongType()), ("ids", T.BinaryType()), ("decoded_sha256", T.StringType())]
+    schema = T.StructType([*fields[:at], *fields[at + 1 :], *[T.StructField(*x) for x in told]])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = codec(path)
+        for batch in slices_of(batches, lambda b: b.column(at), size=1_000_000):
+            counts, ids, decoded = [], [], []
+            for text in batch.column(at).to_pylist():
+                ids.append(code.encode(text))
+                counts.append(len(ids[-1]) // 4)
+                decoded.append(hashlib.sha256(code.decode(ids[-1]).encode()).hexdigest())
+            kept = [c for i, c in enumerate(batch.columns) if i != at]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], schema.names
+            )
+
+    return map_arrow(docs, encode, schema)
+
+
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per document, encoded and then decoded.
 

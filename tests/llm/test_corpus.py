@@ -476,3 +476,19 @@ def test_pipeline_against_plain_stages(spark, docs, folder):
         text = code.decode(bytes(r["ids"]))
         assert "q9" not in text and r["n_tokens"] == len(r["ids"]) // 4
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_encode_stage_has_one_python_worker_a_task(spark, docs, capsys):
+    import corpus_pipeline
+
+    df = docs(*[(i, t, "en", "web") for i, t in enumerate([None, "", "Ein Wörtchen", "a b <|endoftext|> c" * 9])], *ODD)
+    out = corpus_pipeline.encode(spark, df, "")
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    encoded = bpe.encode_documents(df)
+    expected = bpe.decode_documents(encoded, keep=True).select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+    assert out.columns == expected.columns and out.dtypes == expected.dtypes
+    assert sorted(map(str, out.collect())) == sorted(map(str, expected.collect()))
