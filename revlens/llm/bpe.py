@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from revlens.llm.common import map_arrow, rows_of, slices_of, table
+from revlens.llm.common import map_arrow, release_memory, rows_of, slices_of, table
 
 # Letters and numbers that Unicode 16 added to the 15.1 known to this Python, as
 # the public tokenizer library splits by Unicode 16; and capitals of newer versions that it
@@ -370,6 +370,7 @@ def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], schema.names
             )
+        release_memory()
 
     return map_arrow(docs, encode, schema)
 

@@ -177,3 +177,9 @@ def map_arrow(
 ) -> DataFrame:
     """``mapInArrow`` under one name, for the operators that work on Arrow batches."""
     return df.mapInArrow(step, schema)
+
+
+def release_memory() -> None:
+    """Gives what Arrow and the C library keep of freed memory back, as a Python process outlives its task."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import fold, map_arrow, running_total, slices_of, stage, table
+from revlens.llm.common import fold, map_arrow, release_memory, running_total, slices_of, stage, table
 
 ORDER = 3
 # Runs of four bytes kept in a table of languages, and byte pairs that can start or end one.
@@ -324,6 +324,7 @@ def predict(docs: DataFrame, trees: Forest | None) -> DataFrame:
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
                 ["row", "lang", "share", "bits"],
             )
+        release_memory()
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     told = [T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType()), T.StructField("bits", T.DoubleType())]

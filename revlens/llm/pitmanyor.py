@@ -17,10 +17,11 @@ one epoch, which starts from one table a pair. Predictive probabilities are aver
 samples.
 
 All statistics cover the whole training corpus. Counts of pairs are spread by the previous word
-over buckets, whose number follows the session's shuffle width; a frequent one takes several.
-Frequent words (at most ``HEAD``) and pairs (at most ``FREQUENT``) are scored where the texts
-lie, from tables of bounded size. Other pairs are looked up in their bucket, and other words are
-joined with the model by word, which no frequent word can then make uneven.
+over buckets, whose number follows the session's shuffle width; a frequent one takes several, and
+its pairs with other than frequent words are spread by the word. Frequent words (at most ``HEAD``)
+and pairs (at most ``FREQUENT``) are scored where the texts lie, from tables of bounded size. Other
+pairs are looked up in their bucket, which also holds the model's entries of other words; only
+other words after other words are joined with the model by word.
 """
 
 from __future__ import annotations
@@ -140,10 +141,16 @@ class Head:
         return np.where(previous == BEFORE, START, self.context[self.places(previous)])
 
     def buckets(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Bucket of each pair (previous word, word). All pairs of a rare previous word share one."""
+        """Bucket of each pair (previous word, word). All pairs of a rare previous word share one,
+        as do the pairs of a rare word with other previous words."""
         shares = np.where(u == BEFORE, np.uint64(self.count), self.shares[self.places(u)])
         part = spread(w.view(np.uint64)) % shares
-        return (spread(u.view(np.uint64) + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.count)).astype(np.int32)
+        key = u.view(np.uint64) + part * np.uint64(0x9E3779B97F4A7C15)
+        return (spread(np.where(self.by_word(u, w), w.view(np.uint64), key)) % np.uint64(self.count)).astype(np.int32)
+
+    def by_word(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Whether the word, not the previous one, chooses a pair's bucket."""
+        return (w < 0) & ((u >= 0) | (u == BEFORE))
 
 
 def _joined(texts: pa.Array, head: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -736,10 +743,66 @@ _PARTS = (
 )
 
 
-def _look_up(shared, deep: Deep):
-    """Packed rows of tokens, sums, pairs (n) and extra tables (e) to rows of two kinds.
+_WORDS = "b int, x array<long>, c array<long>, root array<double>, many array<int>, ctx array<int>, seats array<double>"
+
+
+def _pack_words(shared):
+    """The model's rows of other words to packed rows: per bucket the words (x), the number of
+    restaurants of each (many), and their seats one after another."""
 
-    Sums of texts (ctx -1, or -2 with the score in a; w is the rid, which no other word has), and other words (w) in a context, whose
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = shared.value
+        for batch in _together(batches, lambda b: b.num_rows):
+            w = batch.column("w").to_numpy()
+            b = head.buckets(np.full(len(w), BEFORE), w)
+            order = np.lexsort((w, b))
+            b, rows = b[order], batch.take(pa.array(order))
+            ctxs, seats = rows.column("ctxs").combine_chunks(), rows.column("seats").combine_chunks()
+            many = pc.list_value_length(ctxs).to_numpy()
+            starts = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
+            place, inner = pa.array(starts, pa.int32()), pa.array(np.append(0, np.cumsum(many))[starts], pa.int32())
+            own = [*(rows.column(c).combine_chunks() for c in ("w", "c", "root")), pa.array(many)]
+            columns = [*(pa.ListArray.from_arrays(place, c) for c in own), *(pa.ListArray.from_arrays(inner, c.flatten()) for c in (ctxs, seats))]
+            yield pa.RecordBatch.from_arrays([pa.array(b[starts[:-1]]), *columns], ["b", "x", "c", "root", "many", "ctx", "seats"])
+
+    return pack
+
+
+class Shallow:
+    """What the probabilities of other words in the shallow restaurants need beside their entries."""
+
+    def __init__(self, model: Model):
+        self.scale, self.backoff = model.scale, model.backoff
+        self.root_discount, self.root_total, self.root_new = model.root_discount, model.root_total, model.root_new
+        self.base_total = model.base_total
+
+    def of(self, entries: list, w: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each word in its context, and its tokens, from the entries of a bucket."""
+        x, c, root, many, ctx, seats = map(np.concatenate, zip(*entries, strict=True))
+        order = np.argsort(x)
+        rank = np.empty(len(x), np.int64)
+        rank[order] = np.arange(len(x))
+        keys = np.repeat(rank, many) * WIDTH + ctx
+        by_key = np.argsort(keys)
+        keys, seats = keys[by_key], seats[by_key]
+        place = _found(x[order], w)
+        there = place >= 0
+        tokens, from_root = np.zeros(len(w), np.int64), np.full(len(w), float(self.root_new))
+        tokens[there] = c[order][place[there]]
+        from_root[there] = (root[order][place[there]] - self.root_discount) / self.root_total
+        at = np.where(there, _found(keys, place * WIDTH + contexts), -1)
+        own = np.zeros(len(w))
+        own[at >= 0] = seats[at[at >= 0]]
+        return own * self.scale[contexts] + self.backoff[contexts] * from_root, tokens
+
+
+_NO_WORDS = tuple(np.empty(0, kind) for kind in (np.int64, np.int64, float, np.int32, np.int32, float))
+
+
+def _look_up(shared, deep: Deep, shallow: Shallow):
+    """Packed rows of tokens, sums, pairs (n), extra tables (e) and words (x) to rows of two kinds.
+
+    Sums of texts (ctx -1; w is the rid, which no other word has), and other words (w) after other words, whose
     probability is a + f * that of the context's shallow restaurant.
     """
     names = [x.split()[0] for x in _PARTS.split(", ")]
@@ -758,7 +821,7 @@ def _look_up(shared, deep: Deep):
                 given = dict(zip(_SUMS[1:], values, strict=True))
                 yield rows(own, len(own), w=own, ctx=np.full(len(own), -1), **given)
 
-    def bucket(asked, pairs, extras, head, scores, totals):
+    def bucket(asked, pairs, extras, words, head, scores, totals):
         u, w, rid = map(np.concatenate, zip(*asked, strict=True))
         contexts = head.contexts(u)
         seats, scale, backoff = np.zeros(len(u)), np.ones(len(u)), np.ones(len(u))
@@ -783,35 +846,41 @@ def _look_up(shared, deep: Deep):
             there = inside & (u < 0) & (place >= 0)
             scale[there], backoff[there] = by_name[0][place[there]], by_name[1][place[there]]
         seats *= scale
-        common = w >= 0
-        values = np.log10(seats[common] + backoff[common] * 10.0 ** scores[w[common], contexts[common]])
-        texts, place = np.unique(rid[common], return_inverse=True)
-        totals.append((texts, np.bincount(place, values, len(texts))))
-        other = ~common
+        common, here = w >= 0, head.by_word(u, w)
+        values, base, known = np.zeros(len(w)), np.zeros(len(w)), np.zeros(len(w), np.int64)
+        values[common] = 10.0 ** scores[w[common], contexts[common]]
+        values[here], tokens = shallow.of(words or [_NO_WORDS], w[here], contexts[here])
+        base[here], known[here] = np.log10((tokens + 0.5) / shallow.base_total), tokens > 0
+        told = common | here
+        values = np.log10(seats[told] + backoff[told] * values[told])
+        texts, place = np.unique(rid[told], return_inverse=True)
+        totals.append((texts, *(np.bincount(place, v, len(texts)) for v in (known[told], base[told], values))))
+        other = ~told
         if other.any():
             yield rows(rid[other], int(other.sum()), w=w[other], ctx=contexts[other], a=seats[other], f=backoff[other])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, scores, *_ = shared.value
-        asked, pairs, extras, totals = defaultdict(list), defaultdict(list), defaultdict(list), []
+        asked, pairs, extras, words, totals = *(defaultdict(list) for _ in range(4)), []
         for batch in batches:
             yield from sums_of(batch)
             tokens = batch.filter(batch.column(9).is_valid()).select([0, 1, 2, 10, 9])
             for (b, u, w, at), first in zip(_unpacked(tokens, 3), tokens.column(4).to_pylist(), strict=True):
                 asked[b].append((u, w, first + at.astype(np.int64)))
-            for held, k in ((pairs, 11), (extras, 12)):
-                some = batch.filter(batch.column(k).is_valid()).select([0, 1, 2, k])
-                for b, *columns in _unpacked(some, 3):
-                    held[b].append(columns)
+            for held, first, columns in ((pairs, 11, [1, 2, 11]), (extras, 12, [1, 2, 12]), (words, 13, [*range(13, 19)])):
+                some = batch.filter(batch.column(first).is_valid()).select([0, *columns])
+                for b, *values in _unpacked(some, len(columns)):
+                    held[b].append(values)
         for b in list(asked):
-            yield from bucket(asked.pop(b), pairs.pop(b, []), extras.pop(b, []), head, scores, totals)
+            yield from bucket(asked.pop(b), pairs.pop(b, []), extras.pop(b, []), words.pop(b, []), head, scores, totals)
         if totals:
-            texts, place = np.unique(np.concatenate([t for t, _ in totals]), return_inverse=True)
-            score = np.bincount(place, np.concatenate([v for _, v in totals]), len(texts))
+            texts, place = np.unique(np.concatenate([t for t, *_ in totals]), return_inverse=True)
+            known, base, score = (np.bincount(place, np.concatenate([t[k] for t in totals]), len(texts)) for k in (1, 2, 3))
             for start in range(0, len(texts), 100_000):
                 part = slice(start, start + 100_000)
                 own = texts[part]
-                yield rows(own, len(own), w=own, ctx=np.full(len(own), -2), a=score[part])
+                given = {"n_known": known[part].astype(np.int64), "base": base[part], "score": score[part]}
+                yield rows(own, len(own), w=own, ctx=np.full(len(own), -1), **given)
 
     return run
 
@@ -830,9 +899,11 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     asked = map_arrow(numbered, _score(shared, float(model.base_total)), _ASKED)
     tables = model.extras.groupBy("b").agg(F.collect_list(F.struct("u", "w", "e")).alias("p"))
     tables = tables.select("b", F.col("p.u").alias("u"), F.col("p.w").alias("w"), F.col("p.e").alias("e"))
-    together = asked.unionByName(model.pairs, True).unionByName(tables, True)
-    parts = map_arrow(together.repartition(shuffle_width(spark), "b"), _look_up(shared, model.deep), _PARTS)
     rare = model.words.filter("w < 0").select("w", "c", "root", "ctxs", "seats")
+    words = map_arrow(rare, _pack_words(context.broadcast(model.head)), _WORDS)
+    together = asked.unionByName(model.pairs, True).unionByName(tables, True).unionByName(words, True)
+    look_up = _look_up(shared, model.deep, Shallow(model))
+    parts = map_arrow(together.repartition(shuffle_width(spark), "b"), look_up, _PARTS)
     joined = parts.join(rare, "w", "left")
 
     def by_context(values: np.ndarray):
@@ -853,7 +924,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
         "n_tokens",
         F.when(is_word, (found > 0).cast("long")).otherwise(F.col("n_known")).alias("known"),
         F.when(is_word, F.log10((found + 0.5) / float(model.base_total))).otherwise(F.col("base")).alias("base"),
-        F.when(is_word, F.log10(probability)).when(F.col("ctx") == -2, F.col("a")).otherwise(F.col("score")).alias("score"),
+        F.when(is_word, F.log10(probability)).otherwise(F.col("score")).alias("score"),
     )
     return valued.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"),

@@ -286,6 +286,18 @@ def test_pitman_yor_sums_to_one_after_a_rare_word(docs, spark, monkeypatch):
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_rare_words_are_scored_in_the_bucket_of_their_pairs():
+    hashes = common.word_hashes([b"", *(f"w{i}".encode() for i in range(50))])
+    head = pitmanyor.Head(hashes, np.full(51, 1000), 51_000, 400)
+    rare = head.ids(common.word_hashes([f"rare{i}".encode() for i in range(20)]))
+    before = np.append(pitmanyor.BEFORE, np.arange(51))
+    for w in rare:  # where the model's entry of the word is sent, too
+        assert len(set(head.buckets(before, np.full(52, w)).tolist())) == 1
+    for u in rare:  # all pairs of a rare previous word, which make up its restaurant
+        assert len(set(head.buckets(np.full(71, u), np.append(np.arange(51), rare)).tolist())) == 1
+    assert len(set(head.buckets(np.zeros(20, np.int64), rare).tolist())) > 5
+
+
 def test_substrings_against_all_windows(docs):
     passage = prose(50)
     rows = [(i, f"{prose(20)} {passage} {prose(i % 40)}") for i in range(40)]
