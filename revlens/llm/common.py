@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revlens.session import scratch_path
+from revlens.sinks.tables import remove_folder
 
 # Words of a text: runs of anything but ASCII blanks. On UTF-8 bytes this is bytes.split().
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +35,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Remove the folders of staged frames that nothing reads any more."""
+    for df in staged:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if folder.split("/")[-2] != "revlens":
+                raise ValueError(f"not a staged folder: {folder}")
+            remove_folder(df.sparkSession, folder)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

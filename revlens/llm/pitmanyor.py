@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import fold, map_arrow, rows_of, shuffle_width, spread, stage, table, word_hashes
+from revlens.llm.common import discard, fold, map_arrow, rows_of, shuffle_width, spread, stage, table, word_hashes
 
 CONTEXTS = 62
 OTHER, START = 0, CONTEXTS + 1
@@ -595,6 +595,7 @@ def train(texts: DataFrame) -> Model:
         if samples:
             words = stage(words, "model")
         tables = _tables_by_context(words)
+    discard(vocabulary, counted, grouped)
     return Model(words, pairs, extras, deep, head, customers, tables, sums[0], sums[1], discount, root_discount)
 
 
@@ -802,8 +803,8 @@ _NO_WORDS = tuple(np.empty(0, kind) for kind in (np.int64, np.int64, float, np.i
 def _look_up(shared, deep: Deep, shallow: Shallow):
     """Packed rows of tokens, sums, pairs (n), extra tables (e) and words (x) to rows of two kinds.
 
-    Sums of texts (ctx -1; w is the rid, which no other word has), and other words (w) after other words, whose
-    probability is a + f * that of the context's shallow restaurant.
+    Sums of texts (ctx -1, or -2 with frequent words' score in a; w is the rid, which no other word has), and other
+    words (w) after other words, whose probability is a + f * that of the context's shallow restaurant.
     """
     names = [x.split()[0] for x in _PARTS.split(", ")]
 
@@ -847,14 +848,15 @@ def _look_up(shared, deep: Deep, shallow: Shallow):
             scale[there], backoff[there] = by_name[0][place[there]], by_name[1][place[there]]
         seats *= scale
         common, here = w >= 0, head.by_word(u, w)
-        values, base, known = np.zeros(len(w)), np.zeros(len(w)), np.zeros(len(w), np.int64)
-        values[common] = 10.0 ** scores[w[common], contexts[common]]
-        values[here], tokens = shallow.of(words or [_NO_WORDS], w[here], contexts[here])
+        score, base, known = np.zeros((2, len(w))), np.zeros(len(w)), np.zeros(len(w), np.int64)
+        score[0, common] = np.log10(seats[common] + backoff[common] * 10.0 ** scores[w[common], contexts[common]])
+        own, tokens = shallow.of(words or [_NO_WORDS], w[here], contexts[here])
+        # a and f are floats for all other words, also in the rows below.
+        score[1, here] = np.log10(seats[here].astype(np.float32) + backoff[here].astype(np.float32) * own)
         base[here], known[here] = np.log10((tokens + 0.5) / shallow.base_total), tokens > 0
         told = common | here
-        values = np.log10(seats[told] + backoff[told] * values[told])
         texts, place = np.unique(rid[told], return_inverse=True)
-        totals.append((texts, *(np.bincount(place, v, len(texts)) for v in (known[told], base[told], values))))
+        totals.append((texts, *(np.bincount(place, v[told], len(texts)) for v in (known, base, *score))))
         other = ~told
         if other.any():
             yield rows(rid[other], int(other.sum()), w=w[other], ctx=contexts[other], a=seats[other], f=backoff[other])
@@ -875,12 +877,12 @@ def _look_up(shared, deep: Deep, shallow: Shallow):
             yield from bucket(asked.pop(b), pairs.pop(b, []), extras.pop(b, []), words.pop(b, []), head, scores, totals)
         if totals:
             texts, place = np.unique(np.concatenate([t for t, *_ in totals]), return_inverse=True)
-            known, base, score = (np.bincount(place, np.concatenate([t[k] for t in totals]), len(texts)) for k in (1, 2, 3))
+            known, base, common, here = (np.bincount(place, np.concatenate([t[k] for t in totals]), len(texts)) for k in range(1, 5))
             for start in range(0, len(texts), 100_000):
                 part = slice(start, start + 100_000)
                 own = texts[part]
-                given = {"n_known": known[part].astype(np.int64), "base": base[part], "score": score[part]}
-                yield rows(own, len(own), w=own, ctx=np.full(len(own), -1), **given)
+                given = {"n_known": known[part].astype(np.int64), "base": base[part], "a": common[part], "score": here[part]}
+                yield rows(own, len(own), w=own, ctx=np.full(len(own), -2), **given)
 
     return run
 
@@ -924,7 +926,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
         "n_tokens",
         F.when(is_word, (found > 0).cast("long")).otherwise(F.col("n_known")).alias("known"),
         F.when(is_word, F.log10((found + 0.5) / float(model.base_total))).otherwise(F.col("base")).alias("base"),
-        F.when(is_word, F.log10(probability)).otherwise(F.col("score")).alias("score"),
+        F.when(is_word, F.log10(probability)).otherwise(F.coalesce("a", F.lit(0.0)) + F.col("score")).alias("score"),
     )
     return valued.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"),

@@ -298,6 +298,19 @@ def test_rare_words_are_scored_in_the_bucket_of_their_pairs():
     assert len(set(head.buckets(np.zeros(20, np.int64), rare).tolist())) > 5
 
 
+def test_training_leaves_only_what_scoring_reads(docs, spark, tmp_path, monkeypatch):
+    numbers = itertools.count()
+    monkeypatch.setattr(common, "scratch_path", lambda spark, label: f"{tmp_path}/revlens/{label}-{next(numbers)}")
+    model = pitmanyor.train(docs((0, "a b a b"), (2, None)))
+    assert sorted(p.name.split("-")[0] for p in (tmp_path / "revlens").iterdir()) == ["extras", "model", "pairs"]
+    assert pitmanyor.score_texts(docs((1, "a c")), model).count() == 1
+    assert pitmanyor.score_documents(docs((0, "a")).limit(0)).count() == 0
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    with pytest.raises(ValueError):
+        common.discard(spark.read.parquet(f"{tmp_path}/own"))
+    assert spark.read.parquet(f"{tmp_path}/own").count() == 3
+
+
 def test_substrings_against_all_windows(docs):
     passage = prose(50)
     rows = [(i, f"{prose(20)} {passage} {prose(i % 40)}") for i in range(40)]
