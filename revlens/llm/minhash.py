@@ -11,13 +11,16 @@ than 32 with a probability below 1e-6) and are confirmed on the whole shingle se
 
 Groups of copies are never expanded into pairs. Equal sets are one node. Each node is first
 compared with one other, the bucket leader it shares the most buckets with. After the confirmed
-links are joined into components, members of a bucket that still holds several are compared
-with three leaders of it, unless they are in one component already; after these links, a member
-outside its leader's component is compared, by whole sets, with all of
-that component, and reports one link at most; what is then still outside is compared with
-its like by signatures. That finds every link that could still join two components. Large
-components and buckets are cut into blocks, and a pair is reported by the first bucket it
-shares.
+links are joined into components, members of buckets that still hold several are compared
+with three others, of each of three kinds of leaders the one they share the most of these buckets
+with, unless they are in one component already; after these links, a member
+outside the component of its bucket's smallest node is compared, by whole sets, with all of
+that component, and reports one link a block at most; what is outside, or in a bucket whose
+smallest node has no link, is compared with its like, by
+signatures and then by whole sets. That finds every link that could still join two components.
+Pairs stay inside their block, which reports the members that are near another, then fewer links
+than members; so the rows made per block grow with its members, not with their pairs. Large components
+and buckets are cut into blocks, and a pair is compared by whole sets in the first bucket it shares.
 """
 
 from __future__ import annotations
@@ -50,8 +53,9 @@ SYMBOLS = 70
 CHUNK = 5
 # Pairs within 2 * (SYMBOLS // CHUNK) - 1 are certain to meet; those beyond this are not near.
 DISTANCE = 32
-# Members per block of a large bucket.
+# Members per block of a large bucket, and shingles on average.
 BLOCK = 2000
+BLOCK_SHINGLES = 4_000_000
 # Members per block of a large component.
 COMPONENT_BLOCK = 500
 
@@ -143,13 +147,32 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, o, m, outside, node, root, sig), sorted by the first three, to near pairs (a, b).
+def _near_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, o, m, left, right, node, root, sig), sorted by the first three, to those near another.
 
-    One (key, o, m) at a time: two blocks of members outside the main component. A block has
-    about BLOCK rows, whatever the bucket.
+    One (key, o, m) at a time: two blocks of members outside the main component, ``left`` of the
+    first and ``right`` of the second. A block has about BLOCK rows, whatever the bucket. Rows
+    stay ``left`` or ``right`` if they are near one of the other side.
     """
-    yield from _by_group(batches, 3, _blocks)
+    yield from _by_group(batches, 3, _members)
+
+
+def _members(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    left, right = np.zeros(table_.num_rows, bool), np.zeros(table_.num_rows, bool)
+    for _, i, j in _pairs(table_, cuts):
+        left[i] = right[j] = True
+    for name, flags in (("left", left), ("right", right)):
+        table_ = table_.set_column(table_.schema.get_field_index(name), name, pa.array(flags))
+    yield from table_.filter(pa.array(left | right)).to_batches()
+
+
+def _join_members(percent: int):
+    """Rows as of ``_near_members``, with items, sorted by key, o and m, to links (a, b)."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_group(batches, 3, lambda table_, cuts: _joined(table_, cuts, percent))
+
+    return join
 
 
 def _by_group(batches, width: int, work) -> Iterator[pa.RecordBatch]:
@@ -188,9 +211,7 @@ def _join_components(percent: int):
 def _linked(table_: pa.Table, cuts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """Per outside node and block one link to a member, if there is any, by whole sets."""
     outside, nodes = table_.column("outside").to_numpy(), table_.column("node").to_numpy()
-    column = table_.column("items").combine_chunks()
-    offsets, items = column.offsets.to_numpy(), column.flatten().to_numpy()
-    offsets = offsets - offsets[0]
+    offsets, items = _items(table_)
     sizes = np.diff(offsets)
     for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         rows = np.arange(begin, end)
@@ -217,27 +238,70 @@ def _linked(table_: pa.Table, cuts: np.ndarray, percent: int) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _blocks(table_: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    keys, outside, nodes, roots = (
-        table_.column(c).to_numpy() for c in ("key", "outside", "node", "root")
+def _items(table_: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    column = table_.column("items").combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten().to_numpy()
+
+
+def _pairs(table_: pa.Table, cuts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(group, i, j): rows of near pairs of a left and a right member, in their first bucket."""
+    keys, left, right, nodes, roots = (
+        table_.column(c).to_numpy() for c in ("key", "left", "right", "node", "root")
     )
     symbols = _symbols(table_.column("sig"))
     for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         rows = np.arange(begin, end)
-        left, right = rows[outside[rows]], rows[~outside[rows]]
-        for start in range(0, len(left), 64):
-            part = left[start : start + 64]
-            near = (symbols[part][:, None] != symbols[right][None]).sum(axis=2) <= DISTANCE
-            near &= roots[part][:, None] != roots[right][None]
-            near &= nodes[part][:, None] < nodes[right][None]
+        others = rows[right[rows]]
+        asked = rows[left[rows]]
+        for start in range(0, len(asked), 64):
+            part = asked[start : start + 64]
+            near = (symbols[part][:, None] != symbols[others][None]).sum(axis=2) <= DISTANCE
+            near &= roots[part][:, None] != roots[others][None]
+            near &= nodes[part][:, None] < nodes[others][None]
             i, j = np.nonzero(near)
             if not len(i):
                 continue
-            i, j = part[i], right[j]
+            i, j = part[i], others[j]
             first = np.argmax(_keys(symbols[i]) == _keys(symbols[j]), axis=1)
             here = _keys(symbols[i])[np.arange(len(i)), first] == keys[begin]
-            a, b = nodes[i[here]], nodes[j[here]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            yield begin, i[here], j[here]
+
+
+def _joined(table_: pa.Table, cuts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links by whole sets; per group only those that join two components not joined before."""
+    nodes, roots = table_.column("node").to_numpy(), table_.column("root").to_numpy().tolist()
+    offsets, items = _items(table_)
+    sizes = np.diff(offsets)
+    group, parents, found = -1, {}, []
+
+    def top(root: int) -> int:
+        while root in parents:
+            root = parents[root]
+        return root
+
+    for begin, i, j in _pairs(table_, cuts):
+        if begin != group:
+            group, parents = begin, {}
+        for row in np.unique(i).tolist():
+            own, others = np.sort(items[offsets[row] : offsets[row + 1]]), j[i == row]
+            sized = 100 * np.minimum(len(own), sizes[others]) >= percent * np.maximum(len(own), sizes[others])
+            others = [r for r in others[sized].tolist() if top(roots[r]) != top(roots[row])]
+            if not others:
+                continue
+            values = np.concatenate([items[offsets[r] : offsets[r + 1]] for r in others])
+            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            ends = np.cumsum(sizes[others])
+            both = np.diff(np.append(0, np.cumsum(own[at] == values)[ends - 1]))
+            union = len(own) + sizes[others] - both
+            for hit in np.flatnonzero(100 * both >= percent * union).tolist():
+                low, high = sorted((top(roots[row]), top(roots[others[hit]])))
+                if low != high:
+                    parents[high] = low
+                    found.append((nodes[row], nodes[others[hit]]))
+    if found:
+        a, b = np.array(found).T
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +383,8 @@ def _block_of(node: str, count: str):
 def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with three leaders of the bucket.
 
-    Rows (key, size, node, root, leaders); leaders are structs (node, root), the first one is
-    the bucket's smallest node.
+    Rows (key, size, node, root, leaders); leaders are structs (node, root): the bucket's smallest
+    node, its largest, and one drawn by hash.
     """
     rows = buckets.join(roots, "node", "left").select("key", "size", "node", F.coalesce("root", "node").alias("root"))
     member, drawn = F.struct("node", "root"), F.struct(F.xxhash64("node").alias("h"), "node", "root")
@@ -334,11 +398,18 @@ def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
             F.max("root").alias("high"),
         )
         .filter("low <> high")
-        .select("key", F.array_distinct(F.array("l", "m", F.struct("d.node", "d.root"))).alias("leaders"))
+        .select("key", F.array("l", "m", F.struct("d.node", "d.root")).alias("leaders"))
     )
     return rows.join(leaders, "key")
 
 
+def _nearest_leaders(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members and, of each kind of leaders, the one of another component they meet most."""
+    led = mixed.select("node", "root", F.posexplode("leaders").alias("kind", "to")).filter("root <> to.root")
+    nearest = led.groupBy("node", "kind").agg(F.mode("to.node", True).alias("to"))
+    return nearest.select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")).distinct()
+
+
 def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of ``outside`` (node, main) to members of the component ``main``."""
     asked = outside.select("node", F.col("main").alias("root")).distinct()
@@ -356,25 +427,40 @@ def _links_to_components(outside: DataFrame, roots: DataFrame, sets: DataFrame,
     return map_arrow(dealt.sortWithinPartitions("root", "block"), _join_components(percent), "a long, b long")
 
 
-def _pairs_outside(labelled: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Near pairs of bucket members that are both outside the main component, each once.
+def _links_outside(labelled: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of bucket members outside the main component.
 
-    ``labelled``: (key, node, root, main) as of before ``roots``.
+    ``labelled``: (key, node, root, main) as of before ``roots``; without a main component, all
+    members are outside.
     """
-    outside = labelled.filter("root <> main").select("key", "node")
-    counts = outside.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocked = (
+    spark = nodes.sparkSession
+    outside = labelled.filter("main IS NULL OR root <> main").select("key", "node").join(nodes.select("node", "n", "sig"), "node")
+    counts = (
+        outside.groupBy("key")
+        .agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+        .filter("members > 1")
+        .select("key", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    )
+    # A member is left in its block against every one, and right in every one against its own.
+    own, every = F.col("own"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    places = F.concat(
+        F.transform(every, lambda i: F.struct(own.alias("o"), i.alias("m"), F.lit(True).alias("left"), (i == own).alias("right"))),
+        F.transform(
+            F.filter(every, lambda i: i != own),
+            lambda i: F.struct(i.alias("o"), own.alias("m"), F.lit(False).alias("left"), F.lit(True).alias("right")),
+        ),
+    )
+    rows = (
         outside.join(counts, "key")
         .join(roots, "node", "left")
-        .select("key", "node", F.coalesce("root", "node").alias("root"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    left = blocked.select("key", _block_of("node", "blocks").alias("o"), _every("blocks").alias("m"), F.lit(True).alias("outside"), "node", "root")
-    right = blocked.select("key", _every("blocks").alias("o"), _block_of("node", "blocks").alias("m"), F.lit(False).alias("outside"), "node", "root")
-    rows = left.unionByName(right).join(nodes.select("node", "sig"), "node")
-    dealt = rows.select("key", "o", "m", "outside", "node", "root", "sig").repartition(
-        shuffle_width(nodes.sparkSession), "key", "o", "m"
+        .withColumn("own", _block_of("node", "blocks"))
+        .select("key", F.explode(places).alias("at"), "node", F.coalesce("root", "node").alias("root"), "sig")
+        .select("key", "at.*", "node", "root", "sig")
     )
-    return map_arrow(dealt.sortWithinPartitions("key", "o", "m"), _across, "a long, b long")
+    dealt = rows.repartition(shuffle_width(spark), "key", "o", "m").sortWithinPartitions("key", "o", "m")
+    near = stage(map_arrow(dealt, _near_members, dealt.schema), "near")
+    dealt = near.join(sets, "node").select(*near.columns, "items").repartition(shuffle_width(spark), "key", "o", "m")
+    return map_arrow(dealt.sortWithinPartitions("key", "o", "m"), _join_members(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY_PERCENT) -> DataFrame:
@@ -422,26 +508,21 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILA
     links = stage(_confirmed(near_first, sets, percent), "links")
     roots = stage(smallest_reachable(links), "roots")
     mixed = stage(_mixed(buckets, roots), "mixed")
-    led = mixed.select("node", "root", F.explode("leaders").alias("to")).filter("root <> to.root")
-    led = led.select(F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")).distinct()
-    near_leader = stage(_near(led, nodes, percent), "near")
+    near_leader = stage(_near(_nearest_leaders(mixed), nodes, percent), "near")
     links = links.unionByName(stage(_confirmed(near_leader, sets, percent), "links"))
     roots = stage(smallest_reachable(links), "roots")
-    compared = near_first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(near_leader)
-    # A bucket that is one component needs nothing more.
+    # A bucket that is one component needs nothing more. A leader without links has no main component.
     labelled = stage(
-        mixed.filter("size > 2")
-        .select("key", "node", F.col("leaders")[0]["node"].alias("leader"))
+        mixed.select("key", "node", F.col("leaders")[0]["node"].alias("leader"))
         .join(roots, "node", "left")
         .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left")
-        .select("key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("main", "leader").alias("main")),
+        .select("key", "node", F.coalesce("root", "node").alias("root"), "main"),
         "labelled",
     )
     more = stage(_links_to_components(labelled.filter("root <> main"), roots, sets, percent), "links")
     links = links.unionByName(more)
     roots = stage(smallest_reachable(links), "roots")
-    pairs = _pairs_outside(labelled, roots, nodes).join(compared, ["a", "b"], "left_anti")
-    more = stage(_confirmed(stage(pairs, "near"), sets, percent), "links")
+    more = stage(_links_outside(labelled, roots, nodes, sets, percent), "links")
     if not more.isEmpty():
         roots = stage(smallest_reachable(links.unionByName(more)), "roots")
     rooted = nodes.join(roots, "node", "left").select(

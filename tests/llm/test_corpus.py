@@ -113,6 +113,38 @@ def test_near_dedup_stage_takes_five_word_shingles(spark, docs):
         minhash.near_duplicates(df, percent=70)
 
 
+def test_crowd_of_unlinked_copies_makes_no_row_per_pair(docs, monkeypatch):
+    generator = np.random.RandomState(7)
+
+    def changed(words, places, name):
+        return [f"{name}-{i}" if i in places else w for i, w in enumerate(words)]
+
+    texts = {}
+    for i in range(400):  # four changed words: near the others by signatures, none linked with another
+        texts[i] = changed([f"w{k}" for k in range(150)], set(generator.choice(150, 4, False).tolist()), f"x{i}")
+    for i in range(0, 400, 16):
+        texts[1000 + i] = changed(texts[i], {75}, "twin")
+    sets = {i: {tuple(t[k : k + 5]) for k in range(146)} for i, t in texts.items()}
+    links = [(a, b) for a, b in itertools.combinations(texts, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    least = {i: i for i in texts}
+    for _ in texts:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert len(links) < 100
+    made = []
+
+    def counted(df, label, write=minhash.stage):
+        staged = write(df, label)
+        made.append((label, staged.count()))
+        return staged
+
+    monkeypatch.setattr(minhash, "stage", counted)
+    found = minhash.near_duplicates(docs(*[(i, " ".join(t)) for i, t in texts.items()]), width=5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == least
+    # A node is in at most one bucket a symbol; the pairs near by signatures are over twice as many.
+    assert max(n for label, n in made if label in ("near", "links")) <= minhash.SYMBOLS * len(texts)
+
+
 def test_signatures_within_the_distance_share_an_entry():
     generator = np.random.RandomState(3)
     for _ in range(50):
