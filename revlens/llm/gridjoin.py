@@ -34,8 +34,10 @@ from revlens.session import scratch_path
 COSINE = 0.95
 LEADING = 8
 LEAF = 512
-BLOCK = 2_048
-BLOCK_BYTES = 2**20
+BLOCK = 8_192
+BLOCK_BYTES = 2**21
+SLICE = 4_096
+TILE = 1_024
 BLOCKS_KEPT = 8
 PARTS = 32
 EXACT_CELLS = 2**20
@@ -257,13 +259,14 @@ def _compare_blocks(a: _Block, b: _Block, cosine: float, eps: float, leaf: int)
     edges = [np.zeros((0, 2), np.int64)]
     for i in np.flatnonzero(near.any(axis=1)):
         others = np.flatnonzero(np.repeat(near[i], leaf)[: len(b.ids)])
-        left, right = _hits(a, slice(i * leaf, (i + 1) * leaf), b, others, cosine)
-        if a is b:
-            left, right = left[left < right], right[left < right]
-        if len(left):
-            links_a += np.bincount(left, b.copies[right], len(a.ids)).astype(np.int64)
-            links_b += np.bincount(right, a.copies[left], len(b.ids)).astype(np.int64)
-            edges.append(_forest(a.ids[left], b.ids[right]))
+        for start in range(0, len(others), TILE):
+            left, right = _hits(a, slice(i * leaf, (i + 1) * leaf), b, others[start : start + TILE], cosine)
+            if a is b:
+                left, right = left[left < right], right[left < right]
+            if len(left):
+                links_a += np.bincount(left, b.copies[right], len(a.ids)).astype(np.int64)
+                links_b += np.bincount(right, a.copies[left], len(b.ids)).astype(np.int64)
+                edges.append(_forest(a.ids[left], b.ids[right]))
     edges = np.concatenate(edges)
     edges = _forest(edges[:, 0], edges[:, 1])
     nodes, links = (a.ids, links_a) if a is b else (np.append(a.ids, b.ids), np.append(links_a, links_b))
@@ -285,15 +288,15 @@ def _hits(a: _Block, rows: slice, b: _Block, others: np.ndarray, cosine: float)
     """
     width = a.units.shape[1]
     slack = (width + 4) * 2.0**-22
-    every = len(others) == len(b.ids)
+    at = slice(others[0], others[-1] + 1) if others[-1] - others[0] < len(others) else others
     for left, right in zip(a.screens, b.screens, strict=True):
-        products = left[rows] @ (right if every else right[others]).T
+        products = left[rows] @ right[at].T
         left, right = np.divmod(np.flatnonzero(products >= np.float32(cosine - slack)), len(others))
         if len(left) * width <= EXACT_CELLS:
             left, right = left + rows.start, others[right]
             linked = np.einsum("ij,ij->i", a.units[left], b.units[right]) >= cosine
             return left[linked], right[linked]
-    left, right = np.nonzero(a.units[rows] @ (b.units if every else b.units[others]).T >= cosine)
+    left, right = np.nonzero(a.units[rows] @ b.units[at].T >= cosine)
     return left + rows.start, others[right]
 
 
@@ -401,7 +404,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
     order = ["width", "place", "node"]
     width = shuffle_width(vectors.sparkSession)
-    slices = max(1, min(width, -(-nodes.count() // (2 * BLOCK))))
+    slices = max(1, min(width, -(-nodes.count() // SLICE)))
     sequence = map_arrow(usable, _cells(axes, eps), "width int, place binary, node long, copies long, vector binary")
     packed = map_arrow(
         sequence.repartitionByRange(slices, *order).sortWithinPartitions(*order),
